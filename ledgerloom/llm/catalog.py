@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import op1_bpe, op8_token_files
+from . import op1_bpe, op8_token_files, op10_decontaminate
 
 QUERIES: dict[str, Callable] = {
     "op1_bpe": op1_bpe.op1_bpe,
     "op8_token_files": op8_token_files.op8_token_files,
+    "op10_decontaminate": op10_decontaminate.op10_decontaminate,
 }
 ORACLE_SQL: dict[str, str] = {}
