@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import op1_bpe, op8_token_files, op10_decontaminate
+from . import op1_bpe, op8_token_files, op9_lm_score, op10_decontaminate
 
 QUERIES: dict[str, Callable] = {
     "op1_bpe": op1_bpe.op1_bpe,
     "op8_token_files": op8_token_files.op8_token_files,
+    "op9_lm_score": op9_lm_score.op9_lm_score,
     "op10_decontaminate": op10_decontaminate.op10_decontaminate,
 }
 ORACLE_SQL: dict[str, str] = {}
