@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import op1_bpe, op4_ngram_join, op8_token_files, op9_lm_score, op10_decontaminate
+from . import op1_bpe, op2_quality, op4_ngram_join, op8_token_files, op9_lm_score, op10_decontaminate
 
 QUERIES: dict[str, Callable] = {
     "op1_bpe": op1_bpe.op1_bpe,
+    "op2_quality": op2_quality.op2_quality,
     "op4_ngram_join": op4_ngram_join.op4_ngram_join,
     "op8_token_files": op8_token_files.op8_token_files,
     "op9_lm_score": op9_lm_score.op9_lm_score,
