@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import op1_bpe, op2_quality, op3_rules, op4_ngram_join, op5_preferences, op6_toxicity, op8_token_files, op9_lm_score, op10_decontaminate
+import corpus_pipeline
+
+from . import op1_bpe, op2_quality, op3_rules, op4_ngram_join, op5_preferences, op6_toxicity, op7_pii, op8_token_files, op9_lm_score, op10_decontaminate
 
 QUERIES: dict[str, Callable] = {
     "op1_bpe": op1_bpe.op1_bpe,
@@ -13,8 +15,10 @@ QUERIES: dict[str, Callable] = {
     "op4_ngram_join": op4_ngram_join.op4_ngram_join,
     "op5_preferences": op5_preferences.op5_preferences,
     "op6_toxicity": op6_toxicity.op6_toxicity,
+    "op7_pii": op7_pii.op7_pii,
     "op8_token_files": op8_token_files.op8_token_files,
     "op9_lm_score": op9_lm_score.op9_lm_score,
     "op10_decontaminate": op10_decontaminate.op10_decontaminate,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {"op5_preferences": op5_preferences.OP5_SQL}
