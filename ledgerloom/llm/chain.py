@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 
 #: Words that each model looks at, and documents of the sample that a word must be in.
-MOST_WORDS, LEAST_DOCS = 2000, 3
+MOST_WORDS, LEAST_DOCS = 3000, 5
 
 
 def _sigmoid(x):
@@ -21,7 +21,7 @@ class Linear:
         self.bias, self.words, self.earlier = bias, words, earlier
 
     @classmethod
-    def fit(cls, docs: list[frozenset[bytes]], earlier: np.ndarray, y: np.ndarray, steps: int = 150, decay: float = 2e-4) -> Linear:
+    def fit(cls, docs: list[frozenset[bytes]], earlier: np.ndarray, y: np.ndarray, steps: int = 200, decay: float = 2e-4) -> Linear:
         """By Adam on all documents. With one label only, the bias alone says it."""
         if y.min() == y.max():
             return cls(6.0 if y[0] else -6.0, {}, np.zeros(earlier.shape[1]))
@@ -48,8 +48,16 @@ class Linear:
         return _sigmoid(x + earlier @ self.earlier + self.bias)
 
 
+def common(docs: list[frozenset[bytes]]) -> list[frozenset[bytes]]:
+    """The documents without what fewer than LEAST_DOCS of them have, which no model looks at."""
+    n = Counter(w for d in docs for w in d)
+    kept = {w for w, c in n.items() if c >= LEAST_DOCS}
+    return [d & kept for d in docs]
+
+
 def fit(docs: list[frozenset[bytes]], y: np.ndarray, folds: np.ndarray) -> list[Linear]:
     """One model for each column of y. Later ones learn from probabilities that models of other folds gave."""
+    docs = common(docs)
     chain, earlier = [], np.zeros((len(docs), 0))
     for c in range(y.shape[1]):
         chain.append(Linear.fit(docs, earlier, y[:, c]))
