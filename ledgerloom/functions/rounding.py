@@ -58,9 +58,9 @@ def differs(a: Column, b: Column, share: float = 0.005) -> Column:
 
 def declared_ratio(ratio: Column, most: int = 100) -> Column:
     """The nearest usual split ratio within 1%: whole up to `most`, or halves, thirds and quarters; null if none is."""
-    usual = F.array_distinct(F.concat(F.transform(F.sequence(F.lit(1), F.lit(most)), lambda n: n.cast("double")), *[F.transform(F.sequence(F.lit(1), F.lit(20)), lambda n, d=d: n.cast("double") / d) for d in (2, 3, 4)]))
-    best = F.array_min(F.transform(usual, lambda u: F.struct(F.abs(ratio / u - 1).alias("gap"), u.alias("ratio"))))
-    return F.when(best["gap"] <= 0.01, best["ratio"])
+    usual = F.array_distinct(F.concat(F.transform(F.sequence(F.lit(1), F.lit(most)), lambda n: n.cast("double")), *[F.array(*[F.lit(n / d) for n in range(1, 21)]) for d in (2, 3, 4)]))
+    best = F.array_min(F.transform(usual, lambda u: F.struct(F.abs(ratio - u).alias("gap"), u.alias("ratio"))))
+    return F.when(best["gap"] <= 0.01 * best["ratio"], best["ratio"])
 
 
 def growth_matches(value: Column, before: Column, stated_percent: Column, points: float = 0.1) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import newest_per_key, only_pairs
+from .joins import cut, newest_per_key, only_pairs
 
 
 def series(edges: DataFrame, rounds: int = 30) -> DataFrame:
@@ -14,18 +14,13 @@ def series(edges: DataFrame, rounds: int = 30) -> DataFrame:
     Labels travel along edges and then along themselves, so the number of rounds grows with the logarithm of a
     component's width. Each round reads the last one's checkpoint.
     """
-    spark = edges.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerloom-"))
-    both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).where("a <> b").distinct().checkpoint()
-    now = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("series")).checkpoint()
+    both = cut(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).where("a <> b").distinct())
+    now = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("series")))
     for _ in range(rounds):
         near = both.join(now.select(F.col("node").alias("b"), "series"), "b").groupBy(F.col("a").alias("node")).agg(F.min("series").alias("m"))
         step = now.join(near, "node").select("node", F.least("series", "m").alias("series"))
         jump = step.select(F.col("node").alias("series"), F.col("series").alias("j"))
-        new = step.join(jump, "series").select("node", F.least("series", "j").alias("series")).checkpoint()
+        new = cut(step.join(jump, "series").select("node", F.least("series", "j").alias("series")))
         if new.join(now, ["node", "series"], "left_anti").isEmpty():
             return new
         now = new

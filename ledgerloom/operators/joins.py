@@ -6,6 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """df written to the shared checkpoint folder, so that what follows doesn't plan or compute it again."""
+    spark = df.sparkSession
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        import tempfile
+
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerloom-"))
+    return df.checkpoint()
+
+
 def newest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in an order that ends in a unique column."""
     w = Window.partitionBy(*keys).orderBy(*order)
@@ -27,13 +37,13 @@ def within_days(left: DataFrame, right: DataFrame, keys: list[str], left_day: st
 
 
 def within_ratio(left: DataFrame, right: DataFrame, keys: list[str], left_value: str, right_value: str, tolerance: float) -> DataFrame:
-    """Inner join on keys where |left - right| <= tolerance * left, for positive values.
+    """Inner join on keys where |left - right| <= tolerance * left, for positive values and a tolerance below 1.
 
     Both are bucketed by their logarithm; values within tolerance are in equal or neighbouring buckets.
     """
     import math
 
-    width = math.log1p(tolerance) * 1.01
+    width = -math.log1p(-tolerance) * 1.01
     bucket = lambda v: F.floor(F.ln(F.col(v)) / width)
     asks = left.where(F.col(left_value) > 0).withColumn("_b", F.explode(F.sequence(bucket(left_value) - 1, bucket(left_value) + 1)))
     has = right.where(F.col(right_value) > 0).withColumn("_b", bucket(right_value))
@@ -74,10 +84,13 @@ def one_to_one(pairs: DataFrame, left: str, right: str, score: str, rounds: int
     Ties go to the lower left and then the lower right. Pairs left after the rounds are of ever lower rank; four rounds
     match all but long chains of equal preference, and none is matched twice.
     """
-    left_, taken = pairs.select(left, right, score), None
+    left_, taken = cut(pairs.select(left, right, score)), None
     for _ in range(rounds):
         order = lambda mine, other: Window.partitionBy(mine).orderBy(F.col(score).desc(), F.col(left), F.col(right))
         best = left_.withColumn("_l", F.row_number().over(order(left, right))).withColumn("_r", F.row_number().over(order(right, left))).where("_l = 1 AND _r = 1").drop("_l", "_r")
+        best = cut(best)
         taken = best if taken is None else taken.union(best)
-        left_ = left_.join(best.select(left), left, "left_anti").join(best.select(right), right, "left_anti")
+        gone_l, gone_r = best.select(F.col(left).alias("_x")), best.select(F.col(right).alias("_y"))
+        left_ = left_.join(gone_l, F.col(left) == F.col("_x"), "left_anti").join(gone_r, F.col(right) == F.col("_y"), "left_anti")
+        left_ = cut(left_)
     return taken

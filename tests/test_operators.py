@@ -41,7 +41,7 @@ def test_within_ratio_is_a_plain_tolerance_join(spark):
 def test_one_to_one(spark):
     rnd = random.Random(3)
     pairs = [(a, b, rnd.randint(0, 9)) for a in range(8) for b in range(8) if rnd.random() < 0.6]
-    got = rows(joins.one_to_one(spark.createDataFrame(pairs, "a int, b int, s int"), "a", "b", "s", 8))
+    got = rows(joins.one_to_one(spark.createDataFrame(pairs, "a int, b int, s int"), "a", "b", "s"))
     taken, want = set(), []
     for s, a, b in sorted((-s, a, b) for a, b, s in pairs):
         if ("a", a) not in taken and ("b", b) not in taken:
