@@ -102,12 +102,12 @@ def learned(spans: DataFrame, least_known: int = LEAST_KNOWN, least_share: float
     seeds = edges.groupBy("instance").agg(F.max("seed").alias("seed")).where("seed").select("instance")
     found = None
     for _ in range(rounds):
-        known = (seeds if found is None else seeds.union(found.select("instance"))).distinct().withColumn("known", F.lit(True))
-        graph = edges.join(known, "instance", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+        known = (seeds if found is None else seeds.union(found.select("instance"))).withColumn("known", F.lit(True))
+        graph = edges.join(known.hint("shuffle_hash"), "instance", "left").withColumn("known", F.coalesce("known", F.lit(False)))
         scored = graph.groupBy("pattern").agg(F.sum(F.col("known").cast("long")).alias("f"), F.count("*").alias("n"))
         trusted = scored.where((F.col("f") >= least_known) & (F.col("f") >= least_share * F.col("n")))
         trusted = trusted.select("pattern", (F.col("f") / F.col("n") * F.log2("f")).alias("score"))
-        new = graph.where(~F.col("known")).join(trusted, "pattern").groupBy("instance").agg(F.max("score").alias("confidence"))
+        new = graph.where(~F.col("known")).join(trusted.hint("shuffle_hash"), "pattern").groupBy("instance").agg(F.max("score").alias("confidence"))
         found = common.persist(new if found is None else found.union(new), "pii-found")
     return found
 
@@ -122,13 +122,13 @@ def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = matched(docs, id_col, text_col)
     spans = common.persist(_spans(rows), "pii-spans")
     token = len(KINDS)
-    new = spans.where(F.col("kind") == token).join(learned(spans, least_known, least_share, rounds).select("instance"), "instance").where("end > start")
+    new = spans.where(F.col("kind") == token).join(learned(spans, least_known, least_share, rounds).select("instance").hint("shuffle_hash"), "instance").where("end > start")
     kept = spans.where(F.col("kind") < token).select("row", "kind", "start", "end").union(new.select("row", "kind", "start", "end"))
     by_row = kept.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("all"))
     base = F.filter("all", lambda s: s["kind"] < token)
     added = F.filter("all", lambda s: (s["kind"] == token) & ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     by_row = by_row.select("row", F.concat(base, added).alias("spans"))
-    out = rows.select("row", "id").join(by_row, "row", "left")
+    out = rows.select("row", "id").join(by_row.hint("shuffle_hash"), "row", "left")
     none = F.array().cast("array<struct<kind:int,start:int,end:int>>")
     out = out.select("row", "id", F.coalesce("spans", none).alias("spans"))
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
@@ -149,25 +149,38 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def disjoint(found: DataFrame) -> DataFrame:
+    """(id, spans) with spans (start, end, kind) in order; spans that overlap become one, of the kind that begins first."""
+    each = found.select("id", F.explode("spans").alias("s")).select("id", "s.*")
+    w = Window.partitionBy("id").orderBy("start", "end", "kind")
+    before = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    each = each.withColumn("new", F.coalesce(before <= F.col("start"), F.lit(True)).cast("int"))
+    each = each.withColumn("part", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    one = each.groupBy("id", "part").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("kind", F.struct("start", "end", "kind")).alias("kind"))
+    return one.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("spans"))
+
+
 def masked(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in brackets; of overlapping spans the first counts."""
+    """The text with each of the disjoint spans, in order, replaced by its kind in brackets."""
     from .op3_rules import let
 
     names = F.array(*map(F.lit, (*KINDS, FOUND)))
-    by_place = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    # furthest end of all spans before each one: spans are few and a span's predecessors overlap it only if they end later
-    apart = lambda a: F.filter(a, lambda s, i: (i == 0) | (F.coalesce(F.get(a, i - 1)["end"], F.lit(0)) <= s["start"]))
-    piece = lambda a: F.transform(a, lambda s, i: F.concat(F.substring(text, F.coalesce(F.get(a, i - 1)["end"], F.lit(0)) + 1, s["start"] - F.coalesce(F.get(a, i - 1)["end"], F.lit(0))), F.lit("["), F.element_at(names, s["kind"] + 1), F.lit("]")))
-    whole = lambda a: F.concat(F.array_join(piece(a), ""), F.substring(text, F.coalesce(F.element_at(a, -1)["end"], F.lit(0)) + 1, F.length(text)))
-    return F.when(F.size(spans) == 0, text).otherwise(let(let(by_place, apart), whole))
+
+    def whole(a: Column) -> Column:
+        last = lambda i: F.coalesce(F.get(a, i - 1)["end"], F.lit(0))
+        piece = F.transform(a, lambda s, i: F.concat(F.substring(text, last(i) + 1, s["start"] - last(i)), F.lit("["), F.element_at(names, s["kind"] + 1), F.lit("]")))
+        return F.concat(F.array_join(piece, ""), F.substring(text, F.element_at(a, -1)["end"] + 1, F.length(text)))
+
+    return let(spans, whole)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data in their texts replaced by its kind; n_chars follows."""
-    found = found_spans(docs).where(F.size("spans") > 0).select(F.col("id").alias("doc_id"), "spans").dropDuplicates(["doc_id"]).hint("shuffle_hash")
-    joined = docs.join(found, "doc_id", "left")
-    text = F.when(F.col("spans").isNull() | F.col("text").isNull(), F.col("text")).otherwise(masked(F.col("text"), F.col("spans")))
-    out = joined.withColumn("text", text)
+    found = disjoint(found_spans(docs).where(F.size("spans") > 0).groupBy("id").agg(F.first("spans").alias("spans")))
+    joined = docs.alias("d").join(found.hint("shuffle_hash").alias("f"), F.col("d.doc_id") == F.col("f.id"), "left")
+    spans, text = F.col("f.spans"), F.col("d.text")
+    new = {"text": F.when(spans.isNull() | text.isNull(), text).otherwise(masked(text, spans))}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        kind = docs.schema["n_chars"].dataType
+        new["n_chars"] = F.when(spans.isNull(), F.col("d.n_chars")).otherwise(F.length(new["text"])).cast(kind)
+    return joined.select(*[new[c].alias(c) if c in new else F.col(f"d.`{c}`") for c in docs.columns])
