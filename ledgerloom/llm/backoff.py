@@ -28,7 +28,7 @@ class Grams:
     def __init__(self, tokens: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, order: int) -> None:
         self.order = order
         self.start = np.cumsum(sizes) - sizes
-        place = np.arange(len(tokens)) - np.repeat(self.start, sizes)
+        place = np.arange(len(tokens), dtype=np.int32) - np.repeat(self.start.astype(np.int32), sizes)
         word, begin = hashes[tokens], np.uint64(word_hash(BEGIN))
         self.hash, self.index, self.whole = [], [], []
         at = word.copy()
@@ -40,7 +40,7 @@ class Grams:
                 at = np.where(place >= k - 2, joined(before, word), at)
             unique, inverse = np.unique(at, return_inverse=True)
             self.hash.append(unique)
-            self.index.append(inverse)
+            self.index.append(inverse.astype(np.int32))
             self.whole.append(place >= k - 2 if k > 1 else np.ones(len(at), dtype=bool))
 
     def counted(self, train: np.ndarray) -> list[np.ndarray]:

@@ -23,7 +23,7 @@ from .backoff import Grams
 ORDER = 2
 #: Weight of the shorter history, in observations.
 MU = 100.0
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_200_000
 #: n-grams that a bucket gets, about.
 BUCKET_GRAMS = 1_000_000
 #: Documents whose crc32 of the id modulo this is HELD_OUT are not learned from.
@@ -36,7 +36,7 @@ def _planes(x: np.ndarray) -> bytes:
 
 
 def _numbers(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
 
 def tokenised(docs: DataFrame, id_col: str, text_col: str, held_out, block_tokens: int) -> DataFrame:
@@ -70,7 +70,7 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, held_out, block_token
             id_type = batch.column(0).type
             for i, text, out in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 w = (text or "").encode().lower().split()
-                parts.append(np.append(np.fromiter(map(number.__getitem__, w), np.int64, len(w)), 0))
+                parts.append(np.append(np.fromiter(map(number.__getitem__, w), np.int32, len(w)), np.int32(0)))
                 ids.append(i), train.append(not out), sizes.append(len(w) + 1)
                 n += len(w) + 1
                 if n >= block_tokens:
@@ -97,9 +97,11 @@ def _asked(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
         from ledgerloom.llm import op9_lm_score as own
 
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
                 g, sizes, train = own._grams(row, order)
                 counts = g.counted(np.repeat(train, sizes))
+                g.index = g.whole = None
                 cuts = [own._cuts(h, buckets) for h in g.hash]
                 h = [[x[c[b] : c[b + 1]].tobytes() for x, c in zip(g.hash, cuts)] for b in range(buckets)]
                 n = [[x[c[b] : c[b + 1]].astype("<u4").tobytes() for x, c in zip(counts, cuts)] for b in range(buckets)]
