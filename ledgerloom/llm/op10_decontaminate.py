@@ -17,7 +17,7 @@ from .suffixes import Shard, Tests
 
 WINDOW = 10
 #: Words of a shard, and bytes of benchmark text that are broadcast at a time.
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 600_000
 BLOCK_BYTES = 8_000_000
 FOUND = "n_words long, n_hit long, items array<string>, longest long, longest_start long, longest_item string"
 
