@@ -18,9 +18,9 @@ import public_tokenizers
 WORD_END = "</w>"
 VOCABULARY = "word_bpe_49k.json"
 #: Words kept for each worker process; beyond that the memory starts anew.
-KEPT_WORDS = 1_000_000
-#: Symbols up to which a word is merged by plain search for the best pair.
-SHORT = 24
+KEPT_WORDS = 700_000
+#: Bytes up to which words are encoded together, step by step; longer ones are encoded one by one.
+SHORT = 64
 _NEVER = np.int64(1) << 60
 
 # Characters whose case, composition and class agree in every library: the others take the library's own splitter.
@@ -38,6 +38,37 @@ def _byte_alphabet() -> list[str]:
     return [names[b] for b in range(256)]
 
 
+class IntMap:
+    """Whole numbers to whole numbers for arrays of keys: open addressing in two arrays."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        bits = max(4, (4 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, dtype=np.int64), np.zeros(1 << bits, dtype=np.int64)
+        open_, at = np.arange(len(keys)), self._home(keys)
+        while open_.size:
+            free = open_[self.keys[at[open_]] < 0]
+            self.keys[at[free]] = keys[free]
+            won = self.keys[at[open_]] == keys[open_]
+            self.values[at[open_[won]]] = values[open_[won]]
+            open_ = open_[~won]
+            at[open_] = (at[open_] + 1) & self.mask
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray, default: int) -> np.ndarray:
+        out, at, open_ = np.full(len(keys), default, dtype=np.int64), self._home(keys), np.arange(len(keys))
+        while open_.size:
+            there = self.keys[at]
+            hit = there == keys[open_]
+            out[open_[hit]] = self.values[at[hit]]
+            go = ~hit & (there >= 0)
+            open_, at = open_[go], (at[go] + 1) & self.mask
+        return out
+
+
 class SpeculativeBPE:
     """The vocabulary's merges as arrays, and a memory of encoded words."""
 
@@ -61,22 +92,35 @@ class SpeculativeBPE:
         self.rank[made] = np.arange(len(made))
         self.left, self.right = np.arange(size), np.arange(size)
         self.left[made], self.right[made] = left, right
-        keys = left * size + right
-        order = np.argsort(keys)
-        self.keys, self.key_rank = keys[order], order.astype(np.int64)
-        self.made = made.tolist()
+        self.made, self.made_row = made.tolist(), made
         self.rank_of_pair = {k: r for r, k in enumerate((left * size + right).tolist())}
-        self.longest = max(len(t) for t in self.vocab)
-        self.reach: dict[str, int] = {}  # the longest token for its first three characters
-        for t in self.vocab:
-            self.reach[t[:3]] = max(self.reach.get(t[:3], 3), len(t))
-        self.valid = self._valid(made, left, right)
+        self.pair_rank = IntMap(left * size + right, np.arange(len(made)))
         self.alphabet = _byte_alphabet()
+        self._begin()
+        self.valid = self._valid(made, left, right)
         self.special_re = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         library = Tokenizer.from_file(path)
         self._normalise, self._split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.exact = self.guessed = 0
 
+    def _begin(self) -> None:
+        """The tokens as a tree of bytes, 256 for a word's end: children by node and byte, and the token each node is."""
+        byte = {c: b for b, c in enumerate(self.alphabet)}
+        children: dict[int, int] = {}
+        token = [-1]
+        for t, i in self.vocab.items():
+            inner, node = t.removesuffix(WORD_END), 0
+            for b in [byte[c] for c in inner] + [256] * (inner != t):
+                node = children.setdefault(node * 257 + b, len(token))
+                if node == len(token):
+                    token.append(-1)
+            token[node] = i
+        self.child = IntMap(np.array(list(children), dtype=np.int64), np.array(list(children.values()), dtype=np.int64))
+        self.token_at = np.array(token, dtype=np.int64)
+        self.first = np.array([self.vocab[c] for c in self.alphabet], dtype=np.int64)
+        self.last = np.array([self.vocab[c + WORD_END] for c in self.alphabet], dtype=np.int64)
+        self.byte_of = byte
+
     def _valid(self, made, left, right) -> np.ndarray:
         """Whether the merges give each token for its own characters, so that it may stand in a result."""
         out = np.ones(self.size, dtype=bool)
@@ -96,9 +140,7 @@ class SpeculativeBPE:
         limit = np.full(len(a), _NEVER) if limit is None else limit.astype(np.int64)
         ok, live = np.ones(len(a), dtype=bool), np.arange(len(a))
         while live.size:
-            key = a[live] * self.size + b[live]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            bad = (self.keys[at] == key) & (self.key_rank[at] < limit[live])
+            bad = self.pair_rank.get(a[live] * self.size + b[live], _NEVER) < limit[live]
             ok[live[bad]] = False
             live = live[~bad]
             ra, rb = self.rank[a[live]], self.rank[b[live]]
@@ -110,38 +152,80 @@ class SpeculativeBPE:
             b[live[~of_a]] = self.left[b[live[~of_a]]]
         return ok
 
-    def greedy(self, word: str) -> list[int] | None:
-        """Longest matches from the left, the last with the word's end; None if some place has no match."""
-        vocab, out, at, n = self.vocab, [], 0, len(word)
-        while at < n:
-            if n - at <= self.longest and (whole := vocab.get(word[at:] + WORD_END)) is not None:
-                out.append(whole)
-                return out
-            for end in range(min(n - 1, at + self.reach.get(word[at : at + 3], 2)), at, -1):
-                if (found := vocab.get(word[at:end])) is not None:
-                    out.append(found)
-                    at = end
-                    break
-            else:
-                return None
-        return out
+    def greedy(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Longest matches from the left, the last with the word's end, of all words of `data` together.
+
+        Each step follows one byte of every open word; where no token goes on, the longest one so far is taken and the
+        word goes on behind it. Gives tokens, the word of each, and which words have a place without a match.
+        """
+        n = len(starts)
+        at, node, best, behind = starts.copy(), np.zeros(n, np.int64), np.full(n, -1), starts.copy()
+        open_, failed, tokens, words = np.arange(n), np.zeros(n, bool), [], []
+        while open_.size:
+            inside = at[open_] < ends[open_]
+            byte = np.where(inside, data[np.minimum(at[open_], len(data) - 1)], 256)
+            child = self.child.get(node[open_] * 257 + byte, -1)
+            on = child >= 0
+            going, child = open_[on], child[on]
+            node[going] = child
+            at[going] += 1
+            whole = self.token_at[child]
+            done = ~inside[on]
+            tokens.append(whole[done])
+            words.append(going[done])
+            longer = ~done & (whole >= 0) & (at[going] < ends[going])
+            best[going[longer]], behind[going[longer]] = whole[longer], at[going[longer]]
+            stuck = open_[~on]
+            none = best[stuck] < 0
+            failed[stuck[none]] = True
+            stuck = stuck[~none]
+            tokens.append(best[stuck])
+            words.append(stuck)
+            at[stuck], node[stuck], best[stuck] = behind[stuck], 0, -1
+            open_ = np.concatenate([going[~done], stuck])
+        tokens, words = np.concatenate(tokens), np.concatenate(words)
+        order = np.argsort(words, kind="stable")
+        return tokens[order], words[order], failed
 
-    def merge(self, word: str) -> list[int]:
-        """The merges themselves, by rank and then from the left, in n log n for long words."""
-        ids = [self.vocab[c] for c in word[:-1]]
-        ids.append(self.vocab[word[-1] + WORD_END])
-        if len(ids) <= SHORT:
-            find, size, none = self.rank_of_pair.get, self.size, len(self.made)
-            open_ = [find(x * size + y, none) for x, y in zip(ids, ids[1:])]
-            while open_ and (best := min(open_)) < none:
-                i = open_.index(best)
-                ids[i] = self.made[best]
-                del ids[i + 1], open_[i]
-                if i < len(open_):
-                    open_[i] = find(ids[i] * size + ids[i + 1], none)
-                if i:
-                    open_[i - 1] = find(ids[i - 1] * size + ids[i], none)
-            return ids
+    def merge_all(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The merges themselves for all words together, one merge of each word at a time: tokens and the word of each."""
+        word = np.repeat(np.arange(len(sizes)), sizes)
+        out_tokens, out_words = [], []
+        rank = self._ranks(symbols, word, np.arange(len(word)))
+        while len(word):
+            start = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            size = np.diff(np.append(start, len(word)))
+            best = np.minimum.reduceat(rank, start)
+            over = np.repeat(best == _NEVER, size)
+            out_tokens.append(symbols[over])
+            out_words.append(word[over])
+            is_best = np.flatnonzero((rank == np.repeat(best, size)) & ~over)
+            own = word[is_best]
+            at = is_best[np.append(True, own[1:] != own[:-1])] if len(is_best) else is_best
+            symbols[at] = self.made_row[rank[at]]
+            gone = over
+            gone[at + 1] = True
+            kept = np.flatnonzero(~gone)
+            place = np.cumsum(~gone) - 1
+            at = place[at]
+            symbols, word, rank = symbols[kept], word[kept], rank[kept]
+            again = np.concatenate([at, at[at > 0] - 1])
+            rank[again] = self._ranks(symbols, word, again)
+        tokens, words = np.concatenate(out_tokens), np.concatenate(out_words)
+        order = np.argsort(words, kind="stable")
+        return tokens[order], words[order]
+
+    def _ranks(self, symbols: np.ndarray, word: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Ranks of the merges of the symbols at these places with their right neighbours; of a word's last one, never."""
+        right = np.minimum(at + 1, len(symbols) - 1)
+        same = (word[right] == word[at]) & (at + 1 < len(symbols))
+        found = self.pair_rank.get(symbols[at] * self.size + symbols[right], _NEVER)
+        return np.where(same, found, _NEVER)
+
+    def merge(self, word: bytes) -> list[int]:
+        """The merges for one long word, by rank and then from the left, in n log n."""
+        ids = self.first[list(word)].tolist()
+        ids[-1] = int(self.last[word[-1]])
         rank = lambda x, y: self.rank_of_pair.get(x * self.size + y)
         before, after = list(range(-1, len(ids) - 1)), [*range(1, len(ids)), -1]
         heap = [(r, i, x, y) for i, (x, y) in enumerate(zip(ids, ids[1:])) if (r := rank(x, y)) is not None]
@@ -163,22 +247,41 @@ class SpeculativeBPE:
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Ids of words (not empty, as the splitter gives them)."""
-        spelled = [w if w.isascii() and w.isprintable() else "".join([self.alphabet[b] for b in w.encode()]) for w in words]
-        guess = [self.greedy(w) for w in spelled]
-        sizes = np.array([len(g) if g else 0 for g in guess], dtype=np.int64)
-        flat = np.array([i for g in guess if g for i in g], dtype=np.int64)
-        word_of = np.repeat(np.arange(len(words)), sizes)
-        failed = sizes == 0
-        failed[word_of[~self.valid[flat]]] = True
-        inside = np.flatnonzero(word_of[1:] == word_of[:-1])
-        pair, back = np.unique(flat[inside] * self.size + flat[inside + 1], return_inverse=True)
-        fits = self.compatible(pair // self.size, pair % self.size)
-        failed[word_of[inside[~fits[back]]]] = True
-        for i in np.flatnonzero(failed):
-            guess[i] = self.merge(spelled[i])
-        self.exact += int(failed.sum())
+        coded = [w.encode() for w in words]
+        out: list[list[int]] = [[]] * len(words)
+        few = [i for i, w in enumerate(coded) if len(w) <= SHORT]
+        for i, w in enumerate(coded):
+            if len(w) > SHORT:
+                out[i] = self.merge(w)
+        self.exact += len(words) - len(few)
         self.guessed += len(words)
-        return guess
+        if not few:
+            return out
+        size = np.array([len(coded[i]) for i in few])
+        data, start = np.frombuffer(b"".join([coded[i] for i in few]), np.uint8).astype(np.int64), np.cumsum(size) - size
+        tokens, word, failed = self.greedy(data, start, start + size)
+        failed[word[~self.valid[tokens]]] = True
+        inside = np.flatnonzero(word[1:] == word[:-1])
+        fits = self.compatible(tokens[inside], tokens[inside + 1])
+        failed[word[inside[~fits]]] = True
+        good = ~failed[word]
+        tokens, word = tokens[good], word[good]
+        if failed.any():
+            bad = np.flatnonzero(failed)
+            of = np.repeat(bad, size[bad])
+            place = np.arange(len(of)) - np.repeat(np.cumsum(size[bad]) - size[bad], size[bad]) + start[of]
+            symbols = self.first[data[place]]
+            end = place == (start + size - 1)[of]
+            symbols[end] = self.last[data[place[end]]]
+            more, own = self.merge_all(symbols, size[bad])
+            tokens, word = np.concatenate([tokens, more]), np.concatenate([word, bad[own]])
+            order = np.argsort(word, kind="stable")
+            tokens, word = tokens[order], word[order]
+            self.exact += len(bad)
+        cut, flat = np.searchsorted(word, np.arange(len(few) + 1)).tolist(), tokens.tolist()
+        for k, i in enumerate(few):
+            out[i] = flat[cut[k] : cut[k + 1]]
+        return out
 
     def words(self, text: str) -> list[str]:
         """The text's words as the library splits them; special tokens stand for themselves."""
@@ -194,13 +297,9 @@ class SpeculativeBPE:
     def _plain(self, text: str) -> list[str]:
         if not _SAFE.search(text):
             return _FAST.findall(text.lower())
-        back = self._bytes()
+        back = self.byte_of
         return [bytes([back[c] for c in w]).decode() for w, _ in self._split(self._normalise(text))]
 
-    @lru_cache(maxsize=1)  # noqa: B019 - one object for each worker process
-    def _bytes(self) -> dict[str, int]:
-        return {c: b for b, c in enumerate(self.alphabet)}
-
     def learn(self, words: set[str]) -> dict[str, list[int]]:
         """The ids of each word."""
         plain = [w for w in words if w not in self.special]

@@ -60,7 +60,7 @@ class TokenFile:
 
 @lru_cache(maxsize=1)
 def _forms(path: str | None) -> bpe.WordForms:
-    return bpe.WordForms(bpe.load(path), lambda ids: np.array(ids, dtype="<u4").tobytes())
+    return bpe.WordForms(bpe.load(path), lambda ids: struct.pack(f"<{len(ids)}I", *ids))
 
 
 def write(docs: DataFrame, to: str, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, parts: int | None = None, end_id: int = END_ID) -> None:
