@@ -14,7 +14,8 @@ from .backoff import joined
 HASHES, BANDS, ROWS = 96, 20, 4
 #: Values that one step of the comparison looks at.
 STEP = 16
-_KEPT_WORDS = 1_000_000
+#: Words whose hashes each worker process keeps.
+_KEPT_WORDS = 250_000
 
 
 class _Hashes(dict):
