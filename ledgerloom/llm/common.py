@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 ROOT = Path(__file__).resolve().parents[2]
 #: Rows in one Arrow batch. Whole texts travel in them, so far fewer than Spark's 10,000.
 BATCH_ROWS = 1000
+#: The column that with_key adds.
+KEY = "_row_key"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +55,11 @@ def persist(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_key(df: DataFrame) -> DataFrame:
+    """df as a written table with a number for each row, so that the number stays the same in all that reads it."""
+    return persist(df.select("*", F.monotonically_increasing_id().alias(KEY)), "keyed")
+
+
 def fold(id_col: str, n: int) -> Column:
     """crc32 of the id as text, modulo n."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % n

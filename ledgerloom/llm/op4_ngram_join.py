@@ -219,6 +219,14 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class, the document with the lowest doc_id stays; documents with null ids all stay."""
-    dropped = classes(docs).where("doc_id <> class_id").select("doc_id").hint("shuffle_hash")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """Of each class of rows, the one with the lowest doc_id stays, null ids last; of equal ids the first row written.
+
+    Rows are told apart by a key written with them, so repeated and null ids are documents like all others.
+    """
+    docs, columns = common.with_key(docs), docs.columns
+    linked = classes(docs, common.KEY).where("n_links > 0").select(common.KEY, "class_id")
+    ranked = linked.join(docs.select(common.KEY, "doc_id").hint("shuffle_hash"), common.KEY)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", common.KEY)).alias("first")
+    kept = ranked.groupBy("class_id").agg(first).select(f"first.{common.KEY}")
+    dropped = linked.select(common.KEY).join(kept.hint("shuffle_hash"), common.KEY, "left_anti")
+    return docs.join(dropped.hint("shuffle_hash"), common.KEY, "left_anti").select(*columns)

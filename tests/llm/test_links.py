@@ -72,6 +72,16 @@ def test_join_edges(spark):
     assert 6 not in ids and 13 not in ids and {1, 2, 3, 4, 5, 7, 8} <= set(ids)
 
 
+def test_stage_removes_rows_and_not_ids(spark):
+    """Repeated ids with different texts, copies that share an id, copies without one."""
+    a, b, c, d = (prose(60, 700 + k) for k in range(4))
+    near = a.replace(a.split()[30], "changed", 1)
+    docs = [(1, a), (2, near), (2, b), (3, c), (3, c), (None, c), (None, d), (None, d), (None, "")]
+    got = rows(op4_ngram_join.stage(spark, spark.createDataFrame(docs, "doc_id long, text string").repartition(3), ""))
+    known = lambda x: (x[0] or 99, x[1])
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=known) == sorted([(1, a), (2, b), (3, c), (None, d), (None, "")], key=known)
+
+
 def test_least_matches_is_the_posterior():
     for k, m in enumerate(shingles.least_matches(0.8, 1e-3), 1):
         n, t = 16 * k, 0.8 + 0.2 / 256
