@@ -175,12 +175,16 @@ def masked(text: Column, spans: Column) -> Column:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data in their texts replaced by its kind; n_chars follows."""
-    found = disjoint(found_spans(docs).where(F.size("spans") > 0).groupBy("id").agg(F.first("spans").alias("spans")))
-    joined = docs.alias("d").join(found.hint("shuffle_hash").alias("f"), F.col("d.doc_id") == F.col("f.id"), "left")
+    """All documents, personal data in their texts replaced by its kind; n_chars follows.
+
+    Spans go back to their own row by a key written with the documents, so repeated and null ids are masked like others.
+    """
+    docs, columns = common.with_key(docs), docs.columns
+    found = disjoint(found_spans(docs, common.KEY).where(F.size("spans") > 0))
+    joined = docs.alias("d").join(found.hint("shuffle_hash").alias("f"), F.col(f"d.{common.KEY}") == F.col("f.id"), "left")
     spans, text = F.col("f.spans"), F.col("d.text")
     new = {"text": F.when(spans.isNull() | text.isNull(), text).otherwise(masked(text, spans))}
-    if "n_chars" in docs.columns:
+    if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
         new["n_chars"] = F.when(spans.isNull(), F.col("d.n_chars")).otherwise(F.length(new["text"])).cast(kind)
-    return joined.select(*[new[c].alias(c) if c in new else F.col(f"d.`{c}`") for c in docs.columns])
+    return joined.select(*[new[c].alias(c) if c in new else F.col(f"d.`{c}`") for c in columns])

@@ -92,6 +92,14 @@ def test_masking(spark):
     assert rows(op7_pii.stage(spark, no_documents(spark), "")) == []
 
 
+def test_masking_by_row(spark):
+    """Rows that share an id, or have none, are masked by their own spans."""
+    docs = [(None, "mail a@b.com now"), (None, "no data in here"), (5, "x 1.2.3.4 y"), (5, "clean text, long enough to cut"), (5, "to c@d.org please")]
+    got = rows(op7_pii.stage(spark, spark.createDataFrame(docs, "doc_id long, text string").repartition(3), ""))
+    want = [(None, "mail [email] now"), (None, "no data in here"), (5, "x [ip] y"), (5, "clean text, long enough to cut"), (5, "to [email] please")]
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == sorted((i or 0, t) for i, t in want)
+
+
 def _plain_pairs(turns):
     by = {}
     for c, t, r, x in turns:
