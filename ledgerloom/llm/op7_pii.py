@@ -1,12 +1,14 @@
 """Operator 7: personal data by fixed forms, then by contexts learned from what the forms found. Spark expressions only.
 
 1. One pass over the texts writes, for each document, what the forms and a form for identifier-like tokens match, with
-   the text's length before each match and the end of the words before it. No text is kept.
+   the text's length before each match and the two words before each token. No text is kept.
 2. Matches become spans by running sums within a document. Valid ones are the seeds.
-3. The last one and two words before a span, and a key glued to it as in `key=value`, are its patterns. Patterns and
-   instances (the matched strings) form a graph, counted over distinct instances, so copies of a document count once.
+3. The last one and two words before a span, and a key glued to it as in `key=value`, are its patterns. Any word counts,
+   those with digits too. A form's match begins within a token: its words are what is before it in that token, if there
+   is something, and then the token's. Patterns and instances (the matched strings) form a graph, counted over distinct
+   instances, so copies of a document count once.
 4. In each round patterns are scored by how many distinct known instances they precede and which share of all that
-   is; instances behind trusted patterns become known, and are seeds of the next round.
+   is; instances behind trusted patterns become known, and are seeds of the next round, until a round adds none.
 """
 
 from __future__ import annotations
@@ -30,27 +32,50 @@ FORMS = {
 #: A token with a digit or @.
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
-#: Characters kept of what precedes a match, and of a token that is looked at; longer tokens are no identifiers.
-BEFORE, LONGEST = 80, 80
+_SPACE = r"[\x20\x09-\x0D]+"
+#: Longer words and instances are told apart by their hash, so that the graph stays small.
+LONGEST = 80
+#: Shorter tokens are no identifiers: they are cut out wherever they occur, so a `5` or `2nd` would be too.
 SHORTEST = 6
 #: A trusted pattern precedes so many distinct known instances, and so large a share of all it precedes.
-LEAST_KNOWN, LEAST_SHARE, ROUNDS = 5, 0.6, 2
+LEAST_KNOWN, LEAST_SHARE = 5, 0.6
 
 
-def _matches(text: Column, kind: int, form: str, guard: Column) -> Column:
-    """array of (kind, idx, before, match, context): before is the length of text since the last match's end."""
+_MATCHES = "array<struct<kind:int,idx:int,before:int,match:string,w1:string,w2:string>>"
+
+
+def _matches(text: Column, kind: int, form: str, guard: Column, words: Column | None = None) -> Column:
+    """array of (kind, idx, before, match, w1, w2): before is the length of text since the last match's end.
+
+    `words` gives the last word and the one before it for each match in order.
+    """
     from .op3_rules import let
 
-    found = F.when(guard, F.regexp_extract_all(text, F.lit(form), F.lit(0)))
-    rows = lambda m: F.when(
-        F.size(m) > 0,
-        F.transform(
-            F.arrays_zip(m.alias("m"), F.slice(F.split(text, form), F.lit(1), F.size(m)).alias("p")),
-            lambda z, i: F.struct(F.lit(kind).alias("kind"), i.alias("idx"), F.length(z["p"]).alias("before"), z["m"].alias("match"), F.right(z["p"], F.lit(BEFORE)).alias("context")),
-        ),
-    )
-    none = F.array().cast("array<struct<kind:int,idx:int,before:int,match:string,context:string>>")
-    return F.coalesce(let(found, rows), none)
+    found, no = F.when(guard, F.regexp_extract_all(text, F.lit(form), F.lit(0))), F.lit(None).cast("string")
+
+    def rows(m: Column) -> Column:
+        parts = [m.alias("m"), F.slice(F.split(text, form), F.lit(1), F.size(m)).alias("p")]
+        both = F.arrays_zip(*parts, *([] if words is None else [words.alias("w")]))
+        w = lambda z, k: no if words is None else z["w"][k]
+        one = lambda z, i: F.struct(F.lit(kind).alias("kind"), i.alias("idx"), F.length(z["p"]).alias("before"), z["m"].alias("match"), w(z, "w1").alias("w1"), w(z, "w2").alias("w2"))
+        return F.when(F.size(m) > 0, F.transform(both, one))
+
+    return F.coalesce(let(found, rows), F.array().cast(_MATCHES))
+
+
+def _words_before(text: Column) -> Column:
+    """array of (w1, w2), the last word and the one before it, for each word with a digit or @, which TOKEN matches."""
+    from .op3_rules import let
+
+    before = lambda a, i: F.struct(_named(F.get(a, i - 1)).alias("w1"), _named(F.get(a, i - 2)).alias("w2"))
+    each = lambda a: F.array_compact(F.transform(a, lambda w, i: F.when(w.rlike("[0-9@]"), before(a, i))))
+    return let(F.array_remove(F.split(text, _SPACE), ""), each)
+
+
+def _named(word: Column) -> Column:
+    """A word in lower case with its digits as 0; a long one by its hash."""
+    form = F.regexp_replace(F.lower(word), "[0-9]", "0")
+    return F.when(F.length(form) > LONGEST, F.sha2(form, 256)).otherwise(form)
 
 
 def _valid() -> Column:
@@ -72,36 +97,46 @@ def matched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = common.text_of(text_col)
     some, at = text.rlike("[0-9]"), text.contains("@")
     guards = {"email": at, "ip": some, "card": some, "phone": text.contains("+")}
-    found = F.concat(*[_matches(text, k, FORMS[n], guards[n]) for k, n in enumerate(KINDS)], _matches(text, len(KINDS), TOKEN, some | at))
+    tokens = _matches(text, len(KINDS), TOKEN, some | at, _words_before(text))
+    found = F.concat(*[_matches(text, k, FORMS[n], guards[n]) for k, n in enumerate(KINDS)], tokens)
     return common.persist(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), found.alias("found")), "pii-matches")
 
 
 def _spans(rows: DataFrame) -> DataFrame:
     """(row, kind, start, end, instance, patterns) of every valid match; tokens lose marks at either end."""
-    each = rows.where(F.size("found") > 0).select("row", F.explode("found").alias("x")).select("row", "x.*")
+    token = F.col("kind") == len(KINDS)
+    each = rows.where(F.size("found") > 0).select("row", F.explode("found").alias("x")).select("row", "x.*").repartition("row")
     so_far = Window.partitionBy("row", "kind").orderBy("idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ends = F.sum(F.col("before") + F.length("match")).over(so_far)
     each = each.withColumn("end", ends.cast("int")).where(_valid()).withColumn("start", F.col("end") - F.length("match"))
-    head = F.when(F.col("kind") == len(KINDS), F.length(F.regexp_extract("match", r"^\p{Punct}*", 0))).otherwise(0)
-    core = F.when(F.col("kind") == len(KINDS), F.regexp_replace("match", r"^\p{Punct}+|\p{Punct}+$", "")).otherwise(F.col("match"))
+    in_order = Window.partitionBy("row").orderBy("start", F.desc("kind")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    around = F.last(F.when(token, F.struct("start", "match", "w1", "w2")), ignorenulls=True)
+    each = each.withColumn("t", around.over(in_order))
+    glued = F.when(~token, F.nullif(F.substring(F.col("t.match"), F.lit(1), F.col("start") - F.col("t.start")), F.lit("")))
+    each = each.select("row", "kind", "start", "match", _named(glued).alias("glued"), "t.w1", "t.w2")
+    head = F.when(token, F.length(F.regexp_extract("match", r"^\p{Punct}*", 0))).otherwise(0)
+    core = F.when(token, F.regexp_replace("match", r"^\p{Punct}+|\p{Punct}+$", "")).otherwise(F.col("match"))
     each = each.withColumn("start", F.col("start") + head).withColumn("core", core).withColumn("end", F.col("start") + F.length("core"))
-    words = F.array_remove(F.split(F.regexp_replace(F.lower("context"), "[0-9]", "0"), r"[\x20\x09-\x0D]+"), "")
-    n = F.size("words")
-    key = F.regexp_extract("core", r"^([A-Za-z_][A-Za-z_-]*[=:])", 1)
-    each = each.withColumn("words", words)
-    patterns = F.filter(F.array(F.when(n >= 1, F.concat(F.lit("1 "), F.element_at("words", -1))), F.when(n >= 2, F.concat(F.lit("2 "), F.element_at("words", -2), F.lit(" "), F.element_at("words", -1))), F.when(F.length(key) > 0, F.concat(F.lit("k "), F.lower(key)))), lambda p: p.isNotNull())
-    return each.select("row", "kind", "start", "end", F.lower("core").alias("instance"), patterns.alias("patterns"))
+    last, second = F.coalesce("glued", "w1"), F.when(F.col("glued").isNull(), F.col("w2")).otherwise(F.col("w1"))
+    key = F.lower(F.nullif(F.regexp_extract("core", r"^([A-Za-z_][A-Za-z_-]*[=:])", 1), F.lit("")))
+    patterns = F.array_compact(F.array(F.concat(F.lit("1 "), last), F.concat(F.lit("2 "), second, F.lit(" "), last), F.concat(F.lit("k "), key)))
+    n, instance = F.length("core"), F.lower("core")
+    instance = F.when(n > LONGEST, F.sha2(instance, 256)).otherwise(instance)
+    return each.select("row", "kind", "start", "end", instance.alias("instance"), n.alias("n"), patterns.alias("patterns"))
+
 
+def learned(spans: DataFrame, least_known: int = LEAST_KNOWN, least_share: float = LEAST_SHARE, rounds: int | None = None) -> DataFrame:
+    """(instance, confidence): tokens that trusted patterns introduce, and the best of these patterns' scores.
 
-def learned(spans: DataFrame, least_known: int = LEAST_KNOWN, least_share: float = LEAST_SHARE, rounds: int = ROUNDS) -> DataFrame:
-    """(instance, confidence): tokens that trusted patterns introduce, and the best of these patterns' scores."""
+    Rounds go on until one adds nothing, or to `rounds` if given.
+    """
     token = len(KINDS)
-    long_enough = (F.col("kind") < token) | (F.length("instance").between(SHORTEST, LONGEST))
+    long_enough = (F.col("kind") < token) | (F.col("n") >= SHORTEST)
     uses = spans.where(long_enough).select(F.explode("patterns").alias("pattern"), "instance", (F.col("kind") < token).alias("seed"))
     edges = common.persist(uses.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-graph")
     seeds = edges.groupBy("instance").agg(F.max("seed").alias("seed")).where("seed").select("instance")
-    found = None
-    for _ in range(rounds):
+    found, size, done = None, 0, 0
+    while rounds is None or done < rounds:
         known = (seeds if found is None else seeds.union(found.select("instance"))).withColumn("known", F.lit(True))
         graph = edges.join(known.hint("shuffle_hash"), "instance", "left").withColumn("known", F.coalesce("known", F.lit(False)))
         scored = graph.groupBy("pattern").agg(F.sum(F.col("known").cast("long")).alias("f"), F.count("*").alias("n"))
@@ -109,10 +144,13 @@ def learned(spans: DataFrame, least_known: int = LEAST_KNOWN, least_share: float
         trusted = trusted.select("pattern", (F.col("f") / F.col("n") * F.log2("f")).alias("score"))
         new = graph.where(~F.col("known")).join(trusted.hint("shuffle_hash"), "pattern").groupBy("instance").agg(F.max("score").alias("confidence"))
         found = common.persist(new if found is None else found.union(new), "pii-found")
+        last, size, done = size, found.count(), done + 1
+        if size == last:
+            break
     return found
 
 
-def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_known: int = LEAST_KNOWN, least_share: float = LEAST_SHARE, rounds: int = ROUNDS) -> DataFrame:
+def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_known: int = LEAST_KNOWN, least_share: float = LEAST_SHARE, rounds: int | None = None) -> DataFrame:
     """(row, id, spans, n_email, n_ip, n_card, n_phone, n_id) of every document row.
 
     spans: (kind, start, end), by kind and then start, in code points with the end exclusive; kind 0 to 3 are the forms,

@@ -77,6 +77,29 @@ def test_contexts_discover_identifiers(spark):
     assert sum(r["n_id"] for r in rows(few)) == 0  # four seeds are too few
 
 
+def test_contexts_hold_words_with_digits_long_tokens_and_all_rounds(spark):
+    """A token behind a word with a digit, behind wide space, of many characters, and some that only a third round finds."""
+    key = "k3y" + "Ab9x" * 60
+    texts = [f"clerk{k % 9} 2 u{k}@mail.example.com end" for k in range(40)] + ["clerk7 2 QX-77120-B end", f"clerk1 2 {key} end", "clerk3 2" + " " * 200 + "WIDE-4411 end"]
+    texts += [f"clerk5 2 chain-{k}a end" for k in range(10)] + [f"lot a {x} then" for x in [f"chain-{k}a" for k in range(10)] + [f"chain-{k}b" for k in range(5)]]
+    texts += [f"lot b {x} then" for x in [f"chain-{k}b" for k in range(5)] + [f"chain-{k}c" for k in range(3)]]
+    found = rows(op7_pii.found_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    got = {texts[r["id"]][s["start"] : s["end"]] for r in found for s in r["spans"] if s["kind"] == 4}
+    assert got == {"QX-77120-B", key, "WIDE-4411"} | {f"chain-{k}{c}" for c, n in (("a", 10), ("b", 5), ("c", 3)) for k in range(n)}
+
+
+def test_words_before_are_the_texts(spark):
+    """Each use's patterns are the last words of the text before it."""
+    texts = ["", "a1", " a1 b2\tc3  d e4", "to <x@y.zz,q@r.ss> 4111 1111 1111 1111", "no words + 1.2.3.4 ++49 30 123456. +1-2", *(t for _, t in edge_texts() if t), *TEXTS]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = rows(op7_pii._spans(op7_pii.matched(docs, "doc_id", "text")).join(op7_pii.matched(docs, "doc_id", "text").select("row", "id"), "row"))
+    for r in (r for r in spans if r["kind"] < 4):
+        w = [re.sub("[0-9]", "0", x.lower()) for x in re.split("[\x20\x09-\x0d]+", texts[r["id"]][: r["start"]]) if x]
+        w = [hashlib.sha256(x.encode()).hexdigest() if len(x) > 80 else x for x in w]
+        want = ([f"1 {w[-1]}"] if w else []) + ([f"2 {w[-2]} {w[-1]}"] if len(w) > 1 else [])
+        assert [p for p in r["patterns"] if p[0] != "k"] == want
+
+
 def test_query_is_native(spark):
     docs = spark.createDataFrame(_contexts(), "doc_id long, text string")
     plan = op7_pii.found_spans(docs)._jdf.queryExecution().executedPlan().toString()
