@@ -36,16 +36,18 @@ def likeness(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(F.size(F.array_intersect(x, y)).cast("double"), F.size(F.array_union(x, y)).cast("double")), F.lit(0.0))
 
 
-def descendants(edges: DataFrame, parent: str, child: str, depth: int = 16) -> DataFrame:
-    """(ancestor, node, depth) for every node below another; edges form a tree of at most `depth` levels."""
+def descendants(edges: DataFrame, parent: str, child: str) -> DataFrame:
+    """(ancestor, node, depth) for every node below another, down to the last level; edges must not lead in a circle."""
     from .joins import cut
 
     step = cut(edges.select(F.col(parent).alias("ancestor"), F.col(child).alias("node"), F.lit(1).alias("depth")))
     out, below = step, edges.select(F.col(parent).alias("_p"), F.col(child).alias("_c"))
-    for d in range(2, depth + 1):
+    d = 1
+    while not step.isEmpty():
+        if not step.where("ancestor = node").isEmpty():
+            raise ValueError(f"edges lead in a circle of {d}")
+        d += 1
         step = cut(step.join(below, F.col("node") == F.col("_p")).select("ancestor", F.col("_c").alias("node"), F.lit(d).alias("depth")))
-        if step.isEmpty():
-            break
         out = out.union(step)
     return out
 

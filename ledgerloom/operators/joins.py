@@ -78,19 +78,36 @@ def only_pairs(pairs: DataFrame, left: str, right: str) -> DataFrame:
     return pairs.withColumn("_l", F.count("*").over(l)).withColumn("_r", F.count("*").over(r)).where("_l = 1 AND _r = 1").drop("_l", "_r")
 
 
-def one_to_one(pairs: DataFrame, left: str, right: str, score: str, rounds: int = 4) -> DataFrame:
-    """Greedy matching: in each round the pairs that are best for both sides are taken, their sides leave.
+def one_to_one(pairs: DataFrame, left: str, right: str, score: str) -> DataFrame:
+    """Greedy matching until no pair is left: in each round the pairs that are best for both sides are taken, their sides leave.
 
-    Ties go to the lower left and then the lower right. Pairs left after the rounds are of ever lower rank; four rounds
-    match all but long chains of equal preference, and none is matched twice.
+    Ties go to the lower left and then the lower right. Where all of some lefts and all of some rights tie for best with
+    each other and with no one else, they are matched by rank in one round.
     """
-    left_, taken = cut(pairs.select(left, right, score)), None
-    for _ in range(rounds):
-        order = lambda mine, other: Window.partitionBy(mine).orderBy(F.col(score).desc(), F.col(left), F.col(right))
-        best = left_.withColumn("_l", F.row_number().over(order(left, right))).withColumn("_r", F.row_number().over(order(right, left))).where("_l = 1 AND _r = 1").drop("_l", "_r")
+    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    left_, taken, rounds = cut(pairs.groupBy(left, right).agg(F.max(score).alias(score))), None, 0
+    while taken is None or not left_.isEmpty():
+        d = left_
+        for side, mine, other in (("l", left, right), ("r", right, left)):
+            w = Window.partitionBy(mine)
+            d = d.withColumn(f"_{side}", F.row_number().over(w.orderBy(F.col(score).desc(), F.col(other)))).withColumn(f"_{side}top", F.max(score).over(w))
+        d = d.withColumn("_tied", F.coalesce((F.col(score) == F.col("_ltop")) & (F.col(score) == F.col("_rtop")), F.lit(False)))
+        for side, mine, other in (("l", left, right), ("r", right, left)):
+            w = Window.partitionBy(mine)
+            tops, ties = F.count_if(F.col(score) == F.col(f"_{side}top")).over(w), F.count_if("_tied").over(w)
+            mates = [F.sum(F.when(F.col("_tied"), F.xxhash64(F.lit(k), other).cast("decimal(38,0)"))).over(w) for k in (1, 2)]
+            d = d.withColumn(f"_{side}set", F.struct((tops == ties).alias("own"), ties.alias("n"), mates[0].alias("a"), mates[1].alias("b")))
+        for side, mine, theirs in (("l", left, "_rset"), ("r", right, "_lset")):
+            x = F.when(F.col("_tied"), F.col(theirs))
+            d = d.withColumn(f"_{side}same", F.min(x).over(Window.partitionBy(mine)) == F.max(x).over(Window.partitionBy(mine)))
+        # tied pairs come first on either side, so a place among all pairs is the rank within the block
+        block = F.col("_tied") & F.col("_lsame") & F.col("_rsame") & F.col("_lset.own") & F.col("_rset.own")
+        best = d.where((F.col("_l") == F.col("_r")) & ((F.col("_l") == 1) | block)).select(left, right, score)
         best = cut(best)
-        taken = best if taken is None else taken.union(best)
+        taken, rounds = best if taken is None else taken.union(best), rounds + 1
+        if rounds % 16 == 0:
+            taken = cut(taken)
         gone_l, gone_r = best.select(F.col(left).alias("_x")), best.select(F.col(right).alias("_y"))
-        left_ = left_.join(gone_l, F.col(left) == F.col("_x"), "left_anti").join(gone_r, F.col(right) == F.col("_y"), "left_anti")
+        left_ = left_.join(gone_l, same(left, "_x"), "left_anti").join(gone_r, same(right, "_y"), "left_anti")
         left_ = cut(left_)
     return taken

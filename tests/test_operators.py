@@ -163,3 +163,27 @@ def test_units(spark):
     src = spark.createDataFrame([(i,) for i in range(4)], "id int")
     units = spark.createDataFrame([(0, True, "v2"), (1, False, "v2"), (2, True, "v1")], "id int, complete boolean, version string")
     assert sorted(r["id"] for r in rows(store.to_read(src, units, ["id"], "v2"))) == [1, 2, 3]
+
+
+def test_ties_long_chains_and_deep_trees_are_followed_to_the_end(spark):
+    """A tied block of 30 x 25 beside a chain that takes a round for each link; equal to a plain loop over sorted pairs."""
+    from ledgerloom.operators import evaluate
+
+    pairs = [(a, b, 5) for a in range(30) for b in range(25)] + [(100 + k, 100 + k + d, 50 - 2 * k - d) for k in range(8) for d in (0, 1)]
+    want, used_l, used_r = [], set(), set()
+    for a, b, s in sorted(pairs, key=lambda x: (-x[2], x[0], x[1])):
+        if a not in used_l and b not in used_r:
+            want.append((a, b, s))
+            used_l.add(a)
+            used_r.add(b)
+    got = rows(joins.one_to_one(spark.createDataFrame(pairs, "a int, b int, s int"), "a", "b", "s"))
+    assert sorted((r["a"], r["b"], r["s"]) for r in got) == sorted(want) and len(want) == 33
+    line = spark.createDataFrame([(k, k + 1) for k in range(19)], "p int, c int")
+    assert evaluate.descendants(line, "p", "c").count() == 19 * 20 // 2
+
+
+def test_subsets_of_large_groups(spark):
+    data = [("big", f"{i:02d}", float(1 << i), float((1 << 3) + (1 << 20) + (1 << 22))) for i in range(24)]
+    data += [("tie", f"{i:02d}", 1.0, 3.0) for i in range(30)] + [("none", f"{i:02d}", 2.0, 999.0) for i in range(22)]
+    got = rows(breakdowns.subsets(spark.createDataFrame(data, "g string, i string, v double, t double"), ["g"], "i", "v", "t", 1e-9))
+    assert {r["g"]: r["items"] for r in got} == {"big": ["03", "20", "22"], "tie": ["00", "01", "02"]}
