@@ -13,7 +13,11 @@ _SKIPPED = {"script", "style", "noscript", "template"}
 
 
 class _Items(HTMLParser):
-    """Text blocks and tables in order. Cells with row or column spans repeat over the places they cover."""
+    """Text blocks and tables in order. Cells with row or column spans repeat over the places they cover.
+
+    An inner table's rows follow the row that they are in, in the outermost table. Text in a table but in no cell is a
+    text block before it. Tables that never end end with the page.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -23,7 +27,7 @@ class _Items(HTMLParser):
 
     def _close(self) -> None:
         t = " ".join("".join(self.text).split())
-        if t and not self.tables:
+        if t:
             self.items.append(("text", self.tag, [t]))
         self.text = []
 
@@ -32,16 +36,20 @@ class _Items(HTMLParser):
         if tag in _SKIPPED:
             self.skip += 1
         elif tag == "table":
-            self._close()
-            self.tables.append({"rows": [], "held": {}, "cell": None, "at": 0})
+            if not self._in_cell():
+                self._close()
+            self.tables.append({"rows": [], "held": {}, "cell": None, "at": 0, "inner": {}, "before": self.text})
+            self.text = []
         elif self.tables:
             t = self.tables[-1]
             if tag == "tr":
                 self._cell()
+                self._close()
                 t["rows"].append({})
                 t["at"] = 0
             elif tag in ("td", "th"):
                 self._cell()
+                self._close()
                 if not t["rows"]:
                     t["rows"].append({})
                 span = [int(x) if (x := a.get(k) or "1").isdigit() else 1 for k in ("rowspan", "colspan")]
@@ -51,6 +59,32 @@ class _Items(HTMLParser):
             self._close()
             self.tag = tag
 
+    def _in_cell(self) -> bool:
+        return bool(self.tables) and self.tables[-1]["cell"] is not None
+
+    def _table(self) -> None:
+        """Ends the innermost table: its rows are an item's, or go to the table around it."""
+        self._cell()
+        self._close()
+        t = self.tables.pop()
+        width = 1 + max((c for r in t["rows"] for c in r), default=-1)
+        rows = list(t["inner"].get(-1, []))
+        for k, r in enumerate(t["rows"]):
+            full = {**r, **{c: x for (i, c), x in t["held"].items() if i == k}}
+            rows += [[full.get(c, "") for c in range(width)]] if width else []
+            rows += t["inner"].get(k, [])
+        self.text = [*t["before"], " "]
+        if self.tables:
+            outer = self.tables[-1]
+            outer["inner"].setdefault(len(outer["rows"]) - 1, []).extend(rows)
+        elif width := max(map(len, rows), default=0):
+            self.items.append(("table", "table", [[*x, *[""] * (width - len(x))] for x in rows]))
+
+    def close(self) -> None:
+        super().close()
+        while self.tables:
+            self._table()
+
     def _cell(self) -> None:
         t = self.tables[-1]
         if t["cell"] is None:
@@ -73,13 +107,9 @@ class _Items(HTMLParser):
         elif self.tables and tag in ("td", "th", "tr"):
             self._cell()
         elif self.tables and tag == "table":
-            self._cell()
-            t = self.tables.pop()
-            width = 1 + max((c for r in t["rows"] for c in r), default=-1)
-            rows = [[{**r, **{c: x for (i, c), x in t["held"].items() if i == k}}.get(c, "") for c in range(width)] for k, r in enumerate(t["rows"])]
-            if width and not self.tables:
-                self.items.append(("table", "table", rows))
-            self.text = []
+            self._table()
+        elif self._in_cell() and tag in _BLOCKS:
+            self.text.append(" ")
         elif tag in _BLOCKS:
             self._close()
 

@@ -187,3 +187,20 @@ def test_subsets_of_large_groups(spark):
     data += [("tie", f"{i:02d}", 1.0, 3.0) for i in range(30)] + [("none", f"{i:02d}", 2.0, 999.0) for i in range(22)]
     got = rows(breakdowns.subsets(spark.createDataFrame(data, "g string, i string, v double, t double"), ["g"], "i", "v", "t", 1e-9))
     assert {r["g"]: r["items"] for r in got} == {"big": ["03", "20", "22"], "tie": ["00", "01", "02"]}
+
+
+def test_nested_and_unclosed_tables_keep_their_content():
+    from ledgerloom.sources.html import _Items
+
+    def found(html):
+        p = _Items()
+        p.feed(html)
+        p.close()
+        p._close()
+        return [(kind, x) for kind, _, x in p.items]
+
+    nested = "<p>top</p><table><tr><td>a <table><tr><td>x<td>y</tr><tr><td>z</table> b</td><td>c</td></tr><tr><td>d</td></tr></table><p>end</p>"
+    assert found(nested) == [("text", ["top"]), ("table", [["a b", "c"], ["x", "y"], ["z", ""], ["d", ""]]), ("text", ["end"])]
+    assert found("<p>top</p><table><tr><td>a</td></tr><p>after</p> and more") == [("text", ["top"]), ("text", ["after"]), ("text", ["and more"]), ("table", [["a"]])]
+    assert found("<table><tr><td><p>a</p><p>b</p></td></tr></table>") == [("table", [["a b"]])]
+    assert found("<table><tr><td>a<table><tr><td>x") == [("table", [["a"], ["x"]])]
