@@ -7,7 +7,8 @@
 3. Components of these edges gather what has to be verified. Their texts' shingle sets, cut into pairs of blocks again,
    are intersected exactly; each node gets the number of documents that it links to, and spanning edges of true links.
 4. Components of the true links are the classes.
-Nothing is emitted for each pair, so copies and near copies stay linear in rows.
+Nothing is emitted for each pair, and copies stay linear in rows; a large group of different near copies of m nodes is sent
+as m * m / BLOCK rows.
 """
 
 from __future__ import annotations
