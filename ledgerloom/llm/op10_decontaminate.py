@@ -1,7 +1,9 @@
 """Operator 10: benchmark decontamination by suffix arrays of the training documents.
 
-Documents stay where they are read: each task sorts the word suffixes of some megabytes of text at a time and searches
-every test suffix in that shard. The benchmark comes in blocks of bounded size, each broadcast by itself.
+Documents stay where they are read: each task sorts the word suffixes of some megabytes of text at a time and finds
+where every test suffix lies among them. Suffixes of the shard that begin with a window of the test's are hits; the test
+suffixes next to any suffix of the shard give its longest match. The benchmark comes in blocks of bounded size, each
+broadcast by itself; a larger one takes a pass, and a suffix array, for each block, which costs less than the searches.
 """
 
 from __future__ import annotations
@@ -22,13 +24,19 @@ BLOCK_BYTES = 8_000_000
 FOUND = "n_words long, n_hit long, items array<string>, longest long, longest_start long, longest_item string"
 
 
-def _block_filters(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int):
-    """The benchmark in blocks that the driver can hold: each a call that gathers one."""
-    held = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where("text is not null and item is not null")
-    total = held.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    n = 1 + total // block_bytes
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int):
+    """The distinct rows of the benchmark in blocks that the driver can hold: each a call that gathers one.
+
+    A block is of twice block_bytes at most, or one row.
+    """
+    held = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where("text is not null and item is not null").distinct()
+    own = lambda n: F.pmod(F.xxhash64("item", "text"), F.lit(n))
+    size = F.sum(F.octet_length("text") + 64)
+    n = 1 + (held.agg(size).first()[0] or 0) // block_bytes
+    while n > 1 and not held.groupBy(own(n)).agg(size.alias("size"), F.count("*").alias("rows")).where((F.col("size") > 2 * block_bytes) & (F.col("rows") > 1)).isEmpty():
+        n *= 2
     for k in range(n):
-        part = held if n == 1 else held.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k)
+        part = held if n == 1 else held.where(own(n) == k)
         yield lambda part=part: [tuple(r) for r in part.collect()]
 
 
@@ -76,13 +84,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
     A word is hit if it lies in any occurrence of `window` consecutive words of an item, or of all words of a shorter
     item. items: ids, as sorted strings, of the items with an occurrence; longest, longest_start, longest_item: words and
-    place of the longest verbatim match (of equal ones the first, by lowest item), 0, -1 and null without one. Null and
-    empty texts have no words; items without words or with a null id are left out; equal item ids count once; an empty
+    place of the longest verbatim match of any length with a run of words of one item (of equal ones the first, of the
+    item that is lowest as a string); 0, -1 and null without one. Null and empty texts have no words; items without words or with a null id are left out; equal item ids count once; an empty
     benchmark hits nothing. Rows stay as many as they are, repeated ids too. Other columns are not read.
     """
     common.prepare(docs.sparkSession)
     kind, parts, rows = docs.schema[id_col].dataType.simpleString(), [], docs.select(id_col, text_col)
-    blocks = list(_block_filters(benchmark, item_col, item_text_col, block_bytes))
+    blocks = list(_blocks(benchmark, item_col, item_text_col, block_bytes))
     if len(blocks) == 1:
         return _pass(rows, [id_col, text_col], text_col, blocks[0](), window, "found", f"`{id_col}` {kind}, {FOUND}")
     rows = rows.select(F.monotonically_increasing_id().alias("row"), id_col, text_col)
@@ -94,16 +102,16 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 def _merged(found: DataFrame, id_col: str) -> DataFrame:
     """One row for each document row, from what each block found there: at most as many as there are blocks."""
     hit = F.array_sort(F.flatten(F.collect_list("hit")))
-    best = F.max(F.struct("longest", (-F.col("longest_start")).alias("s"), (F.lit(0)).alias("z"), "longest_item"))
+    best = F.min(F.when(F.col("longest") > 0, F.struct((-F.col("longest")).alias("n"), "longest_start", "longest_item")))
     g = found.groupBy("row").agg(F.first(id_col).alias(id_col), F.first("n_words").alias("n_words"), hit.alias("hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), best.alias("best"))
     step = "aggregate(hit, struct(0L AS n, 0L AS at), (x, h) -> struct(x.n + greatest(0L, h.b - greatest(x.at, h.a)) AS n, greatest(x.at, h.b) AS at), x -> x.n)"
-    return g.select(id_col, "n_words", F.expr(step).alias("n_hit"), "items", F.col("best.longest"), (-F.col("best.s")).alias("longest_start"), F.col("best.longest_item"))
+    return g.select(id_col, "n_words", F.expr(step).alias("n_hit"), "items", F.coalesce(-F.col("best.n"), F.lit(0)).cast("long").alias("longest"), F.coalesce("best.longest_start", F.lit(-1)).cast("long").alias("longest_start"), "best.longest_item")
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of docs, all columns as they are, without those that hold an occurrence; one pass for each block."""
     common.prepare(docs.sparkSession)
-    for block in _block_filters(benchmark, item_col, item_text_col, block_bytes):
+    for block in _blocks(benchmark, item_col, item_text_col, block_bytes):
         docs = _pass(docs, docs.columns, text_col, block(), window, "clean", docs.schema)
     return docs
 

@@ -11,12 +11,18 @@ import numpy as np
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 
 
+#: Numbers of what is no word of the benchmark; its words come after them.
+ITEM_END, UNKNOWN, KNOWN = 0, 1, 2
+#: Suffixes that are compared at a time.
+SLICE = 100_000
+
+
 def words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(FOLD).split()
 
 
 def suffix_array(ids: np.ndarray, depth: int) -> np.ndarray:
-    """Starts of all suffixes of ids (0: end of a document), in order of their first `depth` words at least.
+    """Starts of all suffixes of ids, in order of their first `depth` words at least.
 
     As many ranks as fit in 63 bits are joined to one number and sorted, so each round multiplies the sorted depth.
     """
@@ -36,30 +42,18 @@ def suffix_array(ids: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
-class Tests:
-    """The benchmark's suffixes: of each item, every window of `window` words; of a shorter item, itself."""
+def ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the half-open ranges, and for each the range it is of."""
+    n = last - first
+    of = np.repeat(np.arange(len(first)), n)
+    return np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + first[of], of
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int) -> None:
-        self.names, self.window, self.of_item, starts, own = [], window, [], [], []
-        for name, text in items:
-            if not (w := words(text)):
-                continue
-            self.names.append(name)
-            for i in range(max(1, len(w) - window + 1)):
-                starts.append(tuple(w[i : i + window]))
-                own.append(i)
-                self.of_item.append(len(self.names) - 1)
-        self.of_item = np.array(self.of_item, dtype=np.int64)
-        self.offset = np.array(own, dtype=np.int64)
-        number: dict[tuple, int] = {}
-        self.query = np.array([number.setdefault(s, len(number)) for s in starts], dtype=np.int64)
-        self.queries = list(number)
-        self.by_query = np.argsort(self.query, kind="stable")
-        self.first = np.searchsorted(self.query[self.by_query], np.arange(len(number) + 1))
-
-
-def intervals(ids: np.ndarray, order: np.ndarray, query: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each query (a row of word numbers, of which the first `size` count) where its suffixes begin and end in order."""
+
+def bounds(ids: np.ndarray, order: np.ndarray, query: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each query (a row of word numbers, of which the first `size` count) where suffixes that begin so start and end in order."""
+    if len(query) > SLICE:
+        parts = [bounds(ids, order, query[a : a + SLICE], sizes[a : a + SLICE]) for a in range(0, len(query), SLICE)]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
     width = query.shape[1]
     at, beyond = np.arange(width), np.arange(width) >= sizes[:, None]
 
@@ -79,68 +73,151 @@ def intervals(ids: np.ndarray, order: np.ndarray, query: np.ndarray, sizes: np.n
     return bound(False), bound(True)
 
 
-def ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of the half-open ranges, and for each the range it is of."""
-    n = last - first
-    of = np.repeat(np.arange(len(first)), n)
-    return np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + first[of], of
+class Tests:
+    """All suffixes of a block of the benchmark, in order of their first `window` words; equal ones are one query.
+
+    Words are numbered from KNOWN; an item ends in ITEM_END, which is less than any word. A query is `whole` for the
+    suffixes that are an item of fewer than `window` words.
+    """
+
+    def __init__(self, items: list[tuple[str, str | None]], window: int) -> None:
+        self.window, self.number, self.names, parts = window, {}, [], []
+        number = defaultdict(count(KNOWN).__next__)
+        for name, text in sorted(items, key=lambda x: (x[0], x[1] or "")):
+            if w := words(text):
+                self.names.append(name)
+                parts.append(np.fromiter(map(number.__getitem__, w), np.int32, len(w)))
+        self.number = dict(number)
+        sizes = np.array([len(p) for p in parts], dtype=np.int64)
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        self.ids = np.full(int((sizes + 1).sum()) + window, ITEM_END, dtype=np.int32)
+        for s, p in zip(starts, parts):
+            self.ids[s : s + len(p)] = p
+        place = np.flatnonzero(self.ids >= KNOWN)
+        item = np.repeat(np.arange(len(parts), dtype=np.int32), sizes)
+        left = np.repeat(starts + sizes, sizes) - place  # words up to the item's end
+        order = suffix_array(self.ids, window)
+        order = order[self.ids[order] >= KNOWN]
+        back = np.zeros(len(self.ids), dtype=np.int64)
+        back[place] = np.arange(len(place))
+        self.order, self.item, left = order, item[back[order]], left[back[order]]
+        size = np.minimum(left, window)
+        rows = self.ids[order[:, None] + np.arange(window)]
+        rows[np.arange(window) >= size[:, None]] = ITEM_END
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+        self.first = np.append(np.flatnonzero(new), len(order))
+        self.query, self.size = rows[new], size[new]
+        self.whole = (left < window) & np.isin(order, starts)
 
 
 class Shard:
-    """Documents gathered until there are enough for one suffix array."""
+    """Documents gathered until there are enough for one suffix array. Words that no item has are UNKNOWN, as ends are."""
 
     def __init__(self, tests: Tests) -> None:
-        self.tests, self.number, self.parts, self.sizes, self.n = tests, defaultdict(count(1).__next__), [], [], 0
+        self.tests, self.parts, self.sizes, self.n, self.runs = tests, [], [], 0, {}
 
     def add(self, text: str | None) -> None:
-        w = words(text)
-        self.parts.append(np.fromiter(map(self.number.__getitem__, w), np.int64, len(w)))
+        w, number = words(text), self.tests.number
+        self.parts.append(np.fromiter((number.get(x, UNKNOWN) for x in w), np.int32, len(w)))
         self.sizes.append(len(w))
         self.n += len(w) + 1
 
     def search(self) -> list[tuple]:
         """For each document: words, hit words, items with an occurrence, then words, start and item of its longest match, then where its hits lie."""
-        t, sizes = self.tests, np.array(self.sizes, dtype=np.int64)
+        t, window, sizes = self.tests, self.tests.window, np.array(self.sizes, dtype=np.int64)
         starts = np.concatenate([[0], np.cumsum(sizes + 1)])
-        ids = np.zeros(int(starts[-1]) + t.window, dtype=np.int64)
+        end = int(starts[-1])
+        ids = np.full(end + window, UNKNOWN, dtype=np.int32)
         for s, p in zip(starts, self.parts):
             ids[s : s + len(p)] = p
-        known = self.number
-        able = [i for i, q in enumerate(t.queries) if all(w in known for w in q)]
-        out = [(n, 0, [], 0, -1, None, []) for n in self.sizes]
-        if not able:
-            return out
-        query = np.zeros((len(able), t.window), dtype=np.int64)
-        for row, i in zip(query, able):
-            row[: len(t.queries[i])] = [known[w] for w in t.queries[i]]
-        length = np.array([len(t.queries[i]) for i in able])
-        order = suffix_array(ids[: starts[-1]], t.window)
-        lo, hi = intervals(ids, order, query, length)
-        place, of = ranges(lo, hi)
-        if not len(place):
-            return out
-        place, found, length = order[place], np.array(able)[of], length[of]
-        edge = np.zeros(int(starts[-1]) + 1, dtype=np.int64)
-        np.add.at(edge, place, 1)
-        np.add.at(edge, place + length, -1)
+        order = suffix_array(ids, window)
+        order = order[ids[order] >= KNOWN]
+        if not len(order) or not len(t.order):
+            return [(n, 0, [], 0, -1, None, []) for n in self.sizes]
+        lo, hi = bounds(ids, order, t.query, t.size)
+        doc_of = lambda p: np.searchsorted(starts, p, side="right") - 1
+        full = t.size == window
+        whole = np.maximum.reduceat(t.whole, t.first[:-1]) & (hi > lo)
+        found = [(full & (hi > lo), None), (whole, t.whole)]
+        edge = np.zeros(end + 1, dtype=np.int64)
+        items: dict[int, set[int]] = defaultdict(set)
+        for some, own in found:
+            place, of = ranges(lo[some], hi[some])
+            group, place = np.flatnonzero(some)[of], order[place]
+            edge += np.bincount(place, minlength=end + 1) - np.bincount(place + t.size[group], minlength=end + 1)
+            if own is not None:
+                for d, g in np.unique(np.stack([doc_of(place), group], axis=1), axis=0).tolist():
+                    members = slice(t.first[g], t.first[g + 1])
+                    items[d].update(t.item[members][own[members]].tolist())
+            else:
+                best = self._runs(place, group, doc_of, starts, items)
         hit = np.cumsum(edge)[:-1] > 0
         n_hit = np.add.reduceat(np.append(hit, False), starts[:-1])
-        # each place with each test suffix that starts so; runs along a diagonal are one verbatim match
-        at, back = ranges(t.first[found], t.first[found + 1])
-        suffix, p, size = t.by_query[at], place[back], length[back]
-        doc = np.searchsorted(starts, p, side="right") - 1
-        item, diagonal = t.of_item[suffix], p - t.offset[suffix]
-        by = np.lexsort((p, diagonal, item))
-        item, p, doc, diagonal, size = item[by], p[by], doc[by], diagonal[by], size[by]
-        new = np.ones(len(p), dtype=bool)
-        new[1:] = (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1]) | (p[1:] != p[:-1] + 1)
+        turn = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
+        spans = defaultdict(list)
+        for d, a, b in zip(doc_of(turn[::2]).tolist(), turn[::2].tolist(), turn[1::2].tolist()):
+            spans[d].append((a - int(starts[d]), b - int(starts[d])))
+        short = self._short(ids, order, lo, starts)
+        out = []
+        for d, n in enumerate(self.sizes):
+            length, start, item = best.get(d) or short[d]
+            name = None if item is None else t.names[item]
+            out.append((n, int(n_hit[d]), sorted({t.names[i] for i in items.get(d, ())}), length, start, name, spans.get(d, [])))
+        return out
+
+    def _runs(self, place, group, doc_of, starts, items) -> dict[int, tuple]:
+        """(words, start, item) of the longest match of each document with a window; its items are added to `items`.
+
+        Windows at neighbouring places are one run. What a run says depends on its windows alone, so equal runs, as of
+        text that many documents share, are looked up once.
+        """
+        by, best = np.argsort(place), {}
+        place, group = place[by], group[by]
+        cut = np.flatnonzero(np.diff(place) != 1) + 1
+        for p, g in zip(np.split(place, cut), np.split(group, cut)) if len(place) else ():
+            key = g.tobytes()
+            if key not in self.runs:
+                self.runs[key] = self._run(g)
+            length, offset, item, own = self.runs[key]
+            d = int(doc_of(p[0]))
+            items[d].update(own)
+            mine = (-length, int(p[0] + offset - starts[d]), item)
+            best[d] = min(best.get(d, mine), mine)
+        return {d: (-n, s, i) for d, (n, s, i) in best.items()}
+
+    def _run(self, group: np.ndarray) -> tuple[int, int, int, list[int]]:
+        """Of windows in a row: the longest match's words, place and lowest item, and all items with one of the windows."""
+        t = self.tests
+        at, i = ranges(t.first[group], t.first[group + 1])
+        item, diagonal = t.item[at].astype(np.int64), t.order[at] - i
+        by = np.lexsort((i, diagonal))
+        i_, item_, diagonal = i[by], item[by], diagonal[by]
+        new = np.ones(len(by), dtype=bool)
+        new[1:] = (diagonal[1:] != diagonal[:-1]) | (i_[1:] != i_[:-1] + 1)
         head = np.flatnonzero(new)
-        run = np.diff(np.append(head, len(p)))
-        match = np.stack([doc[head], -(size[head] + run - 1), p[head] - starts[doc[head]], item[head]], axis=1)
-        match = match[np.lexsort(match.T[::-1])]
-        for group in np.split(match, np.flatnonzero(np.diff(match[:, 0])) + 1):
-            d, size, start, best = group[0].tolist()
-            items = sorted({t.names[i] for i in group[:, 3]})
-            spans = sorted({(s, s - n) for _, n, s, _ in group.tolist()})
-            out[d] = (self.sizes[d], int(n_hit[d]), items, -size, start, t.names[best], spans)
+        run = np.diff(np.append(head, len(by)))
+        n, start, name = min(zip((-run).tolist(), i_[head].tolist(), item_[head].tolist()))
+        return t.window - n - 1, start, name, np.unique(item).tolist()
+
+    def _short(self, ids, order, lo, starts) -> list[tuple]:
+        """(words, start, item) of each document's longest match of up to `window` words, by the queries next to each suffix."""
+        t, width, match = self.tests, np.arange(self.tests.window), np.zeros(int(starts[-1]) + 1, dtype=np.int64)
+        for a in range(0, len(order), SLICE):
+            own = order[a : a + SLICE]
+            rows, before = ids[own[:, None] + width], np.searchsorted(lo, np.arange(a, a + len(own)), side="right") - 1
+            for near in (before, before + 1):
+                same = rows == t.query[np.clip(near, 0, len(t.query) - 1)]
+                match[own] = np.maximum(match[own], np.where(same.all(axis=1), len(width), np.argmin(same, axis=1)))
+        longest = np.maximum.reduceat(match, starts[:-1])
+        doc = np.flatnonzero(longest > 0)
+        of = np.repeat(np.arange(len(longest)), np.diff(starts))
+        best = np.flatnonzero((match[:-1] == longest[of]) & (match[:-1] > 0))
+        place = best[np.unique(of[best], return_index=True)[1]]
+        out = [(0, -1, None)] * len(longest)
+        if len(doc):
+            a, b = bounds(t.ids, t.order, ids[place[:, None] + width], longest[doc])
+            item = np.minimum.reduceat(np.append(t.item, len(t.names)), np.stack([a, b], axis=1).ravel())[::2]
+            for d, p, i in zip(doc.tolist(), place.tolist(), item.tolist()):
+                out[d] = (int(longest[d]), p - int(starts[d]), i)
         return out

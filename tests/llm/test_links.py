@@ -148,6 +148,20 @@ def _hits(text, items, window=10):
     return len(w), len(hit), sorted(names)
 
 
+def _longest(text, items):
+    """Words, start and item of the longest run of words that a text and an item share, in plain loops."""
+    w, best = _words(text), (0, -1, None)
+    for name, t in sorted(((str(n), _words(t)) for n, t in items if n is not None), key=lambda x: x[0]):
+        for i in range(len(w)):
+            for j in range(len(t)):
+                k = 0
+                while i + k < len(w) and j + k < len(t) and w[i + k] == t[j + k]:
+                    k += 1
+                if k > best[0] or (k == best[0] > 0 and i < best[1]):
+                    best = (k, i, name)
+    return best
+
+
 @pytest.mark.parametrize("block_bytes", [8_000_000, 400])
 def test_matches_equal_brute_force(spark, monkeypatch, block_bytes):
     monkeypatch.setattr(op10_decontaminate, "SHARD_WORDS", 3000)
@@ -156,7 +170,24 @@ def test_matches_equal_brute_force(spark, monkeypatch, block_bytes):
     docs = edge_texts() + [(100 + k, prose(15, k) + " " + rnd.choice(items)[1].__str__() + ", " + prose(rnd.randint(0, 15), k + 50) + rnd.choice(["", " one two three", " " + prose(40, 505)[20:]])) for k in range(40)]
     got = rows(op10_decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), block_bytes=block_bytes))
     assert sorted((r["doc_id"] or 0, r["n_words"], r["n_hit"], r["items"]) for r in got) == sorted((i or 0, *_hits(t, items)) for i, t in docs)
-    assert all((r["longest"] > 0) == (r["n_hit"] > 0) for r in got)
+    short = {i: t for i, t in docs if i and i != 8}
+    assert {r["doc_id"]: (r["longest"], r["longest_start"], r["longest_item"]) for r in got if r["doc_id"] in short and r["doc_id"] != 6} == {i: _longest(t, items) for i, t in short.items() if i != 6}
+
+
+def test_every_suffix_is_searched():
+    """Matches of 1 to 9 words, at an item's last words too, and runs that many documents and items share."""
+    rnd = random.Random(4)
+    letters = [f"w{i}" for i in range(6)]
+    items = [(f"i{k:02}", " ".join(rnd.choice(letters) for _ in range(rnd.randint(1, 14)))) for k in range(30)] + [("j1", " ".join(f"s{i}" for i in range(20)))] * 2 + [("j0", " ".join(f"s{i}" for i in range(3, 20)))]
+    texts = [" ".join(rnd.choice([*letters, "q"]) for _ in range(rnd.randint(0, 30))) for _ in range(120)] + [f"z s{k} s{k + 1}" for k in range(19)] + ["z " + " ".join(f"s{i}" for i in range(2, 18))] * 3
+    from ledgerloom.llm.suffixes import Shard, Tests
+
+    shard = Shard(Tests(items, 10))
+    for t in texts:
+        shard.add(t)
+    found = shard.search()
+    assert [x[:3] for x in found] == [_hits(t, items) for t in texts]
+    assert [x[3:6] for x in found] == [_longest(t, items) for t in texts]
 
 
 def test_longest_match(spark):
