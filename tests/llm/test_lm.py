@@ -37,11 +37,11 @@ def _plain(docs, train, order, mu):
     return sorted(out)
 
 
-@pytest.mark.parametrize(("order", "block"), [(2, 1_200_000), (2, 100), (3, 150), (1, 100)])
-def test_scores_equal_plain_counts(spark, order, block):
+@pytest.mark.parametrize(("order", "block", "fan"), [(2, 1_200_000, 256), (3, 150, 256), (3, 3000, 3), (4, 1000, 256), (1, 100, 256)])
+def test_scores_equal_plain_counts(spark, order, block, fan):
     docs = edge_texts() + [(100 + k, prose(25, k % 7)) for k in range(20)]
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    got = rows(op9_lm_score.scores(frame, held_out=F.coalesce(F.col("doc_id") % 3 == 1, F.lit(False)), order=order, mu=3.0, block_tokens=block, bucket_grams=200))
+    got = rows(op9_lm_score.scores(frame, held_out=F.coalesce(F.col("doc_id") % 3 == 1, F.lit(False)), order=order, mu=3.0, block_tokens=block, range_grams=10_000, fan=fan))
     train = [i is None or i % 3 != 1 for i, _ in docs]
     names = ("held_out", "n_tokens", "n_known", "train_tokens")
     assert sorted((r["doc_id"] or 0, *(r[c] for c in names), round(r["base_score"], 6), round(r["score"], 6)) for r in got) == _plain(docs, train, order, 3.0)
@@ -65,11 +65,38 @@ def test_arcs_of_a_state_are_a_distribution():
     tests = [[number[b"a"], i] for i in range(1, 5)] + [[number[b"a"], 0]]
     tokens = np.array(train + [t for x in tests for t in x])
     sizes = np.array([len(train)] + [2] * len(tests))
-    g = backoff.Grams(tokens, sizes, hashes, 2)
-    counts = g.counted(np.repeat(np.array([True] + [False] * len(tests)), sizes))
-    walk = backoff.Automaton(g, counts, 1, len(train), 4, 2.0).walk()
-    after_a = walk[len(train) + 1 :: 2]
-    assert math.isclose(sum(10**x for x in after_a), 1.0, rel_tol=1e-12)
+    for order in (2, 3):
+        g = backoff.Grams(tokens, sizes, hashes, order)
+        counts = g.counted(np.repeat(np.array([True] + [False] * len(tests)), sizes))
+        walk = backoff.Automaton(g, counts, 1, len(train), 4, 2.0).walk()
+        after_a = walk[len(train) + 1 :: 2]
+        assert math.isclose(sum(10**x for x in after_a), 1.0, rel_tol=1e-12)
+
+
+def test_failure_arcs_are_walked_and_lanes_do_not_matter():
+    """After an unknown pair the state falls to the root; reading in lanes gives what one reading from the left gives."""
+    rng = np.random.default_rng(2)
+    sizes = rng.integers(1, 40, 60)
+    tokens = rng.integers(1, 9, sizes.sum())
+    tokens[np.cumsum(sizes) - 1] = 0
+    hashes = np.array([backoff.word_hash(b"%d" % i) for i in range(9)], dtype=np.uint64)
+    g = backoff.Grams(tokens, sizes, hashes, 4)
+    automaton = backoff.Automaton(g, g.counted(np.repeat(np.arange(60) < 20, sizes)), 20, 400, 9, 1.5)
+    depth = np.zeros(len(automaton.fail), dtype=int)
+    for s in range(len(depth)):
+        at = s
+        while at != backoff.ROOT:
+            at, depth[s] = automaton.fail[at], depth[s] + 1
+    assert depth.max() == 3 and depth[backoff.FIRST] == 1
+    assert np.allclose(automaton.walk(4), automaton.walk(1000))
+
+
+def test_numbers_come_back():
+    from ledgerloom.llm import op9_lm_score as op
+
+    x = np.array([0, 1, 255, 256, 1 << 40, (1 << 64) - 1], dtype=np.uint64)
+    assert (op.unpacked(op.packed(x)) == x).all() and (op.unpacked_hashes(op.packed_hashes(x)) == x).all()
+    assert len(op.unpacked(op.packed(x[:0]))) == 0 and (op.unpacked(op.packed(np.arange(5), "<u4"), "<u4") == np.arange(5)).all()
 
 
 def test_held_out_text_is_likelier_than_under_unigrams(spark):
