@@ -1,38 +1,66 @@
-"""Classifier chains in numpy: logistic models over words that a document has, each fed with the earlier probabilities."""
+"""Classifier chains in numpy: logistic models over features that a document has, each fed with the earlier probabilities."""
 
 from __future__ import annotations
 
-from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 
-#: Words that each model looks at, and documents of the sample that a word must be in.
-MOST_WORDS, LEAST_DOCS = 3000, 5
+#: Features that each model looks at, and documents of the sample that one must be in.
+MOST_FEATURES, LEAST_DOCS = 3000, 5
 
 
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+class Bags:
+    """Documents as the numbers of their features, each document's together."""
+
+    def __init__(self, docs: list[np.ndarray]) -> None:
+        self.sizes = np.array([len(d) for d in docs], dtype=np.int64)
+        self.row = np.repeat(np.arange(len(docs)), self.sizes)
+        self.col = np.concatenate([np.zeros(0, dtype=np.int64), *docs]).astype(np.int64)
+        self.n = len(docs)
+
+    def only(self, docs: np.ndarray) -> Bags:
+        starts, out = np.cumsum(self.sizes) - self.sizes, Bags([])
+        at = np.repeat(starts[docs] - (np.cumsum(self.sizes[docs]) - self.sizes[docs]), self.sizes[docs]) + np.arange(self.sizes[docs].sum())
+        out.sizes, out.n, out.col = self.sizes[docs], len(docs), self.col[at]
+        out.row = np.repeat(np.arange(out.n), out.sizes)
+        return out
+
+    def sums(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, weights[self.col], self.n) if self.n else np.zeros(0)
+
+
+def gaps(n: np.ndarray, pos: np.ndarray, docs: int, positive: int) -> np.ndarray:
+    """How much more or less often a feature is in positive documents than in others, by its standard error."""
+    gap = np.abs((pos + 0.5) / (positive + 1) - (n - pos + 0.5) / (docs - positive + 1)) / np.sqrt((n + 1) / max(1, docs))
+    return np.where(n >= LEAST_DOCS, gap, -1.0)
+
+
+@dataclass
 class Linear:
-    """bias + weight of each word that is there + weight of each earlier probability."""
+    """bias + weight of each feature that is there + weight of each earlier probability."""
 
-    def __init__(self, bias: float, words: dict[bytes, float], earlier: np.ndarray) -> None:
-        self.bias, self.words, self.earlier = bias, words, earlier
+    bias: float
+    weights: np.ndarray
+    earlier: np.ndarray
 
     @classmethod
-    def fit(cls, docs: list[frozenset[bytes]], earlier: np.ndarray, y: np.ndarray, steps: int = 200, decay: float = 2e-4) -> Linear:
+    def fit(cls, bags: Bags, features: int, earlier: np.ndarray, y: np.ndarray, steps: int = 150, decay: float = 2e-4) -> Linear:
         """By Adam on all documents. With one label only, the bias alone says it."""
-        if y.min() == y.max():
-            return cls(6.0 if y[0] else -6.0, {}, np.zeros(earlier.shape[1]))
-        all_, pos = Counter(w for d in docs for w in d), Counter(w for d, t in zip(docs, y) if t for w in d)
-        n, n_pos = len(y), max(1, int(y.sum()))
-        gap = {w: abs((pos[w] + 0.5) / (n_pos + 1) - (c - pos[w] + 0.5) / (n - n_pos + 1)) / np.sqrt((c + 1) / n) for w, c in all_.items() if c >= LEAST_DOCS}
-        chosen = sorted(gap, key=lambda w: (-gap[w], w))[:MOST_WORDS]
-        number = {w: i for i, w in enumerate(chosen)}
-        own = [[number[w] for w in d if w in number] for d in docs]
-        row, col = np.repeat(np.arange(n), [len(x) for x in own]), np.array([i for x in own for i in x], dtype=np.int64)
-        k, e = len(chosen), earlier.shape[1]
+        n, e = len(y), earlier.shape[1]
+        if not n or y.min() == y.max():
+            return cls(6.0 if n and y[0] else -6.0, np.zeros(features), np.zeros(e))
+        gap = gaps(np.bincount(bags.col, minlength=features), np.bincount(bags.col, y[bags.row], features), n, int(y.sum()))
+        chosen = np.argsort(-gap, kind="stable")[:MOST_FEATURES]
+        chosen = np.sort(chosen[gap[chosen] >= 0])
+        number = np.full(features, -1)
+        number[chosen] = np.arange(len(chosen))
+        kept = number[bags.col] >= 0
+        row, col, k = bags.row[kept], number[bags.col[kept]], len(chosen)
         theta, m, v = np.zeros(k + e + 1), np.zeros(k + e + 1), np.zeros(k + e + 1)
         for step in range(1, steps + 1):
             err = (_sigmoid(np.bincount(row, theta[col], n) + earlier @ theta[k : k + e] + theta[-1]) - y) / n
@@ -40,40 +68,48 @@ class Linear:
             g[:-1] += decay * theta[:-1]
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
             theta -= 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-        return cls(float(theta[-1]), dict(zip(chosen, theta[:k].tolist())), theta[k : k + e])
+        weights = np.zeros(features)
+        weights[chosen] = theta[:k]
+        return cls(float(theta[-1]), weights, theta[k : k + e])
 
-    def predict(self, docs: list[frozenset[bytes]], earlier: np.ndarray) -> np.ndarray:
-        known, weight = self.words.keys(), self.words
-        x = np.array([sum(sorted(weight[w] for w in known & d)) for d in docs], dtype=float).reshape(len(docs))
-        return _sigmoid(x + earlier @ self.earlier + self.bias)
+    def predict(self, bags: Bags, earlier: np.ndarray) -> np.ndarray:
+        return _sigmoid(bags.sums(self.weights) + earlier @ self.earlier + self.bias)
 
 
-def common(docs: list[frozenset[bytes]]) -> list[frozenset[bytes]]:
-    """The documents without what fewer than LEAST_DOCS of them have, which no model looks at."""
-    n = Counter(w for d in docs for w in d)
-    kept = {w for w, c in n.items() if c >= LEAST_DOCS}
-    return [d & kept for d in docs]
-
-
-def fit(docs: list[frozenset[bytes]], y: np.ndarray, folds: np.ndarray) -> list[Linear]:
-    """One model for each column of y. Later ones learn from probabilities that models of other folds gave."""
-    docs = common(docs)
-    chain, earlier = [], np.zeros((len(docs), 0))
+def fit(bags: Bags, features: int, y: np.ndarray, folds: np.ndarray) -> tuple[list[Linear], np.ndarray]:
+    """One model for each column of y, and the probabilities that models of other folds gave: later ones learn from these."""
+    chain, earlier = [], np.zeros((bags.n, 0))
     for c in range(y.shape[1]):
-        chain.append(Linear.fit(docs, earlier, y[:, c]))
-        out = np.zeros(len(docs))
-        for f in np.unique(folds):
-            rest, own = np.flatnonzero(folds != f), np.flatnonzero(folds == f)
-            if not len(rest):
-                rest = own
-            model = Linear.fit([docs[i] for i in rest], earlier[rest], y[rest, c])
-            out[own] = model.predict([docs[i] for i in own], earlier[own])
+        chain.append(Linear.fit(bags, features, earlier, y[:, c]))
+        out = np.zeros(bags.n)
+        for rest, own in splits(folds):
+            model = Linear.fit(bags.only(rest), features, earlier[rest], y[rest, c])
+            out[own] = model.predict(bags.only(own), earlier[own])
         earlier = np.column_stack([earlier, out])
-    return chain
+    return chain, earlier
+
 
+def splits(folds: np.ndarray):
+    """(documents of other folds, documents of the fold); a single fold is its own other one."""
+    for f in np.unique(folds):
+        rest, own = np.flatnonzero(folds != f), np.flatnonzero(folds == f)
+        yield (rest if len(rest) else own), own
 
-def predict(chain: list[Linear], docs: list[frozenset[bytes]]) -> np.ndarray:
-    earlier = np.zeros((len(docs), 0))
+
+def predict(chain: list[Linear], bags: Bags) -> np.ndarray:
+    earlier = np.zeros((bags.n, 0))
     for model in chain:
-        earlier = np.column_stack([earlier, model.predict(docs, earlier)])
+        earlier = np.column_stack([earlier, model.predict(bags, earlier)])
     return earlier
+
+
+def best_cut(p: np.ndarray, y: np.ndarray) -> float:
+    """The middle between the two neighbouring probabilities at which F1 is best; 0.5 without both labels."""
+    if not len(y) or y.min() == y.max():
+        return 0.5
+    by = np.argsort(-p, kind="stable")
+    hits = np.cumsum(y[by])
+    f1 = 2 * hits / (np.arange(1, len(p) + 1) + y.sum())
+    f1[:-1][p[by][1:] == p[by][:-1]] = -1  # equal probabilities aren't parted
+    k = int(np.argmax(f1))
+    return float((p[by][k] + (p[by][k + 1] if k + 1 < len(p) else 0.0)) / 2)

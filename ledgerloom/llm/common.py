@@ -39,20 +39,29 @@ def prepare(spark: SparkSession) -> None:
 
 
 def scratch(spark: SparkSession, what: str) -> str:
-    """A new path in the folder that the cluster shares; only where none is set, one of this machine."""
-    jsc = spark.sparkContext._jsc.sc()
-    if jsc.getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerloom-ck-")
-        )
-    return f"{jsc.getCheckpointDir().get()}/{what}-{uuid.uuid4().hex}"
+    """A new path in the folder that the cluster shares; where none is set, one of this machine, if all of Spark runs here."""
+    sc = spark.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="ledgerloom-ck-"))
+    return f"{sc._jsc.sc().getCheckpointDir().get()}/{what}-{uuid.uuid4().hex}"
 
 
 def persist(df: DataFrame, what: str) -> DataFrame:
     """df as a written table of the shared folder: lineage ends, a lost executor loses nothing."""
     path = scratch(df.sparkSession, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes what persist wrote, once nothing reads it any more."""
+    path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._written)
+    path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def with_key(df: DataFrame) -> DataFrame:

@@ -5,14 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import persist
+from .common import discard, persist
+
+#: A node with more than this part of all edge ends is dealt to SALTS tasks; there are at most 1 / HOT such nodes.
+HOT, SALTS = 0.001, 64
 
 
 def _sum_of(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """edges with m, the least (u, m) of their u. The few hot u are joined by u and a salt."""
+    ends = edges.groupBy("u").count()
+    total = ends.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    hot = F.broadcast(ends.where(F.col("count") > HOT * total).select("u", F.lit(SALTS).alias("salts")))
+    salted = edges.join(hot, "u", "left").withColumn("salt", F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64("v"), F.lit(SALTS))).cast("int"))
+    copies = least.join(hot, "u", "left").select("u", "m", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
+    return salted.join(copies, ["u", "salt"]).select("u", "v", "m")
+
+
+def components(edges: DataFrame) -> DataFrame:
     """(node, label): label is the smallest node of its component; nodes without an edge to another are not listed.
 
     edges has columns u and v of one type. Rounds of large and small stars hang every node below its smallest neighbour
@@ -20,16 +33,14 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     """
     now = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     now, last = persist(now, "edges"), None
-    for _ in range(most_rounds):
-        size = _sum_of(now)
-        if size == last or not size[0]:
-            break
+    while (size := _sum_of(now)) != last and size[0]:
         last = size
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
-        now = persist(small.where("u <> v").distinct(), "edges")
+        large = _with_least(both, least).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = persist(large.where("u <> v").distinct(), "stars")
+        small = _with_least(large, large.groupBy("u").agg(F.min("v").alias("m")))
+        small = small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
+        before, now = now, persist(small.where("u <> v").distinct(), "edges")
+        discard(before), discard(large)
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")).union(now.select("v", "v").distinct())

@@ -3,12 +3,15 @@
 1. One pass over the texts writes, for each document, what the forms and a form for identifier-like tokens match, with
    the text's length before each match and the two words before each token. No text is kept.
 2. Matches become spans by running sums within a document. Valid ones are the seeds.
+   Seeds too are secrets: long hexadecimal tokens of digits and letters. They are reported with what the method adds.
 3. The last one and two words before a span, and a key glued to it as in `key=value`, are its patterns. Any word counts,
    those with digits too. A form's match begins within a token: its words are what is before it in that token, if there
    is something, and then the token's. Patterns and instances (the matched strings) form a graph, counted over distinct
    instances, so copies of a document count once.
 4. In each round patterns are scored by how many distinct known instances they precede and which share of all that
-   is; instances behind trusted patterns become known, and are seeds of the next round, until a round adds none.
+   is, against the share that chance would give: that of all instances. Instances behind trusted patterns become known,
+   and are seeds of the next round, until a round adds none. What a form matches but rejects, as a number of a card's
+   length with a wrong check digit, is evidence against a pattern and is never added.
 """
 
 from __future__ import annotations
@@ -37,8 +40,11 @@ _SPACE = r"[\x20\x09-\x0D]+"
 LONGEST = 80
 #: Shorter tokens are no identifiers: they are cut out wherever they occur, so a `5` or `2nd` would be too.
 SHORTEST = 6
-#: A trusted pattern precedes so many distinct known instances, and so large a share of all it precedes.
-LEAST_KNOWN, LEAST_SHARE = 5, 0.6
+#: Tokens that are secrets in themselves.
+SECRET = r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{32,64}$"
+#: A trusted pattern precedes so many distinct known instances, and so large a share of all it precedes; its unknown share
+#: is at most this part of all instances' one, and its known ones exceed chance by so many standard deviations.
+LEAST_KNOWN, LEAST_SHARE, MOST_UNKNOWN, DEVIATIONS = 5, 0.6, 0.5, 2.0
 
 
 _MATCHES = "array<struct<kind:int,idx:int,before:int,match:string,w1:string,w2:string>>"
@@ -78,16 +84,16 @@ def _named(word: Column) -> Column:
     return F.when(F.length(form) > LONGEST, F.sha2(form, 256)).otherwise(form)
 
 
-def _valid() -> Column:
-    """Whether a match of a form (column `match`, `kind`) is one; tokens are judged later."""
-    digits = F.regexp_replace("match", "[^0-9]", "")
+def _valid(kind: Column, match: Column) -> Column:
+    """Whether a match of a form is one; tokens are judged later."""
+    digits = F.regexp_replace(match, "[^0-9]", "")
     at = F.transform(F.reverse(F.split(digits, "")), lambda d, i: F.when(i % 2 == 0, d.cast("int")).when(d.cast("int") > 4, d.cast("int") * 2 - 9).otherwise(d.cast("int") * 2))
     luhn = F.aggregate(at, F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0))) % 10 == 0
     n = F.length(digits)
     return (
-        F.when(F.col("kind") == 1, F.col("match").rlike(rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"))
-        .when(F.col("kind") == 2, F.when((n >= 16) & (n <= 19), luhn).otherwise(False))
-        .when(F.col("kind") == 3, (n >= 8) & (n <= 15))
+        F.when(kind == 1, match.rlike(rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"))
+        .when(kind == 2, F.when((n >= 16) & (n <= 19), luhn).otherwise(False))
+        .when(kind == 3, (n >= 8) & (n <= 15))
         .otherwise(True)
     )
 
@@ -102,13 +108,20 @@ def matched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return common.persist(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), found.alias("found")), "pii-matches")
 
 
+def _rejected() -> Column:
+    """Whether a token as a whole (column `core`) is of a form but isn't valid."""
+    whole = lambda k: F.col("core").rlike(f"^(?:{FORMS[KINDS[k]]})$")
+    n, ok = F.length(F.regexp_replace("core", "[^0-9]", "")), lambda k: F.coalesce(_valid(F.lit(k), F.col("core")), F.lit(False))
+    return (whole(1) & ~ok(1)) | (whole(2) & n.between(16, 19) & ~ok(2)) | (whole(3) & ~ok(3))
+
+
 def _spans(rows: DataFrame) -> DataFrame:
-    """(row, kind, start, end, instance, patterns) of every valid match; tokens lose marks at either end."""
+    """(row, kind, start, end, instance, n, secret, rejected, patterns) of every valid match; tokens lose marks at either end."""
     token = F.col("kind") == len(KINDS)
     each = rows.where(F.size("found") > 0).select("row", F.explode("found").alias("x")).select("row", "x.*").repartition("row")
     so_far = Window.partitionBy("row", "kind").orderBy("idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ends = F.sum(F.col("before") + F.length("match")).over(so_far)
-    each = each.withColumn("end", ends.cast("int")).where(_valid()).withColumn("start", F.col("end") - F.length("match"))
+    each = each.withColumn("end", ends.cast("int")).where(_valid(F.col("kind"), F.col("match"))).withColumn("start", F.col("end") - F.length("match"))
     in_order = Window.partitionBy("row").orderBy("start", F.desc("kind")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     around = F.last(F.when(token, F.struct("start", "match", "w1", "w2")), ignorenulls=True)
     each = each.withColumn("t", around.over(in_order))
@@ -122,7 +135,8 @@ def _spans(rows: DataFrame) -> DataFrame:
     patterns = F.array_compact(F.array(F.concat(F.lit("1 "), last), F.concat(F.lit("2 "), second, F.lit(" "), last), F.concat(F.lit("k "), key)))
     n, instance = F.length("core"), F.lower("core")
     instance = F.when(n > LONGEST, F.sha2(instance, 256)).otherwise(instance)
-    return each.select("row", "kind", "start", "end", instance.alias("instance"), n.alias("n"), patterns.alias("patterns"))
+    secret, rejected = token & F.lower("core").rlike(SECRET), token & _rejected()
+    return each.select("row", "kind", "start", "end", instance.alias("instance"), n.alias("n"), secret.alias("secret"), rejected.alias("rejected"), patterns.alias("patterns"))
 
 
 def learned(spans: DataFrame, least_known: int = LEAST_KNOWN, least_share: float = LEAST_SHARE, rounds: int | None = None) -> DataFrame:
@@ -132,17 +146,21 @@ def learned(spans: DataFrame, least_known: int = LEAST_KNOWN, least_share: float
     """
     token = len(KINDS)
     long_enough = (F.col("kind") < token) | (F.col("n") >= SHORTEST)
-    uses = spans.where(long_enough).select(F.explode("patterns").alias("pattern"), "instance", (F.col("kind") < token).alias("seed"))
-    edges = common.persist(uses.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-graph")
-    seeds = edges.groupBy("instance").agg(F.max("seed").alias("seed")).where("seed").select("instance")
+    uses = spans.where(long_enough).select(F.explode("patterns").alias("pattern"), "instance", ((F.col("kind") < token) | F.col("secret")).alias("seed"), "rejected")
+    edges = common.persist(uses.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.max("rejected").alias("rejected")), "pii-graph")
+    instances = edges.groupBy("instance").agg(F.max("seed").alias("seed"))
+    everyone, seeded = instances.agg(F.count("*"), F.count_if("seed")).first()
+    seeds = instances.where("seed").select("instance")
     found, size, done = None, 0, 0
     while rounds is None or done < rounds:
         known = (seeds if found is None else seeds.union(found.select("instance"))).withColumn("known", F.lit(True))
         graph = edges.join(known.hint("shuffle_hash"), "instance", "left").withColumn("known", F.coalesce("known", F.lit(False)))
         scored = graph.groupBy("pattern").agg(F.sum(F.col("known").cast("long")).alias("f"), F.count("*").alias("n"))
-        trusted = scored.where((F.col("f") >= least_known) & (F.col("f") >= least_share * F.col("n")))
-        trusted = trusted.select("pattern", (F.col("f") / F.col("n") * F.log2("f")).alias("score"))
-        new = graph.where(~F.col("known")).join(trusted.hint("shuffle_hash"), "pattern").groupBy("instance").agg(F.max("score").alias("confidence"))
+        chance, f, n = (seeded + size) / max(1, everyone), F.col("f"), F.col("n")
+        above = (n - f <= MOST_UNKNOWN * (1 - chance) * n) & (f - chance * n >= DEVIATIONS * F.sqrt(n * (chance * (1 - chance))))
+        trusted = scored.where((f >= least_known) & (f >= least_share * n) & above)
+        trusted = trusted.select("pattern", (f / n * F.log2("f")).alias("score"))
+        new = graph.where(~F.col("known") & ~F.col("rejected")).join(trusted.hint("shuffle_hash"), "pattern").groupBy("instance").agg(F.max("score").alias("confidence"))
         found = common.persist(new if found is None else found.union(new), "pii-found")
         last, size, done = size, found.count(), done + 1
         if size == last:
@@ -154,13 +172,15 @@ def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(row, id, spans, n_email, n_ip, n_card, n_phone, n_id) of every document row.
 
     spans: (kind, start, end), by kind and then start, in code points with the end exclusive; kind 0 to 3 are the forms,
-    4 is what the method adds: tokens that trusted patterns introduce anywhere, where no form's span lies. Null and
+    4 is what the method adds: secrets, and tokens that trusted patterns introduce anywhere, where no form's span lies. Null and
     empty texts have none. Repeated rows count once as evidence and are each reported. Other columns are not read.
     """
     rows = matched(docs, id_col, text_col)
     spans = common.persist(_spans(rows), "pii-spans")
     token = len(KINDS)
-    new = spans.where(F.col("kind") == token).join(learned(spans, least_known, least_share, rounds).select("instance").hint("shuffle_hash"), "instance").where("end > start")
+    tokens = spans.where((F.col("kind") == token) & (F.col("end") > F.col("start")))
+    new = tokens.where(~F.col("secret")).join(learned(spans, least_known, least_share, rounds).select("instance").hint("shuffle_hash"), "instance")
+    new = new.select("row", "kind", "start", "end").union(tokens.where("secret").select("row", "kind", "start", "end"))
     kept = spans.where(F.col("kind") < token).select("row", "kind", "start", "end").union(new.select("row", "kind", "start", "end"))
     by_row = kept.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("all"))
     base = F.filter("all", lambda s: s["kind"] < token)

@@ -128,7 +128,7 @@ DENSE = 64
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
     """Shingles that each pair of sets shares, as a matrix."""
     m = len(sets)
-    out = np.zeros((m, m), dtype=np.int64)
+    out = np.zeros((m, m), dtype=np.int32)
     _, shingle, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(m), [len(s) for s in sets])
     keep = n[shingle] >= 2
@@ -141,7 +141,7 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
             x = np.zeros((m, min(4096, int(col.max()) + 1 - at)), dtype=np.float32)
             some = (col >= at) & (col < at + 4096)
             x[own[some], col[some] - at] = 1
-            out += (x @ x.T).astype(np.int64)
+            out += (x @ x.T).astype(np.int32)
     by = np.argsort(shingle[~dense], kind="stable")
     own, size = row[~dense][by], n[shingle[~dense][by]]
     for d in np.unique(size):

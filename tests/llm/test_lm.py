@@ -96,6 +96,8 @@ def test_numbers_come_back():
 
     x = np.array([0, 1, 255, 256, 1 << 40, (1 << 64) - 1], dtype=np.uint64)
     assert (op.unpacked(op.packed(x)) == x).all() and (op.unpacked_hashes(op.packed_hashes(x)) == x).all()
+    y = x >> np.uint64(20) << np.uint64(20)
+    assert (op.unpacked_hashes(op.packed_hashes(y, 20), 20) == y).all() and op._cut_bits(3, 1 << 20) == [0, 18, 18] and op._cut_bits(3, 10**13) == [0, 0, 0]
     assert len(op.unpacked(op.packed(x[:0]))) == 0 and (op.unpacked(op.packed(np.arange(5), "<u4"), "<u4") == np.arange(5)).all()
 
 

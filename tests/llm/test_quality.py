@@ -1,9 +1,11 @@
 """Operators 2, 3 and 6: held-out accuracy, statistics against plain Python, edges."""
 
+import math
 import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import chain, common, op2_quality, op3_rules, op6_toxicity
@@ -108,10 +110,45 @@ def test_toxicity_edges(spark):
 
 
 def test_chain_feeds_out_of_fold_probabilities():
+    """Each link's probabilities equal those of plain loops; what a document is fed comes from models that didn't see it."""
     rng = np.random.default_rng(2)
-    docs = [frozenset({b"w%d" % i for i in rng.integers(0, 30, 8)}) for _ in range(300)]
-    first = np.array([float(b"w1" in d or b"w2" in d) for d in docs])
-    y = np.column_stack([first, first * np.array([float(b"w3" in d) for d in docs])])
-    models = chain.fit(docs, y, np.arange(300) % 3)
-    assert models[1].earlier.shape == (1,) and models[1].earlier[0] > 0
-    assert ((chain.predict(models, docs) > 0.5) == (y > 0.5)).mean() > 0.97
+    docs = [np.unique(rng.integers(0, 30, 8)) for _ in range(300)]
+    has = lambda w: np.array([float(w in d) for d in docs])
+    toxic = np.maximum(has(1), has(2))
+    y = np.column_stack([toxic * has(3), toxic])
+    bags, folds = chain.Bags(docs), np.arange(300) % 3
+    links, held_out = chain.fit(bags, 30, y, folds)
+    assert links[1].earlier.shape == (1,) and links[1].earlier[0] > 0
+    sigmoid = lambda x: 1 / (1 + math.exp(-max(-30, min(30, x))))
+    for d, p in list(zip(docs, chain.predict(links, bags)))[:40]:
+        first = sigmoid(links[0].bias + sum(links[0].weights[w] for w in d))
+        last = sigmoid(links[1].bias + sum(links[1].weights[w] for w in d) + links[1].earlier[0] * first)
+        assert abs(p[0] - first) < 1e-12 and abs(p[1] - last) < 1e-12
+    assert ((chain.predict(links, bags) > 0.5) == (y > 0.5)).mean() > 0.97
+    own = folds == 1
+    others = y.copy()
+    others[own] = 1 - others[own]  # labels of a fold don't change what its own documents are fed
+    assert np.array_equal(chain.fit(bags, 30, others, folds)[1][own, 0], held_out[own, 0])
+
+
+def test_finer_labels_do_not_see_their_own_fold():
+    rng = np.random.default_rng(3)
+    docs = [np.unique(rng.integers(0, 40, 12)) for _ in range(240)]
+    toxic = np.array([float(bool({1, 2, 3} & set(d.tolist()))) for d in docs])
+    features, sizes, folds = [b"w%d" % i for i in range(40)], np.full(240, 12), np.arange(240) % 3
+    y = op6_toxicity._finer(chain.Bags(docs), features, sizes, toxic, folds)
+    assert (y[:, 2] == toxic).all() and (y[:, 0] <= toxic).all() and 0 < y[:, 1].sum() <= toxic.sum()
+    other = toxic.copy()
+    other[folds == 0] = 1.0
+    again = op6_toxicity._finer(chain.Bags(docs), features, sizes, other, folds)
+    was = (folds == 0) & (toxic > 0)
+    assert (again[was, :2] == y[was, :2]).all()
+
+
+def test_best_cut():
+    assert chain.best_cut(np.array([0.9, 0.8, 0.3, 0.1]), np.array([1.0, 1, 0, 0])) == pytest.approx(0.55)
+    assert chain.best_cut(np.array([0.9, 0.8]), np.array([1.0, 1])) == 0.5
+    rng = np.random.default_rng(1)
+    p, y = rng.random(50).round(1), (rng.random(50) < 0.4).astype(float)
+    f1 = lambda c: 2 * (y * (p >= c)).sum() / ((p >= c).sum() + y.sum())
+    assert f1(chain.best_cut(p, y)) == pytest.approx(max(f1(c) for c in p))

@@ -1,6 +1,7 @@
 """Operators 5 and 7 against plain Python, and the pipeline against its parts."""
 
 import hashlib
+import random
 import re
 
 import duckdb
@@ -83,11 +84,27 @@ def test_contexts_hold_words_with_digits_long_tokens_and_all_rounds(spark):
     texts = [f"clerk{k % 9} 2 u{k}@mail.example.com end" for k in range(40)] + ["clerk7 2 QX-77120-B end", f"clerk1 2 {key} end", "clerk3 2" + " " * 200 + "WIDE-4411 end"]
     texts += [f"clerk5 2 chain-{k}a end" for k in range(10)] + [f"lot a {x} then" for x in [f"chain-{k}a" for k in range(10)] + [f"chain-{k}b" for k in range(5)]]
     texts += [f"lot b {x} then" for x in [f"chain-{k}b" for k in range(5)] + [f"chain-{k}c" for k in range(3)]]
+    texts += [f"{prose(3, k)} item{k}000 {prose(3, k + 1)}" for k in range(200)]  # tokens that are no identifiers
     found = rows(op7_pii.found_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
     got = {texts[r["id"]][s["start"] : s["end"]] for r in found for s in r["spans"] if s["kind"] == 4}
     assert got == {"QX-77120-B", key, "WIDE-4411"} | {f"chain-{k}{c}" for c, n in (("a", 10), ("b", 5), ("c", 3)) for k in range(n)}
 
 
+def test_precision_on_planted_decoys(spark):
+    """Of what contexts add, all is planted; words before everything, and contexts no better than chance, add nothing."""
+    rnd = random.Random(7)
+    other = ["page", "the", "of", "lot"]
+    docs = [f"{prose(4, k)} contact u{k}@mail.example.com {prose(3, k)}" for k in range(60)] + [f"{prose(4, k)} the v{k}@mail.example.com {prose(3, k)}" for k in range(60)]
+    docs += [f"{prose(4, k)} {rnd.choice(other)} {rnd.choice('qrs')}{rnd.randint(10**5, 10**6)} {prose(3, k)}" for k in range(160)]
+    docs += [f"{prose(4, k)} contact {10**15 + 7 * k} {prose(3, k)}" for k in range(6)]  # card numbers with wrong check digits
+    planted = [f"contact AB-{k}77" for k in range(9)]
+    secret = 'token = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b"!!'
+    texts = dict(enumerate(docs + [f"{prose(4, k)} {x} {prose(3, k)}" for k, x in enumerate(planted)] + [secret]))
+    found = rows(op7_pii.found_spans(spark.createDataFrame(list(texts.items()), "doc_id long, text string")))
+    got = [texts[r["id"]][s["start"] : s["end"]] for r in found for s in r["spans"] if s["kind"] == 4]
+    assert sorted(got) == sorted([x.split()[1] for x in planted] + [secret[9:49]])
+
+
 def test_words_before_are_the_texts(spark):
     """Each use's patterns are the last words of the text before it."""
     texts = ["", "a1", " a1 b2\tc3  d e4", "to <x@y.zz,q@r.ss> 4111 1111 1111 1111", "no words + 1.2.3.4 ++49 30 123456. +1-2", *(t for _, t in edge_texts() if t), *TEXTS]
@@ -152,8 +169,15 @@ def test_preferences(spark):
     assert {r["pair"]: (r["n_prefix"], r["prompt"], r["chosen"], r["rejected"]) for r in got} == _plain_pairs(TURNS)
     for r in got:
         for side in ("chosen", "rejected"):
-            assert "".join(p["masked"] + p["text"] for p in r[f"{side}_parts"]) == r[side]
-            assert all(p["train"] == p["masked"].startswith("<|assistant|>") for p in r[f"{side}_parts"])
+            want, at = [], 0
+            for turn in re.findall(r"<\|\w+\|>\n.*?<\|end\|>\n", r[side], re.S):
+                head = turn.index("\n") + 1
+                want += [(at + head, at + len(turn))] if turn.startswith("<|assistant|>") else []
+                at += len(turn)
+            assert at == len(r[side]) and [(m["start"], m["end"]) for m in r[f"{side}_mask"]] == want
+    large = [((1 << 60) + 2, 0, "assistant", "yes"), ((1 << 60) + 3, 0, "assistant", "no"), ((1 << 60) + 4, 0, "user", "other pair")]
+    got = rows(op5_preferences.pairs(spark.createDataFrame(large, "conv_id long, turn long, role string, text string"), F.col("conv_id") % 2 == 0, F.shiftright("conv_id", 1)))
+    assert {r["pair"]: (r["chosen"], r["rejected"]) for r in got} == {(1 << 59) + 1: ("<|assistant|>\nyes<|end|>\n", "<|assistant|>\nno<|end|>\n"), (1 << 59) + 2: ("<|user|>\nother pair<|end|>\n", "")}
     assert rows(op5_preferences.pairs(turns.limit(0), F.lit(True), F.col("conv_id"))) == []
 
 
