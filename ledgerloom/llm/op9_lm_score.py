@@ -44,13 +44,13 @@ def unpacked(data: bytes, kind: str = "<u8") -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, n // width).T).view(kind).ravel()
 
 
-def packed_hashes(hashes: np.ndarray) -> bytes:
-    """Sorted hashes by the gaps between them."""
-    return packed(np.diff(hashes, prepend=np.uint64(0)))
+def packed_hashes(hashes: np.ndarray, cut: int = 0) -> bytes:
+    """Sorted hashes by the gaps between them, without their lowest `cut` bits, which are 0."""
+    return packed(np.diff(hashes >> np.uint64(cut), prepend=np.uint64(0)))
 
 
-def unpacked_hashes(data: bytes) -> np.ndarray:
-    return np.cumsum(unpacked(data), dtype=np.uint64)
+def unpacked_hashes(data: bytes, cut: int = 0) -> np.ndarray:
+    return np.cumsum(unpacked(data), dtype=np.uint64) << np.uint64(cut)
 
 
 def tokenised(docs: DataFrame, id_col: str, text_col: str, held_out, block_tokens: int) -> DataFrame:
@@ -110,11 +110,19 @@ def _cuts(hashes: np.ndarray, first: int, last: int, ranges: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(hashes, inner), [len(hashes)]])
 
 
-def _slices(unit, first: int, last: int, ranges: int, hashes: list, counts: list) -> pa.RecordBatch:
+def _cut_bits(order: int, tokens: int) -> list[int]:
+    """For each order the lowest bits of hashes that aren't sent: none of words' own.
+
+    As many stay as keep the chance that an n-gram shares its hash with any other of the corpus below 2 to the -24.
+    """
+    return [0] + [max(0, 64 - 24 - (order * tokens).bit_length())] * (order - 1)
+
+
+def _slices(unit, first: int, last: int, ranges: int, hashes: list, counts: list, bits: list[int]) -> pa.RecordBatch:
     """A row (range, unit, grams, counts) for each range that holds some of the unit's n-grams."""
     cuts = [_cuts(h, first, last, ranges) for h in hashes]
     some = [b for b in range(last - first) if any(c[b] < c[b + 1] for c in cuts)]
-    grams = [[packed_hashes(h[c[b] : c[b + 1]]) for h, c in zip(hashes, cuts)] for b in some]
+    grams = [[packed_hashes(h[c[b] : c[b + 1]], x) for h, c, x in zip(hashes, cuts, bits)] for b in some]
     own = [[packed(n[c[b] : c[b + 1]]) for n, c in zip(counts, cuts)] for b in some]
     columns = pa.array([first + b for b in some], pa.int64()), pa.array([unit] * len(some), pa.int64()), pa.array(grams, pa.list_(pa.binary())), pa.array(own, pa.list_(pa.binary()))
     return pa.RecordBatch.from_arrays(list(columns), ["range", "unit", "grams", "counts"])
@@ -123,7 +131,7 @@ def _slices(unit, first: int, last: int, ranges: int, hashes: list, counts: list
 SLICES = "range long, unit long, grams array<binary>, counts array<binary>"
 
 
-def _asked(blocks: DataFrame, order: int, ranges: int) -> DataFrame:
+def _asked(blocks: DataFrame, order: int, ranges: int, bits: list[int]) -> DataFrame:
     """Slices of the n-grams of each block, with their counts in what trains."""
 
     def run(batches):
@@ -135,16 +143,17 @@ def _asked(blocks: DataFrame, order: int, ranges: int) -> DataFrame:
                 g, sizes, train = own._grams(row, order)
                 counts = g.counted(np.repeat(train, sizes))
                 g.index = g.whole = None
-                yield own._slices(row["block"], 0, ranges, ranges, g.hash, counts)
+                hashes = [h >> np.uint64(x) << np.uint64(x) for h, x in zip(g.hash, bits)]
+                yield own._slices(row["block"], 0, ranges, ranges, hashes, counts, bits)
 
     return blocks.select("block", "train", "sizes", "tokens", "words").mapInArrow(run, SLICES)
 
 
-def _added(rows: pd.DataFrame, order: int) -> tuple[list, list]:
+def _added(rows: pd.DataFrame, bits: list[int]) -> tuple[list, list]:
     """For each order the distinct hashes of all slices, and for each slice where its own are among them and its counts."""
     hashes, places = [], []
-    for k in range(order):
-        h = [unpacked_hashes(x[k]) for x in rows["grams"]]
+    for k, cut in enumerate(bits):
+        h = [unpacked_hashes(x[k], cut) for x in rows["grams"]]
         unique, inverse = np.unique(np.concatenate(h), return_inverse=True)
         hashes.append(unique)
         places.append(np.split(inverse, np.cumsum([len(x) for x in h])[:-1]))
@@ -155,7 +164,7 @@ def _summed(rows: pd.DataFrame, hashes: list, places: list) -> list[np.ndarray]:
     totals = [np.zeros(len(h), dtype=np.int64) for h in hashes]
     for k, t in enumerate(totals):
         for place, x in zip(places[k], rows["counts"]):
-            t[place] += unpacked(x[k]).astype(np.int64)
+            np.add.at(t, place, unpacked(x[k]).astype(np.int64))
     return totals
 
 
@@ -163,7 +172,7 @@ def _answers(rows: pd.DataFrame, totals: list[np.ndarray], places: list) -> list
     return [[packed(t[p[j]]) for t, p in zip(totals, places)] for j in range(len(rows))]
 
 
-def _answered(asked: DataFrame, units: int, order: int, ranges: int, fan: int) -> DataFrame:
+def _answered(asked: DataFrame, units: int, bits: list[int], ranges: int, fan: int) -> DataFrame:
     """(unit, range, totals, n_words): what each unit asked for, added up over all units.
 
     n_words: distinct words with a count in a range, on one answer of it, else 0. Up to `fan` units meet in one task for
@@ -183,7 +192,7 @@ def _answered(asked: DataFrame, units: int, order: int, ranges: int, fan: int) -
         def add(rows: pd.DataFrame) -> pd.DataFrame:
             from ledgerloom.llm import op9_lm_score as own
 
-            hashes, places = own._added(rows, order)
+            hashes, places = own._added(rows, bits)
             totals = own._summed(rows, hashes, places)
             return result(rows, own._answers(rows, totals, places), int((totals[0] > 0).sum()))
 
@@ -192,21 +201,21 @@ def _answered(asked: DataFrame, units: int, order: int, ranges: int, fan: int) -
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
         from ledgerloom.llm import op9_lm_score as own
 
-        hashes, places = own._added(rows, order)
+        hashes, places = own._added(rows, bits)
         totals, at = own._summed(rows, hashes, places), int(rows["range"].iloc[0])
-        return own._slices(int(rows["group"].iloc[0]), at * fan, at * fan + fan, ranges * fan, hashes, totals).to_pandas()
+        return own._slices(int(rows["group"].iloc[0]), at * fan, at * fan + fan, ranges * fan, hashes, totals, bits).to_pandas()
 
     def back(rows: pd.DataFrame, finer: pd.DataFrame) -> pd.DataFrame:
         from ledgerloom.llm import op9_lm_score as own
 
         if not len(rows):
             return pd.DataFrame({"unit": [], "range": [], "totals": [], "n_words": []})
-        places, finer = own._added(rows, order)[1], finer.sort_values("range")
-        totals = [np.concatenate([own.unpacked(x[k]) for x in finer["totals"]]) for k in range(order)]
+        places, finer = own._added(rows, bits)[1], finer.sort_values("range")
+        totals = [np.concatenate([own.unpacked(x[k]) for x in finer["totals"]]) for k in range(len(bits))]
         return result(rows, own._answers(rows, totals, places), int(finer["n_words"].sum()))
 
     merged = common.persist(keyed.groupBy("range", "group").applyInPandas(merge, SLICES), "lm-merged")
-    deeper = common.persist(_answered(merged, groups, order, ranges * fan, fan), "lm-totals")
+    deeper = common.persist(_answered(merged, groups, bits, ranges * fan, fan), "lm-totals")
     deeper = deeper.withColumns({"group": F.col("unit"), "up": F.floor(F.col("range") / fan).cast("long")})
     return keyed.groupBy("range", "group").cogroup(deeper.groupBy("up", "group")).applyInPandas(back, out)
 
@@ -217,7 +226,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held
     Tokens are the text's words, A-Z lower-cased, and one end. base_score adds log10 of add-one unigrams, score is the
     automaton's log10 probability. held_out: a boolean column, by default crc32 of the id modulo 7 is 2; null counts as
     false. Null and empty texts hold the end only. Repeated rows count and are scored each time; other columns aren't
-    read; no rows give no rows. Words are told apart by 64-bit hashes.
+    read; no rows give no rows. Words are told apart by 64-bit hashes, n-grams by as many bits as the corpus needs.
     """
     spark = docs.sparkSession
     held_out = (common.fold(id_col, FOLDS) == HELD_OUT) if held_out is None else held_out
@@ -229,7 +238,8 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held
     )
     total = per_block.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in per_block.columns]).first()
     ranges = max(16, -(-order * min(total.tokens, total.tokens * fan // max(1, total.blocks)) // range_grams))
-    answers = common.persist(_answered(_asked(blocks, order, ranges), total.blocks, order, ranges, fan), "lm-counts")
+    bits = _cut_bits(order, total.tokens)
+    answers = common.persist(_answered(_asked(blocks, order, ranges, bits), total.blocks, bits, ranges, fan), "lm-counts")
     n_words = answers.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     n_tokens, n_docs = total.train_tokens, total.train_docs
 
