@@ -1,32 +1,58 @@
-"""Numbers as they are printed: signs, brackets, percent signs and scale words."""
+"""Numbers as they are printed: signs, brackets, percent signs and scale words. Digits are ASCII ones."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: One printed number: an optional bracket and sign, an optional currency mark, digits with separators or a bare fraction.
-NUMBER = r"(\()?\s*([-−])?\s*[$€£¥]?\s*([0-9][0-9,]*(?:\.[0-9]+)?|\.[0-9]+)\s*(\))?\s*(%)?\s*(thousand|million|billion|trillion)?"
+#: Scale words and abbreviations.
 FACTORS = {"thousand": 1e3, "million": 1e6, "billion": 1e9, "trillion": 1e12}
-_ONES = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
-_TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+ABBREVIATIONS = {"bn": "billion", "b": "billion", "m": "million", "k": "thousand"}
+#: The digits of a number, or of a bare fraction that neither a word nor a number precedes.
+DIGITS = r"(?<![\w.,])\.[0-9]++|(?:[0-9]{1,3}(?:,[0-9]{3})++|[0-9]++)(?:\.[0-9]++)?+"
+#: A minus before a number: a bracket and a currency mark may stand between. Repeats never give back, so blanks cost no more than their length.
+MINUS = r"[-−]\(?+\s*+(?:(?:[A-Z]{0,3}+\$|[€£¥])\s*+)?+$"
+SCALE_AFTER = r"(?i)^(?:\s*+(?:(thousand|million|billion|trillion)s?+\b)|(bn|b|m|k)\b)"
+_ONES = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty".split()
+_TENS = {"thirty": 30, "forty": 40, "fifty": 50, "sixty": 60, "seventy": 70, "eighty": 80, "ninety": 90}
 
 
 def clean(text: Column) -> Column:
     """Non-breaking spaces and runs of white space become one space; the ends are trimmed."""
-    return F.trim(F.regexp_replace(F.regexp_replace(text, " ", " "), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(text, " ", " "), r"\s+", " "))
+
+
+def _map(values: dict) -> Column:
+    return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
+
+
+def let(value: Column, body) -> Column:
+    """body of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def parse_number(text: Column) -> Column:
-    """struct(value, percent, scale_word) of the first printed number, null without one.
+    """struct(value, percent, scale_word) of the first number in a text, null without one.
 
-    A bracket or a minus sign makes it negative. The value is as printed; the scale word is given, not applied.
+    A minus before it, or a bracket before and one after it, makes it negative; a scale word or abbreviation after it is
+    applied (`$3.6B` is 3,600,000,000) and given. `.51` counts unless a letter, digit, dot or comma precedes it.
     """
-    part = lambda i: F.regexp_extract(text, NUMBER, i)
-    size = F.regexp_replace(part(3), ",", "").try_cast("double")
-    negative = (part(2) != "") | ((part(1) != "") & (part(4) != ""))
-    found = F.struct(F.when(negative, -size).otherwise(size).alias("value"), (part(5) != "").alias("percent"), F.nullif(part(6), F.lit("")).alias("scale_word"))
-    return F.when(text.rlike(NUMBER), found)
+
+    def around(at: Column) -> Column:
+        digits = F.regexp_extract(text, DIGITS, 0)
+        return F.struct(F.substring(text, F.lit(1), at - 1).alias("before"), digits.alias("digits"), F.substring(text, at + F.length(digits), F.length(text)).alias("after"))
+
+    def number(x: Column) -> Column:
+        word = F.lower(F.regexp_extract(x["after"], SCALE_AFTER, 1))
+        short = F.lower(F.regexp_extract(x["after"], SCALE_AFTER, 2))
+        word = F.when(word != "", word).otherwise(_map(ABBREVIATIONS)[short])
+        size = F.regexp_replace(x["digits"], ",", "").cast("double")
+        size = F.when(word.isNull(), size).otherwise(F.round(size * _map(FACTORS)[word], 6))
+        near = F.substring(x["after"], 1, 3)
+        negative = x["before"].rlike(MINUS) | (x["before"].contains("(") & near.contains(")"))
+        return F.struct(F.when(negative, -size).otherwise(size).alias("value"), near.contains("%").alias("percent"), word.alias("scale_word"))
+
+    return let(F.nullif(F.regexp_instr(text, F.lit(DIGITS)), F.lit(0)), lambda at: F.when(at.isNotNull(), let(around(at), number)))
 
 
 def statement_number(text: Column) -> Column:
@@ -37,21 +63,23 @@ def statement_number(text: Column) -> Column:
 
 
 def word_number(text: Column) -> Column:
-    """`nine` or `twenty-one`, from zero to ninety-nine; null for other words."""
-    words = {w: i for i, w in enumerate(_ONES)} | {w: 20 + 10 * i for i, w in enumerate(_TENS)}
-    words |= {f"{t}-{o}": 20 + 10 * i + j for i, t in enumerate(_TENS) for j, o in enumerate(_ONES[1:10], 1)}
-    return F.create_map(*[F.lit(x) for kv in words.items() for x in kv])[F.lower(F.trim(text))]
-
-
-def scaled(value: Column, scale_word: Column) -> Column:
-    factor = F.create_map(*[F.lit(x) for kv in FACTORS.items() for x in kv])[F.lower(scale_word)]
-    return value * F.coalesce(factor, F.lit(1.0))
-
-
-def figure_forms(value: Column) -> list[Column]:
-    """The usual spellings of a whole figure: grouped, plain and bracketed."""
-    whole = F.format_number(F.abs(value), 0)
-    return [whole, F.regexp_replace(whole, ",", ""), F.concat(F.lit("("), whole, F.lit(")"))]
+    """struct(value, percent, scale_word) of the first count spelled out: `nine countries`, `twenty-five`, `two billion`; null without one."""
+    ones = "|".join(_ONES[:10])
+    pattern = rf"(?i)\b({'|'.join([*_ONES, *_TENS])})\b(?:[- ]({ones})\b)?(?:\s*(thousand|million|billion|trillion)s?\b)?"
+    values = _map({w: float(i) for i, w in enumerate(_ONES)} | {w: float(n) for w, n in _TENS.items()})
+    part = lambda i: F.nullif(F.lower(F.regexp_extract(text, pattern, i)), F.lit(""))
+    size = values[part(1)] + F.coalesce(values[part(2)], F.lit(0.0))
+    found = F.struct(F.round(size * F.coalesce(_map(FACTORS)[part(3)], F.lit(1.0)), 6).alias("value"), F.lit(False).alias("percent"), part(3).alias("scale_word"))
+    return F.when(part(1).isNotNull(), found)
+
+
+def figure_forms(value: Column) -> Column:
+    """How a figure may be written, whatever the scale word: 12,000,000,000 as 12, 12.0 or 12,000; distinct, in order."""
+    forms = []
+    for scale in (1, 1e3, 1e6, 1e9, 1e12):
+        scaled = F.abs(value) / F.lit(float(scale))
+        forms += [F.when((scaled >= 1) & (F.abs(F.round(scaled, d) - scaled) < 1e-9), F.format_number(scaled, d)) for d in (0, 1, 2)]
+    return F.array_sort(F.array_distinct(F.array_compact(F.array(*forms))))
 
 
 def decimals(text: Column) -> Column:

@@ -13,17 +13,32 @@ def choose(df: DataFrame, keys: list[str], good: Column, rank: Column, newest: l
     return newest_per_key(df.withColumn("_good", good.cast("int")).withColumn("_rank", rank), keys, [F.desc("_good"), F.col("_rank"), *newest]).drop("_good", "_rank")
 
 
-def witnesses(df: DataFrame, keys: list[str], value: str, filed: str, days: int = 3) -> DataFrame:
-    """(keys, witness): single, confirmed, restated or contradicted, from all presentations of a value.
+def witnesses(df: DataFrame, keys: list[str], order: list[Column], value: str, filed: str, tolerance: float = 0.0) -> DataFrame:
+    """(keys, value, witness) of the presentation that comes first in an order that ends in a unique column.
 
-    confirmed: all agree; restated: the newest, which others agree with, differs from the first; contradicted: the newest
-    stands alone against two or more that agree. Presentations within `days` of the first don't count as another.
+    single: no other presents the value; confirmed: another one agrees, within a share of it; restated: none agrees and
+    all others were filed no later than it; contradicted: a later one differs.
     """
-    w = Window.partitionBy(*keys)
-    rows = df.withColumn("_first", F.min(filed).over(w)).where((F.col(filed) == F.col("_first")) | (F.date_diff(F.col(filed), F.col("_first")) > days))
-    agg = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.count_distinct(value).alias("d"), F.max_by(value, filed).alias("newest"), F.collect_list(value).alias("all"))
-    backed = F.size(F.filter("all", lambda v: v == F.col("newest")))
-    return agg.select(*keys, F.when(F.col("n") == 1, "single").when(F.col("d") == 1, "confirmed").when((backed == 1) & (F.col("n") >= 3), "contradicted").otherwise("restated").alias("witness"))
+    w = Window.partitionBy(*keys).orderBy(*order)
+    ranked = df.select(*keys, value, filed, F.row_number().over(w).alias("_n"), F.first(F.struct(F.col(value).alias("v"), F.col(filed).alias("f"))).over(w).alias("_won"))
+    other = F.col("_n") > 1
+    near = F.abs(F.col(value) - F.col("_won.v")) <= tolerance * F.abs("_won.v")
+    agg = ranked.groupBy(*keys).agg(
+        F.first("_won.v").alias(value), F.count_if(other).alias("_others"), F.coalesce(F.bool_or(F.when(other, near)), F.lit(False)).alias("_agrees"),
+        F.coalesce(F.bool_and(F.when(other, F.col(filed) <= F.col("_won.f"))), F.lit(True)).alias("_earlier"),
+    )
+    verdict = F.when(F.col("_others") == 0, "single").when(F.col("_agrees"), "confirmed").when(F.col("_earlier"), "restated").otherwise("contradicted")
+    return agg.select(*keys, value, verdict.alias("witness"))
+
+
+def mixed_vintage(chosen: DataFrame, keys: list[str], period: str, restated: str) -> DataFrame:
+    """(keys): years of which one of the year (FY) and its nine months (9M) was restated and the other wasn't.
+
+    A fourth quarter worked out from the two would mix their presentations; a year without nine months isn't one.
+    """
+    of = lambda p: F.bool_or(F.when(F.col(period) == p, F.col(restated)))
+    both = chosen.groupBy(*keys).agg(of("FY").alias("_y"), of("9M").alias("_n"))
+    return both.where("_y <> _n").select(*keys)
 
 
 def differences(later: DataFrame, earlier: DataFrame, keys: list[str], value: str, tolerance: float = 1e-6) -> DataFrame:

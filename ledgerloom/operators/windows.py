@@ -32,6 +32,11 @@ def capped(df: DataFrame, key: str, order: list[Column], most: int) -> DataFrame
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("_n") <= most).drop("_n")
 
 
+def spot_checked(df: DataFrame, key: str, every: int = 10) -> DataFrame:
+    """About one row in `every`, the same ones in each run, by the first 32 bits of the key's MD5; a sampling operator."""
+    return df.where(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long") % every == 0)
+
+
 def intervals(df: DataFrame, keys: list[str], order: list[Column], available: str) -> DataFrame:
     """Effective-dated rows: available_to is when the key's next row becomes available, null for the current one."""
     return df.withColumn("available_to", F.lead(available).over(Window.partitionBy(*keys).orderBy(*order)))

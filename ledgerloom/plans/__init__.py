@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import checks, derivation, evaluation, history, lines, matching, series, texts
+from . import cases, checks, derivation, evaluation, history, lines, matching, series, texts
 
-MODULES = (checks, derivation, evaluation, history, lines, matching, series, texts)
+MODULES = (cases, checks, derivation, evaluation, history, lines, matching, series, texts)
 
 
 def queries() -> dict[str, Callable]:

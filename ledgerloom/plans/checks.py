@@ -49,7 +49,7 @@ def lines_vs_parent(spark, sf_dir):
 
 @query("""WITH tree AS (SELECT 'r' || r_regionkey AS id, NULL AS parent, CAST(r_regionkey AS BIGINT) AS v FROM region WHERE r_regionkey % 2 = 0
 UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey, CAST(n_nationkey AS BIGINT) FROM nation WHERE n_nationkey % 3 <> 0
-UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey, c_custkey FROM customer WHERE c_custkey % 10 = 0)
+UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey, c_custkey FROM customer)
 SELECT t.id, t.parent, t.v FROM tree t LEFT JOIN tree p ON t.parent = p.id LEFT JOIN tree g ON g.id = 'r' || (SELECT n_regionkey FROM nation WHERE 'n' || n_nationkey = t.parent)
 WHERE p.id IS NULL AND (t.id LIKE 'r%' OR t.id LIKE 'n%' OR t.id LIKE 'c%')""")
 def top_level_rollup(spark, sf_dir):
@@ -58,7 +58,7 @@ def top_level_rollup(spark, sf_dir):
     row = lambda p, k, up: (F.concat(F.lit(p), F.col(k)).alias("id"), up.alias("parent"), F.col(k).cast("long").alias("v"))
     tree = r.where("r_regionkey % 2 = 0").select(*row("r", "r_regionkey", F.lit(None).cast("string")))
     tree = tree.union(n.where("n_nationkey % 3 <> 0").select(*row("n", "n_nationkey", F.concat(F.lit("r"), "n_regionkey"))))
-    tree = tree.union(c.where("c_custkey % 10 = 0").select(*row("c", "c_custkey", F.concat(F.lit("n"), "c_nationkey"))))
+    tree = tree.union(c.select(*row("c", "c_custkey", F.concat(F.lit("n"), "c_nationkey"))))
     return aggregates.top_level(tree, "id", "parent")
 
 

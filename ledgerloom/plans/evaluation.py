@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import evaluate, joins
+from ..operators import evaluate, joins, selection
 from .adapters import ORDERS_SQL, Registry, orders, segment_orders, segment_quarters, table
 
 query = Registry()
@@ -71,28 +71,25 @@ def flat_values(spark, sf_dir):
     return lines.select("segment", "fiscal_year", F.posexplode("lines").alias("line", "x")).select("segment", "fiscal_year", "line", "x.*")
 
 
-@query(f"""WITH {ORDERS_SQL}, c AS (SELECT nation, fiscal_year, list_sort(list(DISTINCT segment)) AS own FROM s WHERE o_orderkey % 30 = 0 GROUP BY ALL)
+@query(f"""WITH {ORDERS_SQL}, c AS (SELECT nation, fiscal_year, list_sort(list(DISTINCT segment)) AS own FROM s GROUP BY ALL)
 SELECT nation, fiscal_year, CAST(len(list_distinct(flatten(list(own) OVER (PARTITION BY nation ORDER BY fiscal_year RANGE BETWEEN CURRENT ROW AND 2 FOLLOWING)))) AS INTEGER) AS within_three FROM c""")
 def sets_of_later_years(spark, sf_dir):
     """How many segments a nation names in a year and the two after it: a range frame over years."""
     from pyspark.sql import Window
 
-    c = segment_orders(spark, sf_dir).where("o_orderkey % 30 = 0").groupBy("nation", "fiscal_year").agg(F.collect_set("segment").alias("own"))
+    c = segment_orders(spark, sf_dir).groupBy("nation", "fiscal_year").agg(F.collect_set("segment").alias("own"))
     w = Window.partitionBy("nation").orderBy("fiscal_year").rangeBetween(0, 2)
     return c.select("nation", "fiscal_year", F.size(F.array_distinct(F.flatten(F.collect_list("own").over(w)))).alias("within_three"))
 
 
-@query(f"""WITH {ORDERS_SQL}, y AS (SELECT segment, fiscal_year, sum(value) AS v FROM q GROUP BY ALL), n AS (SELECT segment, fiscal_year, sum(value) AS v FROM q WHERE fiscal_period <> 'Q4' GROUP BY ALL)
-SELECT segment, fiscal_year, CASE WHEN fiscal_year % 3 = 0 AND fiscal_year % 2 = 1 THEN 'mixed' ELSE 'one' END AS vintage FROM y JOIN n USING (segment, fiscal_year)""")
+@query(f"""WITH {ORDERS_SQL}, v AS (SELECT o_custkey, fiscal_year, sum(amount) AS y, sum(amount) FILTER (WHERE fiscal_period <> 'Q4') AS n, sum(amount) FILTER (WHERE o_orderstatus <> 'P') AS y0, sum(amount) FILTER (WHERE fiscal_period <> 'Q4' AND o_orderstatus <> 'P') AS n0 FROM o GROUP BY ALL)
+SELECT o_custkey, fiscal_year FROM v WHERE n IS NOT NULL AND (y IS DISTINCT FROM y0) <> (n IS DISTINCT FROM n0)""")
 def mixed_vintage(spark, sf_dir):
-    """Years whose total was restated (here: every third) while their nine months were not (here: odd years)."""
-    q = segment_quarters(spark, sf_dir)
-    years = q.groupBy("segment", "fiscal_year").agg(F.sum("value").alias("v"))
-    nine = q.where("fiscal_period <> 'Q4'").groupBy("segment", "fiscal_year").agg(F.sum("value").alias("n"))
-    restated = years.where("fiscal_year % 3 = 0").select("segment", "fiscal_year", F.lit(True).alias("_y"))
-    nine_restated = nine.where("fiscal_year % 2 = 0").select("segment", "fiscal_year", F.lit(True).alias("_n"))
-    both = years.join(nine, ["segment", "fiscal_year"]).join(restated, ["segment", "fiscal_year"], "left").join(nine_restated, ["segment", "fiscal_year"], "left")
-    return both.select("segment", "fiscal_year", F.when(F.col("_y").isNotNull() & F.col("_n").isNull(), "mixed").otherwise("one").alias("vintage"))
+    """Customers' years and nine months as first presented (without pending orders) and as presented later (with them)."""
+    keys, nine = ["o_custkey", "fiscal_year"], F.col("fiscal_period") != "Q4"
+    both = orders(spark, sf_dir).withColumn("period", F.explode(F.when(nine, F.array(F.lit("FY"), F.lit("9M"))).otherwise(F.array(F.lit("FY")))))
+    read = both.groupBy(*keys, "period").agg(F.sum("amount").alias("later"), F.sum(F.when(F.col("o_orderstatus") != "P", F.col("amount"))).alias("first"))
+    return selection.mixed_vintage(read.withColumn("restated", ~F.col("later").eqNullSafe(F.col("first"))), keys, "period", "restated")
 
 
 @query("""WITH w AS (SELECT DISTINCT p_name AS a, p_name || ' ' || lower(p_type) AS b FROM part), l AS (SELECT a, b, list_distinct(string_split(a, ' ')) AS x, list_distinct(string_split(b, ' ')) AS y FROM w)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import joins
+from ..operators import joins, windows
 from .adapters import ORDERS_SQL, Registry, orders, segment_orders, segment_quarters, table
 
 query = Registry()
@@ -90,8 +90,7 @@ def top_reasons(spark, sf_dir):
     return n.orderBy(F.desc("n"), "o_orderpriority", "o_orderstatus").limit(12)
 
 
-@query("""SELECT o_orderkey, md5(CAST(o_orderkey AS VARCHAR)) AS h FROM orders WHERE substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 1) = '0'""")
+@query("""SELECT o_orderkey FROM orders WHERE CAST(('0x' || md5(CAST(o_orderkey AS VARCHAR))[:8]) AS BIGINT) % 10 = 0""")
 def spot_check(spark, sf_dir):
-    """A deterministic sample of one row in sixteen by hash; a sampling operator."""
-    h = F.md5(F.col("o_orderkey").cast("string"))
-    return table(spark, sf_dir, "orders").select("o_orderkey", h.alias("h")).where(F.substring("h", 1, 1) == "0")
+    """A deterministic sample of about one row in ten by hash; a sampling operator."""
+    return windows.spot_checked(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")

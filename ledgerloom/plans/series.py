@@ -119,19 +119,23 @@ def reread_select(spark, sf_dir):
 
 
 @query(f"""WITH {ORDERS_SQL}, d AS (SELECT DISTINCT day FROM o), f AS (SELECT day, 930 AS k, make_date(year(day), 9, 30) AS this FROM d UNION ALL SELECT day, 1231, make_date(year(day), 12, 31) FROM d),
-e AS (SELECT day, k, CASE WHEN date_diff('day', this - INTERVAL 1 YEAR, day) <= 10 THEN CAST(this - INTERVAL 1 YEAR AS DATE) WHEN date_diff('day', this, day) <= 10 THEN this ELSE CAST(this + INTERVAL 1 YEAR AS DATE) END AS fin FROM f),
+e AS (SELECT day, k, CASE WHEN date_diff('day', day, this) < -10 THEN CAST(this + INTERVAL 1 YEAR AS DATE) WHEN date_diff('day', day, this) > 356 THEN CAST(this - INTERVAL 1 YEAR AS DATE) ELSE this END AS fin FROM f),
 g AS (SELECT *, date_diff('day', CAST(fin - INTERVAL 1 YEAR AS DATE), day) AS dd, abs(date_diff('day', fin, day)) AS gap FROM e)
 SELECT day, CASE WHEN k = 930 THEN '0930' ELSE '1231' END AS mmdd, CASE WHEN gap <= 10 OR dd BETWEEN 74 AND 122 OR dd BETWEEN 158 AND 206 OR dd BETWEEN 242 AND 290 THEN CAST(year(fin) AS INTEGER) END AS fiscal_year,
-CASE WHEN gap <= 10 THEN 'FY' WHEN dd BETWEEN 74 AND 122 THEN 'Q1' WHEN dd BETWEEN 158 AND 206 THEN 'Q2' WHEN dd BETWEEN 242 AND 290 THEN 'Q3' END AS fiscal_period FROM g""")
+CASE WHEN gap <= 10 THEN 'Q4' WHEN dd BETWEEN 74 AND 122 THEN 'Q1' WHEN dd BETWEEN 158 AND 206 THEN 'Q2' WHEN dd BETWEEN 242 AND 290 THEN 'Q3' END AS fiscal_period FROM g""")
 def fiscal_label(spark, sf_dir):
     days = orders(spark, sf_dir).select("day").distinct().withColumn("mmdd", F.explode(F.array(F.lit("0930"), F.lit("1231"))))
     x = fiscal.fiscal_label(F.col("day"), F.col("mmdd"))
     return days.select("day", "mmdd", x["fiscal_year"].alias("fiscal_year"), x["fiscal_period"].alias("fiscal_period"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_partkey, CAST(date_trunc('quarter', CAST(l_shipdate AS DATE) - 4) AS DATE) - 1 AS quarter_end FROM lineitem""")
+@query("""WITH d AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem)
+SELECT day, '1231' AS mmdd, CAST(date_trunc('quarter', day - 4) AS DATE) - 1 AS quarter_end FROM d
+UNION ALL SELECT day, '0131', CAST(date_trunc('quarter', (day - 4) - INTERVAL 1 MONTH) + INTERVAL 1 MONTH AS DATE) - 1 FROM d""")
 def quarter_end_before(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", fiscal.quarter_end_before(F.col("l_shipdate").cast("date")).alias("quarter_end"))
+    """For every day of a shipment the fiscal quarter that ended five days before at least, of years that end in December and in January."""
+    days = table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("day")).distinct().withColumn("mmdd", F.explode(F.array(F.lit("1231"), F.lit("0131"))))
+    return days.select("day", "mmdd", fiscal.quarter_end_before(F.col("day"), F.col("mmdd")).alias("quarter_end"))
 
 
 @query(f"""WITH {ORDERS_SQL}, l AS (SELECT l_orderkey, l_linenumber, l_partkey, date_diff('day', day, CAST(l_shipdate AS DATE)) AS d FROM lineitem JOIN o ON l_orderkey = o_orderkey)

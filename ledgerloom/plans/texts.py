@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import labels, numbers
+from ..functions import currency, labels, numbers
+from ..operators import breakdowns
 from ..sources import html
 from .adapters import Registry, table
 
@@ -12,24 +13,32 @@ query = Registry()
 QUERIES, SQL = query.queries, query.sql
 
 
-@query(r"""WITH m AS (SELECT doc_id, regexp_extract(text, '(\()?\s*([-−])?\s*[$€£¥]?\s*([0-9][0-9,]*(?:\.[0-9]+)?|\.[0-9]+)\s*(\))?\s*(%)?\s*(thousand|million|billion|trillion)?', 3) AS n,
-regexp_extract(text, '(\()?\s*([-−])?\s*[$€£¥]?\s*([0-9][0-9,]*(?:\.[0-9]+)?|\.[0-9]+)\s*(\))?\s*(%)?\s*(thousand|million|billion|trillion)?', 1) AS o,
-regexp_extract(text, '(\()?\s*([-−])?\s*[$€£¥]?\s*([0-9][0-9,]*(?:\.[0-9]+)?|\.[0-9]+)\s*(\))?\s*(%)?\s*(thousand|million|billion|trillion)?', 2) AS s,
-regexp_extract(text, '(\()?\s*([-−])?\s*[$€£¥]?\s*([0-9][0-9,]*(?:\.[0-9]+)?|\.[0-9]+)\s*(\))?\s*(%)?\s*(thousand|million|billion|trillion)?', 4) AS c,
-regexp_extract(text, '(\()?\s*([-−])?\s*[$€£¥]?\s*([0-9][0-9,]*(?:\.[0-9]+)?|\.[0-9]+)\s*(\))?\s*(%)?\s*(thousand|million|billion|trillion)?', 5) AS p FROM documents)
-SELECT doc_id, CASE WHEN n = '' THEN NULL WHEN s <> '' OR (o <> '' AND c <> '') THEN -CAST(replace(n, ',', '') AS DOUBLE) ELSE CAST(replace(n, ',', '') AS DOUBLE) END AS value, CASE WHEN n = '' THEN NULL ELSE p <> '' END AS percent FROM m""")
+_DIGITS = r"(?:^|[^\w.,])\.([0-9]+)|([0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)(?:\.([0-9]+))?"
+
+
+@query(rf"""WITH m AS (SELECT doc_id, text, regexp_extract(text, '{_DIGITS}', 1) AS bare, regexp_extract(text, '{_DIGITS}', 2) AS whole, regexp_extract(text, '{_DIGITS}', 3) AS frac FROM documents),
+d AS (SELECT *, CASE WHEN bare <> '' THEN '.' || bare WHEN frac <> '' THEN whole || '.' || frac ELSE whole END AS digits FROM m),
+x AS (SELECT *, substr(text, 1, strpos(text, digits) - 1) AS before, substr(text, strpos(text, digits) + length(digits)) AS after FROM d WHERE digits <> ''),
+w AS (SELECT *, lower(regexp_extract(after, '^\s*(thousand|million|billion|trillion)s?\b', 1, 'i')) AS word, lower(regexp_extract(after, '^(bn|b|m|k)\b', 1, 'i')) AS short FROM x),
+f AS (SELECT *, CASE WHEN word = 'thousand' OR word = '' AND short = 'k' THEN 1e3 WHEN word = 'million' OR word = '' AND short = 'm' THEN 1e6 WHEN word = 'billion' OR word = '' AND short IN ('bn', 'b') THEN 1e9 WHEN word = 'trillion' THEN 1e12 ELSE 1 END AS factor,
+  regexp_matches(before, '[-−]\(?\s*(?:(?:[A-Z]{{0,3}}\$|[€£¥])\s*)?$') OR (contains(before, '(') AND contains(after[:3], ')')) AS negative FROM w),
+v AS (SELECT doc_id, CASE WHEN negative THEN -1 ELSE 1 END * CASE WHEN factor = 1 THEN CAST(replace(digits, ',', '') AS DOUBLE) ELSE round(CAST(replace(digits, ',', '') AS DOUBLE) * factor, 6) END AS value, contains(after[:3], '%') AS percent FROM f)
+SELECT m.doc_id, v.value, v.percent FROM m LEFT JOIN v USING (doc_id)""")
 def parse_number(spark, sf_dir):
+    """The first number of every document."""
     x = numbers.parse_number(F.col("text"))
     return table(spark, sf_dir, "documents").select("doc_id", x.alias("x")).select("doc_id", "x.value", "x.percent")
 
 
-_KEY = r"regexp_replace(trim(regexp_replace(regexp_replace(replace(lower(trim(regexp_replace({0}, '\s+', ' ', 'g'))), '&', ' and '), '\bsegments?\b', ' ', 'g'), '[^a-z0-9]+', ' ', 'g')), ' ', '_', 'g')"
+_PLAIN = r"regexp_replace(replace(lower(coalesce(nullif(regexp_replace({0}, '\([^)]*\)\s*$', ''), ''), {0})), '&', 'and'), '[^a-z0-9]+', '', 'g')"
+_CUT = r"coalesce(nullif(regexp_replace({0}, 'segment$', ''), ''), {0})".format(_PLAIN)
+_KEY = r"CASE WHEN regexp_matches(" + _CUT + r", '^(all)?others?(countries|country|regions?|areas?|products?|segments?)?(notseparatelydisclosed)?$') THEN 'other' ELSE " + _CUT + "[:100] END"
 
 
 @query(f"""SELECT {_KEY.format('p_type')} AS key, CAST(sum(CAST(p_retailprice AS DECIMAL(18,2))) AS DOUBLE) AS total, CAST(count(*) AS BIGINT) AS n FROM part GROUP BY 1""")
 def sum_by_key(spark, sf_dir):
     p = table(spark, sf_dir, "part")
-    return p.groupBy(labels.member_key(F.col("p_type")).alias("key")).agg(F.sum(F.col("p_retailprice").cast("decimal(18,2)")).cast("double").alias("total"), F.count("*").cast("long").alias("n"))
+    return breakdowns.sum_by_key(p, [], "p_type", "p_retailprice").select("key", F.col("value").alias("total"), "n")
 
 
 @query(f"""SELECT DISTINCT p_name, p_type, {_KEY.format("p_name || ' & ' || p_type || ' segment'")} AS key FROM part""")
@@ -38,7 +47,7 @@ def member_key(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_name", "p_type", labels.member_key(label).alias("key")).distinct()
 
 
-@query(r"""SELECT DISTINCT p_name, p_brand, regexp_replace(lower(p_brand), '[^a-z]', '', 'g') AS letters, regexp_replace(regexp_replace(lower(p_brand), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS row_key, upper(p_name[1:1]) || substr(split_part(p_name, ' ', 1), 2) || ' ' || upper(split_part(p_name, ' ', 2)[1:1]) || substr(split_part(p_name, ' ', 2), 2) AS title FROM part""")
+@query(r"""SELECT DISTINCT p_name, p_brand, regexp_replace(lower(p_brand), '[^a-z]', '', 'g') AS letters, regexp_replace(lower(p_brand), '[^a-z0-9]+', '', 'g') AS row_key, upper(p_name[1:1]) || substr(split_part(p_name, ' ', 1), 2) || ' ' || upper(split_part(p_name, ' ', 2)[1:1]) || substr(split_part(p_name, ' ', 2), 2) AS title FROM part""")
 def label_keys(spark, sf_dir):
     p = table(spark, sf_dir, "part").select("p_name", "p_brand").distinct()
     return p.select("p_name", "p_brand", labels.label_key(F.col("p_brand")).alias("letters"), labels.row_key(F.col("p_brand")).alias("row_key"), labels.title_case(F.col("p_name")).alias("title"))
@@ -50,11 +59,10 @@ def classify_docs(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", labels.classify(t.rlike("License"), t.rlike("[0-9]{3}")).alias("licensed"))
 
 
-@query(r"""WITH c AS (SELECT doc_id, regexp_extract_all(text, '(US\$|\$|€|£|¥|USD|EUR|GBP|JPY|CNY)', 1) AS l FROM documents)
-SELECT doc_id, CAST(len(list_distinct(l)) AS INTEGER) AS named, CASE WHEN len(list_distinct(l)) = 1 THEN l[1] END AS declared FROM c""")
+@query("SELECT doc_id, CAST(" + " + ".join(f"CAST(regexp_matches(text, '{p}') AS INTEGER)" for p in currency.DECLARED.values()) + " AS INTEGER) AS named FROM documents")
 def currency_in_text(spark, sf_dir):
-    t = F.col("text")
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(labels.currencies(t)).alias("named"), labels.declared_currency(t).alias("declared"))
+    """How many currencies each document names."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(currency.currencies(F.col("text"))).alias("named"))
 
 
 @query("""SELECT o_orderkey, CAST(CASE WHEN o_orderpriority LIKE '1%' THEN 1000 WHEN o_orderstatus = 'P' THEN 1000000 ELSE 1 END AS DOUBLE) AS factor, CASE WHEN o_orderpriority LIKE '1%' THEN 'row' WHEN o_orderstatus = 'P' THEN 'table' ELSE 'document' END AS source FROM orders""")
@@ -102,7 +110,7 @@ def doc_blocks(spark, sf_dir):
     return b.select("doc_id", "block", size.alias("size"), F.floor(F.coalesce(F.sum(size).over(w), F.lit(0)) / 2000).cast("int").alias("section"))
 
 
-@query(r"""SELECT DISTINCT source, regexp_replace(source, '[0-9]+', '', 'g') AS template FROM documents""")
+@query(r"""SELECT DISTINCT source, regexp_replace(lower(source), '[0-9]+', '', 'g') AS template FROM documents""")
 def source_template(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("source", labels.source_template(F.col("source")).alias("template")).distinct()
 
