@@ -60,3 +60,73 @@ def split_factor(df: DataFrame, splits: DataFrame, key: str, day: str) -> DataFr
     ledger = splits.groupBy(key).agg(F.collect_list(F.struct("split_day", "ratio")).alias("_s"))  # a handful for each key
     later = F.filter(F.coalesce("_s", F.array().cast("array<struct<split_day:date,ratio:double>>")), lambda s: s["split_day"] > F.col(day))
     return df.join(ledger, key, "left").withColumn("factor", F.aggregate(later, F.lit(1.0), lambda a, s: a * s["ratio"])).drop("_s")
+
+
+def source_rank(form: Column, source: Column, annual: Column) -> Column:
+    """0 for a filed report, an annual one where the year is meant, 1 for other reports, 2 for a regulator's, 3 for a release."""
+    report = form.rlike("^(?:10-K|10-Q|20-F|40-F)")
+    yearly = form.rlike("^(?:10-K|20-F|40-F)")
+    return F.when(source == "regulator", 2).when(report & (~annual | yearly), 0).when(report, 1).otherwise(3)
+
+
+def other_bases(kept: DataFrame, winners: DataFrame, keys: list[str], basis: str, scope: str, filed: list[Column]) -> DataFrame:
+    """The newest presentation of each period on each basis but the winner's, of the winner's scope first."""
+    w = winners.select(*keys, F.col(basis).alias("_basis"), F.col(scope).alias("_scope"))
+    rest = kept.join(w, keys).where(F.col(basis).isNotNull() & (F.col(basis) != F.col("_basis")))
+    own = rest.withColumn("_own", (F.col(scope) == F.col("_scope")).cast("int"))
+    return newest_per_key(own, [*keys, basis], [F.desc("_own"), *filed]).drop("_own", "_basis", "_scope")
+
+
+def per_share_scale(tagged: Column, shown: Column, decimals: Column) -> Column:
+    """3 or 6 where a tagged per-share figure is the shown one times a thousand or a million, to its rounding and within a tenth of it; else 0."""
+    slack = F.least(0.5 * F.pow(F.lit(10.0), -decimals) + 1e-9 * F.abs(shown), 0.1 * F.abs(shown))
+    off = lambda p: F.abs(F.abs(tagged) / 10.0**p - F.abs(shown)) <= slack
+    ok = (tagged != 0) & (shown != 0) & (F.signum(tagged) == F.signum(shown))
+    return F.when(ok & off(3), 3).when(ok & off(6), 6).otherwise(0)
+
+
+# Concepts and labels of the figures that two presentations are compared on.
+KEY_FIGURES = {
+    "net income": ("income", r"_(NetIncomeLoss|ProfitLoss|ProfitLossAttributableToOwnersOfParent|NetIncomeLossAvailableToCommonStockholdersBasic)$", r"(?i)^(consolidated\s+)?(net\s+(income|earnings|profit|loss)|profit\s+for\s+the)\b"),
+    "revenue": ("income", r"_(Revenues|RevenueFromContractWithCustomerExcludingAssessedTax|SalesRevenueNet|Revenue)$", r"(?i)^(total\s+)?(net\s+)?(sales|revenues?|net\s+revenues?)\b|^total\s+net\s+(sales|revenues?)\b"),
+    "total assets": ("balance", r"_Assets$", r"(?i)^total\s+assets\b"),
+    "closing cash": ("cash_flow", r"_(CashAndCashEquivalentsAtCarryingValue|CashCashEquivalentsRestrictedCashAndRestrictedCashEquivalents|CashAndCashEquivalents|Cash)$", r"(?i)\bend\s+of\b"),
+}
+
+
+def key_figures(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, name, value): net income (the largest), revenue and total assets (the first) and closing cash (the last) of a statement.
+
+    lines: keys, statement, position, concept, label, value. A concept that names the figure goes before a label.
+    """
+    names = [F.when((F.col("statement") == s) & (F.col("concept").rlike(c) | F.col("label").rlike(p)), F.struct(F.lit(n).alias("name"), F.col("concept").rlike(c).alias("tagged"))) for n, (s, c, p) in KEY_FIGURES.items()]
+    each = lines.where("value IS NOT NULL").select(*keys, "position", "value", F.explode(F.array_compact(F.array(*names))).alias("x")).select(*keys, "position", "value", "x.*")
+    order = F.when(F.col("name") == "net income", -F.abs("value")).when(F.col("name") == "closing cash", -F.col("position")).otherwise(F.col("position"))
+    return newest_per_key(each.withColumn("_o", order), [*keys, "name"], [F.desc("tagged"), F.col("_o"), F.col("position")]).select(*keys, "name", "value")
+
+
+def summary_verdicts(rows: DataFrame, printed: DataFrame, table: str, tolerance: Column | None = None) -> DataFrame:
+    """(table, verdict): a summary table's figures against statements, its own filing's where these print them, else any.
+
+    rows: table, accession, year, name, value; printed: accession, year, name, value. contradicted if a net income or total
+    assets differs, or nothing agrees; unverified without a statement; verified, or verified elsewhere.
+    """
+    from ..functions.rounding import agree
+
+    p = printed.select("year", "name", F.col("accession").alias("_a"), F.col("value").alias("_v"))
+    near = F.coalesce(agree(F.col("value"), F.col("_v")), F.lit(False))
+    both = rows.join(p, ["year", "name"], "left")
+    own = F.col("_a") == F.col("accession")
+    per = both.groupBy(table, "year", "name", "value").agg(F.bool_or(own).alias("_has_own"), F.bool_or(own & near).alias("_own_ok"), F.bool_or(near).alias("_ok"), F.bool_or(F.col("_a").isNotNull()).alias("_some"))
+    any_own = F.bool_or(F.coalesce("_has_own", F.lit(False))).over(Window.partitionBy(table))
+    per = per.withColumn("_mode", any_own).where(F.col("_some"))
+    checked = F.when(F.col("_mode"), F.when(F.coalesce("_has_own", F.lit(False)), F.coalesce("_own_ok", F.lit(False)))).otherwise(F.col("_ok"))
+    anchor = F.col("name").isin("net income", "total assets")
+    agg = per.withColumn("_c", checked).where("_c IS NOT NULL").groupBy(table, "_mode").agg(F.bool_or(~F.col("_c") & anchor).alias("_bad"), F.bool_or(~F.col("_c")).alias("_wrong"), F.bool_or(F.col("_c") & anchor).alias("_anchored"))
+    verdict = F.when(F.col("_bad") | (F.col("_wrong") & ~F.col("_anchored")), "contradicted").when(F.col("_mode"), "verified").otherwise("verified elsewhere")
+    return rows.select(table).distinct().join(agg.select(table, verdict.alias("verdict")), table, "left").withColumn("verdict", F.coalesce("verdict", F.lit("unverified")))
+
+
+def years_without(figures: DataFrame, covered: DataFrame, keys: list[str], filed: list[Column]) -> DataFrame:
+    """The newest summary figure of each key that no statement covers."""
+    return newest_per_key(figures.join(covered.select(*keys), keys, "left_anti"), keys, filed)
