@@ -27,7 +27,7 @@ SHINGLE, THRESHOLD = 5, 0.8
 #: A candidate is dropped once its posterior chance of reaching the threshold is below this.
 TOLERANCE = 1e-5
 #: Nodes of a block: larger groups are compared block against block.
-BLOCK = 2048
+BLOCK = 1024
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:

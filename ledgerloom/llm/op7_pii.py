@@ -45,6 +45,7 @@ SECRET = r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{32,64}$"
 #: A trusted pattern precedes so many distinct known instances, and so large a share of all it precedes; its unknown share
 #: is at most this part of all instances' one, and its known ones exceed chance by so many standard deviations.
 LEAST_KNOWN, LEAST_SHARE, MOST_UNKNOWN, DEVIATIONS = 5, 0.6, 0.5, 2.0
+HOT = 0.001
 
 
 _MATCHES = "array<struct<kind:int,idx:int,before:int,match:string,w1:string,w2:string>>"
@@ -139,6 +140,19 @@ def _spans(rows: DataFrame) -> DataFrame:
     return each.select("row", "kind", "start", "end", instance.alias("instance"), n.alias("n"), secret.alias("secret"), rejected.alias("rejected"), patterns.alias("patterns"))
 
 
+def _introduced(unknown: DataFrame, scored: DataFrame, trusted: DataFrame) -> DataFrame:
+    """Unknown instances with the scores of the trusted patterns before them.
+
+    Patterns with more than a part HOT of all edges, 1 / HOT at most, are broadcast, so none of them fills a task.
+    """
+    total = scored.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = F.broadcast(scored.where(F.col("n") > HOT * total).select("pattern", F.lit(True).alias("hot")))
+    marked = unknown.join(hot, "pattern", "left")
+    few = F.broadcast(trusted.join(hot, "pattern").select("pattern", "score"))
+    many = trusted.hint("shuffle_hash")
+    return marked.where("hot").select("pattern", "instance").join(few, "pattern").union(marked.where("hot is null").select("pattern", "instance").join(many, "pattern"))
+
+
 def learned(spans: DataFrame, least_known: int = LEAST_KNOWN, least_share: float = LEAST_SHARE, rounds: int | None = None) -> DataFrame:
     """(instance, confidence): tokens that trusted patterns introduce, and the best of these patterns' scores.
 
@@ -160,7 +174,7 @@ def learned(spans: DataFrame, least_known: int = LEAST_KNOWN, least_share: float
         above = (n - f <= MOST_UNKNOWN * (1 - chance) * n) & (f - chance * n >= DEVIATIONS * F.sqrt(n * (chance * (1 - chance))))
         trusted = scored.where((f >= least_known) & (f >= least_share * n) & above)
         trusted = trusted.select("pattern", (f / n * F.log2("f")).alias("score"))
-        new = graph.where(~F.col("known") & ~F.col("rejected")).join(trusted.hint("shuffle_hash"), "pattern").groupBy("instance").agg(F.max("score").alias("confidence"))
+        new = _introduced(graph.where(~F.col("known") & ~F.col("rejected")), scored, trusted).groupBy("instance").agg(F.max("score").alias("confidence"))
         found = common.persist(new if found is None else found.union(new), "pii-found")
         last, size, done = size, found.count(), done + 1
         if size == last:
