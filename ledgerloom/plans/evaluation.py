@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import evaluate, joins, selection
+from ..operators import evaluate, selection, statements
 from .adapters import ORDERS_SQL, Registry, orders, segment_orders, segment_quarters, table
 
 query = Registry()
@@ -50,9 +50,9 @@ SELECT a.o_custkey, a.fiscal_year, b.fiscal_year AS confirmed_by FROM c a JOIN c
 def next_year_confirmation(spark, sf_dir):
     """Yearly totals with a later one 365 days on, give or take 12, that is within half of it."""
     c = orders(spark, sf_dir).groupBy("o_custkey", "fiscal_year").agg(F.sum("amount").cast("double").alias("v"), F.max("day").alias("d"))
-    later = c.select("o_custkey", F.col("fiscal_year").alias("confirmed_by"), F.col("v").alias("w"), F.col("d").alias("e"))
-    both = joins.within_days(c, later, ["o_custkey"], "d", "e", 12, 365)
-    return both.where(F.abs(F.col("w") - F.col("v")) <= 0.5 * F.col("v")).select("o_custkey", "fiscal_year", "confirmed_by")
+    found = statements.confirmed_next_year(c, ["o_custkey"], "d", "v", 0.5)
+    at = c.select("o_custkey", "fiscal_year", "d")
+    return found.join(at, ["o_custkey", "d"]).join(at.select("o_custkey", F.col("fiscal_year").alias("confirmed_by"), F.col("d").alias("later")), ["o_custkey", "later"]).select("o_custkey", "fiscal_year", "confirmed_by")
 
 
 @query(f"""WITH {ORDERS_SQL}, w AS (SELECT segment, fiscal_year, sum(value) FILTER (WHERE fiscal_period = 'Q1') AS a, sum(value) FILTER (WHERE fiscal_period = 'Q2') AS b, sum(value) FILTER (WHERE fiscal_period = 'Q3') AS c, sum(value) FILTER (WHERE fiscal_period = 'Q4') AS d FROM q GROUP BY ALL)
@@ -67,8 +67,8 @@ def income_chain(spark, sf_dir):
 @query(f"""WITH {ORDERS_SQL} SELECT segment, fiscal_year, CAST(row_number() OVER (PARTITION BY segment, fiscal_year ORDER BY fiscal_period) - 1 AS INTEGER) AS line, fiscal_period AS concept, CAST(value AS DOUBLE) AS value FROM q""")
 def flat_values(spark, sf_dir):
     """Statement periods as arrays of lines, then flattened again in their order."""
-    lines = segment_quarters(spark, sf_dir).groupBy("segment", "fiscal_year").agg(F.array_sort(F.collect_list(F.struct(F.col("fiscal_period").alias("concept"), F.col("value").cast("double").alias("value")))).alias("lines"))
-    return lines.select("segment", "fiscal_year", F.posexplode("lines").alias("line", "x")).select("segment", "fiscal_year", "line", "x.*")
+    rows = segment_quarters(spark, sf_dir).select("segment", "fiscal_year", F.col("fiscal_period").alias("concept"), F.col("value").cast("double").alias("value"), F.lit(False).alias("is_heading"))
+    return statements.flat_lines(statements.gathered_lines(rows, ["segment", "fiscal_year"], "concept", ["concept", "value", "is_heading"]), ["segment", "fiscal_year"])
 
 
 @query(f"""WITH {ORDERS_SQL}, c AS (SELECT nation, fiscal_year, list_sort(list(DISTINCT segment)) AS own FROM s GROUP BY ALL)

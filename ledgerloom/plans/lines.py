@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import joins, windows
+from ..operators import joins, statements, windows
 from .adapters import ORDERS_SQL, Registry, orders, segment_orders, segment_quarters, table
 
 query = Registry()
@@ -15,9 +15,7 @@ QUERIES, SQL = query.queries, query.sql
 @query(f"""WITH {ORDERS_SQL}, n AS (SELECT o_custkey, fiscal_year, count(*) AS n FROM o GROUP BY ALL) SELECT o_custkey, fiscal_year, CAST(n AS BIGINT) AS lines FROM (SELECT *, max(n) OVER (PARTITION BY o_custkey) AS most FROM n) WHERE n >= 2 AND n >= 0.5 * most""")
 def presented_periods(spark, sf_dir):
     """Years with at least half the lines of a customer's fullest year, two at least."""
-    n = orders(spark, sf_dir).groupBy("o_custkey", "fiscal_year").agg(F.count("*").cast("long").alias("lines"))
-    most = F.max("lines").over(Window.partitionBy("o_custkey"))
-    return n.withColumn("most", most).where("lines >= 2 AND lines >= 0.5 * most").drop("most")
+    return statements.presented_periods(orders(spark, sf_dir), ["o_custkey"], "fiscal_year")
 
 
 @query(f"""WITH {ORDERS_SQL}, w AS (SELECT segment, fiscal_year, CAST(sum(value) FILTER (WHERE fiscal_period = 'Q1') AS DOUBLE) AS q1, CAST(sum(value) FILTER (WHERE fiscal_period = 'Q2') AS DOUBLE) AS q2 FROM q GROUP BY ALL)
@@ -31,19 +29,18 @@ def unpivot_columns(spark, sf_dir):
 def through_grand_total(spark, sf_dir):
     """Lines up to the last line that is a total (here: returned), all where there is none."""
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
-    last = F.max(F.when(F.col("l_returnflag") == "R", F.col("l_linenumber"))).over(Window.partitionBy("l_orderkey"))
-    return rows.withColumn("last", last).where("last IS NULL OR l_linenumber <= last").select("l_orderkey", "l_linenumber", "l_partkey")
+    out = statements.through_total(rows, ["l_orderkey"], "l_linenumber", F.col("l_returnflag") == "R")
+    return out.select("l_orderkey", "l_linenumber", "l_partkey")
 
 
 @query(f"""WITH {ORDERS_SQL}, e AS (SELECT o_custkey, fiscal_year, min(amount) AS exact FROM o GROUP BY ALL), r AS (SELECT o_custkey, fiscal_year, round(min(amount), -3) AS rounded FROM o GROUP BY ALL)
 SELECT o_custkey, fiscal_year, CAST(rounded AS DOUBLE) AS rounded, CAST(CASE WHEN abs(exact - rounded) <= 500 AND exact <> rounded THEN exact ELSE rounded END AS DOUBLE) AS precise FROM e JOIN r USING (o_custkey, fiscal_year)""")
 def precise_figure(spark, sf_dir):
     """A figure rounded to thousands takes the exact one that it is the rounding of."""
-    e = orders(spark, sf_dir).groupBy("o_custkey", "fiscal_year").agg(F.min("amount").alias("exact"))
-    r = e.select("o_custkey", "fiscal_year", F.round("exact", -3).alias("rounded"))
-    near = (F.abs(F.col("exact") - F.col("rounded")) <= 500) & (F.col("exact") != F.col("rounded"))
-    both = e.join(r, ["o_custkey", "fiscal_year"])
-    return both.select("o_custkey", "fiscal_year", F.col("rounded").cast("double"), F.when(near, F.col("exact")).otherwise(F.col("rounded")).cast("double").alias("precise"))
+    e = orders(spark, sf_dir).groupBy("o_custkey", "fiscal_year").agg(F.min("amount").cast("double").alias("value"))
+    r = e.select("o_custkey", "fiscal_year", F.round("value", -3).alias("value"), F.lit(500.0).alias("half"))
+    found = statements.precise_figures(r, e.withColumn("half", F.lit(0.005)), ["o_custkey", "fiscal_year"], "value", "half")
+    return r.join(found.select("o_custkey", "fiscal_year", "precise"), ["o_custkey", "fiscal_year"], "left").select("o_custkey", "fiscal_year", F.col("value").alias("rounded"), F.coalesce("precise", "value").alias("precise"))
 
 
 @query(f"""WITH {ORDERS_SQL}, a AS (SELECT segment, nation, count(*) AS n FROM s WHERE fiscal_year = 1996 GROUP BY ALL), b AS (SELECT segment, nation, count(*) AS n FROM s WHERE fiscal_year = 1997 GROUP BY ALL)
@@ -51,10 +48,10 @@ SELECT segment, nation, CAST(coalesce(a.n, 0) AS BIGINT) AS first_read, CAST(coa
 def two_reader_consensus(spark, sf_dir):
     """Two readings side by side: equal figures stand, the rest is for review."""
     s = segment_orders(spark, sf_dir)
-    read = lambda y, c: s.where(F.col("fiscal_year") == y).groupBy("segment", "nation").agg(F.count("*").cast("long").alias(c))
-    both = read(1996, "first_read").join(read(1997, "second_read"), ["segment", "nation"], "full")
-    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
-    return both.select("segment", "nation", zero("first_read"), zero("second_read"), F.when(F.col("first_read") == F.col("second_read"), "agreed").otherwise("review").alias("verdict"))
+    read = lambda y: s.where(F.col("fiscal_year") == y).groupBy("segment", "nation").agg(F.count("*").cast("long").alias("n"))
+    both = statements.consensus(read(1996), read(1997), ["segment", "nation"], "n")
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(f"{c}_read")
+    return both.select("segment", "nation", zero("first"), zero("second"), "verdict")
 
 
 @query("""SELECT l_partkey, l_suppkey, l_orderkey FROM (SELECT *, count(*) OVER (PARTITION BY l_partkey, l_suppkey, l_quantity) AS n, row_number() OVER (PARTITION BY l_partkey, l_suppkey, l_quantity ORDER BY l_orderkey, l_linenumber, l_extendedprice) AS r FROM lineitem) WHERE n > 1 AND r > 1""")
@@ -67,13 +64,10 @@ def cell_copies(spark, sf_dir):
 @query(f"""WITH {ORDERS_SQL}, e AS (SELECT DISTINCT fiscal_year, fiscal_period FROM o), k AS (SELECT nation, fiscal_year, fiscal_period FROM s WHERE o_orderpriority LIKE '1%' GROUP BY ALL)
 SELECT n_nationkey AS nation, CAST(count(*) AS BIGINT) AS expected, CAST(count(k.nation) AS BIGINT) AS kept FROM nation CROSS JOIN e LEFT JOIN k ON k.nation = n_nationkey AND k.fiscal_year = e.fiscal_year AND k.fiscal_period = e.fiscal_period GROUP BY 1""")
 def coverage_summary(spark, sf_dir):
-    """Expected periods of each nation and those that have a figure; the calendar is one array, not a cross join."""
+    """Expected periods of each nation and those that have a figure."""
     o = segment_orders(spark, sf_dir)
-    calendar = o.agg(F.collect_set(F.struct("fiscal_year", "fiscal_period")).alias("_c"))  # bounded: one entry for each quarter
-    expected = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nation")).join(F.broadcast(calendar)).select("nation", F.explode("_c").alias("c")).select("nation", "c.*")
-    kept = o.where(F.col("o_orderpriority").startswith("1")).select("nation", "fiscal_year", "fiscal_period").distinct().withColumn("k", F.lit(1))
-    both = expected.join(kept, ["nation", "fiscal_year", "fiscal_period"], "left")
-    return both.groupBy("nation").agg(F.count("*").cast("long").alias("expected"), F.count("k").cast("long").alias("kept"))
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nation"))
+    return statements.coverage(nations, o, o.where(F.col("o_orderpriority").startswith("1")), "nation", ["fiscal_year", "fiscal_period"])
 
 
 @query(f"""WITH {ORDERS_SQL}, r AS (SELECT o_custkey, fiscal_year, CASE WHEN sum(amount) > 1000000 THEN 'kept' ELSE 'unproven' END AS st, CASE WHEN count(*) % 2 = 0 THEN 'same' ELSE 'differs' END AS other FROM o GROUP BY ALL)

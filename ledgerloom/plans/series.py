@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import fiscal
-from ..operators import aggregates, joins, windows
+from ..operators import aggregates, joins, statements, windows
 from .adapters import ORDERS_SQL, Registry, orders, segment_orders, segment_quarters, table
 
 query = Registry()
@@ -111,11 +111,8 @@ def grouping_sets_score(spark, sf_dir):
 SELECT o_custkey, CAST(qd + INTERVAL 3 MONTH AS DATE) AS missing FROM x WHERE nxt = qd + INTERVAL 6 MONTH""")
 def reread_select(spark, sf_dir):
     """Quarters without an order between two quarters that have one."""
-    from pyspark.sql import Window
-
-    q = orders(spark, sf_dir).select("o_custkey", F.trunc("day", "quarter").alias("qd")).distinct()
-    after = F.lead("qd").over(Window.partitionBy("o_custkey").orderBy("qd"))
-    return q.withColumn("after", after).where(F.col("after") == F.add_months("qd", 6)).select("o_custkey", F.add_months("qd", 3).alias("missing"))
+    q = orders(spark, sf_dir).select("o_custkey", F.trunc("day", "quarter").alias("qd"))
+    return statements.missing_between(q, ["o_custkey"], "qd")
 
 
 @query(f"""WITH {ORDERS_SQL}, d AS (SELECT DISTINCT day FROM o), f AS (SELECT day, 930 AS k, make_date(year(day), 9, 30) AS this FROM d UNION ALL SELECT day, 1231, make_date(year(day), 12, 31) FROM d),
