@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import cases, checks, derivation, evaluation, history, lines, listed, matching, proven, scenarios, series, texts
+from . import cases, checks, derivation, evaluation, history, lines, listed, matching, proven, read, scenarios, series, texts
 
-MODULES = (cases, checks, derivation, evaluation, history, lines, listed, matching, proven, scenarios, series, texts)
+MODULES = (cases, checks, derivation, evaluation, history, lines, listed, matching, proven, read, scenarios, series, texts)
 
 
 def queries() -> dict[str, Callable]:
