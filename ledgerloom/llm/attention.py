@@ -6,20 +6,16 @@ import numpy as np
 
 #: Words of a passage.
 PASSAGE = 64
-#: What a byte is: 0 other, then a-z, A-Z, digits, above 0x7F, and marks by kind.
-_KINDS = ((range(97, 123), 1), (range(65, 91), 2), (range(48, 58), 3), (range(128, 256), 4), (b".,;:'\"()-?", 5), (b"!", 6), (b"|", 7), (b"#*$%&<>", 8), (b"=_/\\@{}[]~^`+", 9))
-CLASSES = 10
-_CLASS = np.zeros(256, dtype=np.uint8)
-for _bytes, _k in _KINDS:
-    _CLASS[list(_bytes)] = _k
-FEATURES = CLASSES + 6
+#: Bytes that are told apart: each ASCII one, and all others as one. The model learns what they mean.
+BYTES = 129
+FEATURES = BYTES + 6
 
 
 def passages(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Features of the passages of all texts, and how many each text has (one of zeros for a text without words).
 
-    Shares of byte classes, mean word length, distinct words, words equal to the one before or to the one before that,
-    words without a-z that have two or more A-Z, words with marks of the rarer kinds, and how full the passage is.
+    Shares of bytes, mean word length, distinct words, words equal to the one before or to the one before that, words
+    without a-z that have two or more A-Z, words with an ASCII byte that is no letter or digit, and how full the passage is.
     """
     number: dict[bytes, int] = {}
     words, ids, counts = [], [], []
@@ -37,25 +33,27 @@ def passages(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     place = np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts, counts)
     of = np.repeat(first_pass, counts) + place // PASSAGE
     size = np.fromiter(map(len, words), np.int64, len(words))
-    kind = _CLASS[np.frombuffer(b"".join(words), np.uint8)]
+    byte = np.minimum(np.frombuffer(b"".join(words), np.uint8), BYTES - 1).astype(np.int64)
     word_of = np.repeat(np.arange(len(words)), size)
-    by_word = np.bincount(word_of * CLASSES + kind, minlength=len(words) * CLASSES).reshape(-1, CLASSES)
+    in_word = lambda some: np.bincount(word_of[some], minlength=len(words))
+    lower, upper, digit = (byte >= 97) & (byte <= 122), (byte >= 65) & (byte <= 90), (byte >= 48) & (byte <= 57)
+    marks = in_word(~(lower | upper | digit) & (byte < BYTES - 1))
     n = len(out)
     total = lambda x: np.bincount(of, weights=x, minlength=n)
     n_words = np.maximum(1, total(np.ones(len(words))))
-    by_pass = np.stack([total(by_word[:, k]) for k in range(CLASSES)], axis=1)
-    out[:, :CLASSES] = by_pass / np.maximum(1, by_pass.sum(axis=1, keepdims=True))
+    by_pass = np.bincount(of[word_of] * BYTES + byte, minlength=n * BYTES).reshape(n, BYTES)
+    out[:, :BYTES] = by_pass / np.maximum(1, by_pass.sum(axis=1, keepdims=True))
     ids = np.array(ids)
     again, again2 = np.zeros(len(ids)), np.zeros(len(ids))
     again[1:] = (ids[1:] == ids[:-1]) & (of[1:] == of[:-1])
     again2[2:] = (ids[2:] == ids[:-2]) & (of[2:] == of[:-2])
     different = np.bincount(np.unique(of * len(number) + ids) // len(number), minlength=n)
-    out[:, CLASSES] = np.minimum(1, total(size) / n_words / 20)
-    out[:, CLASSES + 1] = different / n_words
-    out[:, CLASSES + 2] = total(np.maximum(again, again2)) / n_words
-    out[:, CLASSES + 3] = total((by_word[:, 2] >= 2) & (by_word[:, 1] == 0)) / n_words
-    out[:, CLASSES + 4] = total(by_word[:, 6:9].sum(axis=1) > 0) / n_words
-    out[:, CLASSES + 5] = np.minimum(1, n_words / PASSAGE)
+    out[:, BYTES] = np.minimum(1, total(size) / n_words / 20)
+    out[:, BYTES + 1] = different / n_words
+    out[:, BYTES + 2] = total(np.maximum(again, again2)) / n_words
+    out[:, BYTES + 3] = total((in_word(upper) >= 2) & (in_word(lower) == 0)) / n_words
+    out[:, BYTES + 4] = total(marks > 0) / n_words
+    out[:, BYTES + 5] = np.minimum(1, n_words / PASSAGE)
     return out, n_pass
 
 

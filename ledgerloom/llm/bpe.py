@@ -19,7 +19,7 @@ WORD_END = "</w>"
 VOCABULARY = "word_bpe_49k.json"
 #: Words kept for each worker process; beyond that the memory starts anew.
 KEPT_WORDS = 700_000
-#: Bytes up to which words are encoded together, step by step; longer ones are encoded one by one.
+#: Bytes up to which words that fail are merged together, step by step; longer ones are merged one by one, in n log n.
 SHORT = 64
 _NEVER = np.int64(1) << 60
 
@@ -249,16 +249,11 @@ class SpeculativeBPE:
         """Ids of words (not empty, as the splitter gives them)."""
         coded = [w.encode() for w in words]
         out: list[list[int]] = [[]] * len(words)
-        few = [i for i, w in enumerate(coded) if len(w) <= SHORT]
-        for i, w in enumerate(coded):
-            if len(w) > SHORT:
-                out[i] = self.merge(w)
-        self.exact += len(words) - len(few)
         self.guessed += len(words)
-        if not few:
+        if not words:
             return out
-        size = np.array([len(coded[i]) for i in few])
-        data, start = np.frombuffer(b"".join([coded[i] for i in few]), np.uint8).astype(np.int64), np.cumsum(size) - size
+        size = np.array([len(w) for w in coded])
+        data, start = np.frombuffer(b"".join(coded), np.uint8).astype(np.int64), np.cumsum(size) - size
         tokens, word, failed = self.greedy(data, start, start + size)
         failed[word[~self.valid[tokens]]] = True
         inside = np.flatnonzero(word[1:] == word[:-1])
@@ -267,21 +262,21 @@ class SpeculativeBPE:
         good = ~failed[word]
         tokens, word = tokens[good], word[good]
         if failed.any():
-            bad = np.flatnonzero(failed)
+            self.exact += int(failed.sum())
+            for i in np.flatnonzero(failed & (size > SHORT)).tolist():
+                out[i] = self.merge(coded[i])
+            bad = np.flatnonzero(failed & (size <= SHORT))
             of = np.repeat(bad, size[bad])
             place = np.arange(len(of)) - np.repeat(np.cumsum(size[bad]) - size[bad], size[bad]) + start[of]
             symbols = self.first[data[place]]
             end = place == (start + size - 1)[of]
             symbols[end] = self.last[data[place[end]]]
-            more, own = self.merge_all(symbols, size[bad])
+            more, own = self.merge_all(symbols, size[bad]) if len(bad) else (tokens[:0], word[:0])
             tokens, word = np.concatenate([tokens, more]), np.concatenate([word, bad[own]])
             order = np.argsort(word, kind="stable")
             tokens, word = tokens[order], word[order]
-            self.exact += len(bad)
-        cut, flat = np.searchsorted(word, np.arange(len(few) + 1)).tolist(), tokens.tolist()
-        for k, i in enumerate(few):
-            out[i] = flat[cut[k] : cut[k + 1]]
-        return out
+        cut, flat = np.searchsorted(word, np.arange(len(words) + 1)).tolist(), tokens.tolist()
+        return [own or flat[a:b] for own, a, b in zip(out, cut, cut[1:])]
 
     def words(self, text: str) -> list[str]:
         """The text's words as the library splits them; special tokens stand for themselves."""

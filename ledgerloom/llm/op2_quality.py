@@ -19,7 +19,7 @@ CUT = 0.3
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most: int = MOST_LABELLED) -> GatedAttention | None:
     """The model, from at most `most` labelled documents that aren't held out; None without labels of both kinds.
 
-    Passages are described by Spark tasks; the driver gets their features (64 bytes for 64 words) and fits in numpy.
+    Passages are described by Spark tasks; the driver gets their features (540 bytes for 64 words) and fits in numpy.
     """
     common.prepare(docs.sparkSession)
 

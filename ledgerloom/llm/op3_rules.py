@@ -27,10 +27,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def _repeated(words: Column) -> Column:
     """Words in windows of WINDOW words that the text has twice or more.
 
-    Windows are told apart by a 64-bit hash. If all differ, which is the usual case, nothing is sorted.
+    Windows are told apart by a 64-bit hash, of two hashes of half as many words, down to a word's. If all differ, which is the usual case, nothing is sorted.
     """
     n = F.size(words)
-    windows = F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(words, i, WINDOW)))
+
+    def doubled(k: int) -> Callable[[Column], Column]:
+        """Hashes of runs of k words to those of runs of 2k."""
+        left = lambda g: F.greatest(F.size(g) - k, F.lit(0))
+        return lambda g: F.zip_with(F.slice(g, F.lit(1), left(g)), F.slice(g, F.lit(k + 1), left(g)), lambda a, b: F.xxhash64(a, b))
+
+    windows = F.transform(words, lambda w: F.xxhash64(w))
+    for k in (1, 2, 4):
+        windows = let(windows, doubled(k))
 
     def covered(at: Column) -> Column:
         step = F.transform(at, lambda p, i: F.least(F.lit(WINDOW), F.coalesce(F.get(at, i + 1) - p, F.lit(WINDOW))))
