@@ -89,9 +89,9 @@ def test_series_of_a_long_chain(spark):
 
 def test_witnesses(spark):
     d = lambda n: DAY + dt.timedelta(n)
-    data = [("one", 1.0, d(0)), ("same", 1.0, d(0)), ("same", 1.0, d(90)), ("new", 1.0, d(0)), ("new", 2.0, d(90)), ("odd", 1.0, d(0)), ("odd", 1.0, d(90)), ("odd", 5.0, d(180)), ("close", 1.0, d(0)), ("close", 2.0, d(2))]
-    got = {r["k"]: r["witness"] for r in rows(selection.witnesses(spark.createDataFrame(data, "k string, v double, filed date"), ["k"], "v", "filed"))}
-    assert got == {"one": "single", "same": "confirmed", "new": "restated", "odd": "contradicted", "close": "single"}
+    data = [("one", 1.0, d(0), 0), ("same", 1.0, d(0), 0), ("same", 1.0, d(90), 1), ("same", 7.0, d(99), 2), ("new", 2.0, d(90), 0), ("new", 1.0, d(0), 1), ("later", 1.0, d(0), 0), ("later", 2.0, d(90), 1), ("tie", 4.0, d(0), 0), ("tie", 1.0, d(0), 1)]
+    got = rows(selection.witnesses(spark.createDataFrame(data, "k string, v double, filed date, rank int"), ["k"], [F.col("rank")], "v", "filed"))
+    assert {r["k"]: (r["v"], r["witness"]) for r in got} == {"one": (1, "single"), "same": (1, "confirmed"), "new": (2, "restated"), "later": (1, "contradicted"), "tie": (4, "restated")}
 
 
 def test_votes_and_top_level(spark):
