@@ -219,6 +219,35 @@ def test_pipeline_equals_plain_parts(spark):
         assert out[i]["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
 
 
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_on_edges(spark, name):
+    """Null ids and texts, repeated rows and ids, empty and long texts, clashing columns, no rows: all but the last stage keep the columns and drop whole rows only."""
+    stage, docs = dict(corpus_pipeline.STAGES)[name], edge_documents(spark)
+    got, none = stage(spark, docs, SF), stage(spark, no_documents(spark), SF)
+    assert rows(none) == []
+    if name == "tokens":
+        assert got.count() == docs.count() and {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(got.columns)
+        return
+    assert got.columns == docs.columns and none.columns == docs.columns
+    left, before = [(r["doc_id"], r["text"]) for r in rows(got)], [(i, t) for i, t in edge_texts()]
+    if name == "personal_data":
+        assert sorted(str(i) for i, _ in left) == sorted(str(i) for i, _ in before)
+        return
+    for x in set(left):
+        assert left.count(x) <= before.count(x)
+    if name == "near_duplicates":  # rows 1, 6, 6 and 11 are near copies, 5 and 13 copies; the null id's text is its own
+        assert sorted(str(i) for i, _ in left) == sorted(str(i) for i in (1, 2, 3, 4, 5, 7, None, 8, 9, 10, 12))
+
+
+def test_sample_is_bounded_by_ids(spark):
+    from ledgerloom.llm import labelled
+
+    docs = spark.createDataFrame([(i % 7, f"text {i:03}") for i in range(70)] + [(None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(7)] + [(3, 0), (None, 1)], "doc_id long, quality int")
+    got = rows(labelled.sample(docs, labels, ["quality"], 4))
+    assert len(got) == len({r["doc_id"] for r in got}) <= 4 and all(r["text"] == f"text {r['doc_id']:03}" and r["label_quality"] == 1 for r in got)
+
+
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_catalogue_names(name):
     assert re.fullmatch(r"op([1-9]|10)_\w+|pipeline", name)
