@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,9 +12,10 @@ def cut(df: DataFrame) -> DataFrame:
     """df written to the shared checkpoint folder, so that what follows doesn't plan or compute it again."""
     spark = df.sparkSession
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerloom-"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="ledgerloom-"))
     return df.checkpoint()
 
 

@@ -147,12 +147,17 @@ def newest_quarters(spark, sf_dir):
 
 
 def list_match(spark, sf_dir):
-    """Greedy one-to-one matching of part names to types by common words; tested against a plain loop."""
+    """Greedy one-to-one matching of part names to longer labels that share two words or more; tested against a plain loop.
+
+    Labels meet by pairs of their words, which are far rarer than single ones.
+    """
     p = table(spark, sf_dir, "part")
-    left = p.select(F.col("p_name").alias("a")).distinct()
-    right = p.select(F.concat_ws(" ", "p_name", F.lower("p_type")).alias("b")).distinct()
-    w = lambda c: F.explode(F.split(c, " "))
-    common = left.select("a", w("a").alias("w")).join(right.select("b", w("b").alias("w")), "w").groupBy("a", "b").agg(F.count("*").alias("n"))
+    words = lambda c: F.array_sort(F.array_distinct(F.split(c, " ")))
+    left = p.select(F.col("p_name").alias("a")).distinct().withColumn("x", words("a"))
+    right = p.select(F.concat_ws(" ", "p_name", F.lower("p_type")).alias("b")).distinct().withColumn("y", words("b"))
+    pairs = lambda c: F.explode(F.flatten(F.transform(c, lambda u: F.transform(F.filter(c, lambda v: v > u), lambda v: F.concat_ws(" ", u, v)))))
+    met = left.select("a", "x", pairs(F.col("x")).alias("w")).join(right.select("b", "y", pairs(F.col("y")).alias("w")), "w")
+    common = met.groupBy("a", "b").agg(F.first(F.size(F.array_intersect("x", "y"))).alias("n"))
     return joins.one_to_one(common, "a", "b", "n")
 
 

@@ -8,7 +8,7 @@ import zipfile
 
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import aggregates, breakdowns, checks, derive, identity, joins, selection, sets, store
+from ledgerloom.operators import aggregates, breakdowns, checks, derive, evaluate, identity, joins, selection, sets, store
 from ledgerloom.sources import filings, html
 from ledgerloom.streaming import ingest
 
@@ -167,7 +167,6 @@ def test_units(spark):
 
 def test_ties_long_chains_and_deep_trees_are_followed_to_the_end(spark):
     """A tied block of 30 x 25 beside a chain that takes a round for each link; equal to a plain loop over sorted pairs."""
-    from ledgerloom.operators import evaluate
 
     pairs = [(a, b, 5) for a in range(30) for b in range(25)] + [(100 + k, 100 + k + d, 50 - 2 * k - d) for k in range(8) for d in (0, 1)]
     want, used_l, used_r = [], set(), set()
@@ -204,3 +203,9 @@ def test_nested_and_unclosed_tables_keep_their_content():
     assert found("<p>top</p><table><tr><td>a</td></tr><p>after</p> and more") == [("text", ["top"]), ("text", ["after"]), ("text", ["and more"]), ("table", [["a"]])]
     assert found("<table><tr><td><p>a</p><p>b</p></td></tr></table>") == [("table", [["a b"]])]
     assert found("<table><tr><td>a<table><tr><td>x") == [("table", [["a"], ["x"]])]
+
+
+def test_sign_chain_gives_up_beyond_its_sums(spark):
+    frame = spark.createDataFrame([(1.0, [2.0, 4.0], 7.0), (1.0, [2.0, 4.0], 8.0), (0.0, [float(2**k) for k in range(14)], 1.0)], "a double, x array<double>, b double")
+    got = [r["ok"] for r in frame.select(evaluate.sign_chain(F.col("a"), F.col("x"), F.col("b"), 0.1).alias("ok")).collect()]
+    assert got == [True, False, False]
