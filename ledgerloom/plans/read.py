@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..operators import readers
+from ..operators import readers, selectors
 from . import scenarios
 from .scenarios import scenario
 
@@ -265,5 +265,75 @@ def run_report(t):
     return readers.run_report(t("s string, status string, seconds double", rows), ["s"], ["kept", "failed"])
 
 
+# Selectors --------------------------------------------------------------------------------------------------------------
+
+_VALUES = "group_key string, kpi_key string, fiscal_year int, fiscal_period string, value double"
+
+
+@scenario("kpi_key string, value double, value_right double", [("a", 1, 5)])
+def same_identity(t):
+    left = t(_VALUES, [("g", "a", 2024, "Q1", 1), ("g", "b", 2024, "Q1", 2)])
+    return selectors.same_identity(left, t(_VALUES, [("g", "a", 2024, "Q1", 5), ("g", "b", 2024, "Q2", 6)]))
+
+
+@scenario("f string", [("f2",)])
+def picked_filings(t):
+    values = t("f string, status string, value double", [("f1", "verified", 1), ("f2", "held", -1), (None, "held", -1)])
+    return selectors.picked(values, {"negative": c("value") < 0, "held": c("status") == "held"}, "negative", "f")
+
+
+@scenario("f string", [("report",)])
+def beside_charts(t):
+    rows = [(2026, "Q3", "slides", "chart", "verified"), (2026, "Q3", "report", "ai", "held"), (2026, "Q2", "other", "ai", "held"), (2026, "Q1", "s", "chart", "rejected"), (2026, "Q1", "r", "ai", "held")]
+    return selectors.beside_charts(t("y int, p string, f string, method string, status string", rows), ["y", "p"], "f", c("method") == "chart")
+
+
+@scenario("tbl string, segment string", [("AM", "Asset Management")])
+def segment_pages(t):
+    rows = [("f", "AM", 1, "Discretionary assets", 50), ("f", "AM", 2, "Net income", 7), ("f", "AM", 3, "Only here", 1), ("f", "all", 1, "Discretionary assets", 210), ("f", "all", 2, "Net income", 7)]
+    return selectors.of_segment_pages(t("f string, tbl string, row int, label string, value double", rows), t("f string, tbl string, segment string", [("f", "AM", "Asset Management"), ("f", "all", None)]), ["f"])
+
+
+@scenario("item string, tbl string, row int", [("other", "IS", 8)])
+def statement_others(t):
+    readings = [("f", "other", "All other", "detail", 7), ("f", "cards", "Card fees", "detail", 7), ("f", "there", "Other", "IS", 7), ("f", "far", "Other", "detail", 40)]
+    rows = [("f", "IS", 8, "Other", True), ("f", "IS", 20, "Other", True), ("f", "IS", 7, "Card fees", True), ("f", "detail", 3, "All other", False)]
+    return selectors.statement_others(t("f string, item string, label string, tbl string, near_row int", readings), t("f string, tbl string, row int, label string, is_statement boolean", rows), ["f"])
+
+
+@scenario("item string, flag string", [("moved", "differs"), ("gone", "no_cell"), ("bare", "no_locator")])
+def audited_figures(t):
+    cells = t(_CELLS, _cells("T1", [["", "2025"], ["Net sales", "$5"]]))
+    items = [("f", "right", "T1", 1, 1, 1e6, 5e6), ("f", "moved", "T1", 1, 1, 1e6, 6e6), ("f", "gone", "T1", 9, 1, 1.0, 5.0), ("f", "bare", None, None, None, None, 5.0)]
+    return selectors.audited_figures(t("f string, item string, tbl string, row int, col int, scale double, value double", items), cells, ["f"])
+
+
+@scenario("k string, how string", [("a", "table"), ("b", "quote"), ("c", "tag"), ("d", "other")])
+def reading_patterns(t):
+    rows = [("a", "verified", "ai", None, None, "T1"), ("b", "verified", "ai", None, "q", None), ("c", "verified", "ai", "C", "q", None), ("d", "verified", "ai", None, None, None), ("e", "held", "ai", None, None, "T1"), ("f", "verified", "xbrl", "C", None, None)]
+    return selectors.reading_patterns(t("k string, status string, method string, concept string, quote string, tbl string", rows), ["k"])
+
+
+@scenario("g string, items string", [("a", "z,x,y")])
+def members_by_size(t):
+    return selectors.by_size(t("g string, k string, v double", [("a", "x", 5), ("a", "z", 9), ("a", "y", 5)]), ["g"], "v", "k").withColumn("items", F.array_join("items", ","))
+
+
+@scenario("s string, predecessor string", [("GOOG", "Google Inc."), ("KHC", "Kraft"), ("KHC", "Heinz")])
+def predecessor_registrants(t):
+    return selectors.predecessors(t("s string", [("GOOG",), ("KHC",), ("MSFT",)]), {"GOOG": ["Google Inc."], "KHC": ["Kraft", "Heinz"]}, "s")
+
+
+@scenario("s string, line string", [("a", '{"s":"a","n":1,"lines":[1.5]}'), ("b", '{"s":"b","lines":[]}')])
+def reading_lines(t):
+    return selectors.json_lines(t("s string, n int, lines array<double>", [("a", 1, [1.5]), ("b", None, [])]), ["s"])
+
+
+@scenario("k string, v double", [("b", 7), ("new", 1)])
+def held_writes(t):
+    schema = "k string, v double"
+    return selectors.batch_writes([t(schema, [("a", 1), ("b", 2)]), t(schema, [("a", 9), ("b", 3), ("new", 1)]), t(schema, [("a", 1), ("b", 7)])], ["k"], ["v"])
+
+
 QUERIES = {k: scenarios.QUERIES[k] for k in scenarios.QUERIES if k not in _before}
 SQL = {k: scenarios.SQL[k] for k in QUERIES}
