@@ -73,7 +73,7 @@ p AS (
 f AS (SELECT pair_id, coalesce(min(CASE WHEN cr = rr AND ct = rt THEN NULL ELSE n END), max(n) + 1) - 1 AS n_prefix FROM p GROUP BY pair_id),
 r AS (
   SELECT p.*, f.n_prefix, '<|' || cr || '|>' || chr(10) || ct || '<|end|>' || chr(10) AS c, '<|' || rr || '|>' || chr(10) || rt || '<|end|>' || chr(10) AS j
-  FROM p JOIN f USING (pair_id))
+  FROM p JOIN f USING (pair_id)),
 m AS (
   SELECT *, sum(length(c)) FILTER (WHERE n > n_prefix) OVER w AS c_end, sum(length(j)) FILTER (WHERE n > n_prefix) OVER w AS j_end FROM r
   WINDOW w AS (PARTITION BY pair_id ORDER BY n))
