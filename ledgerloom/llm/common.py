@@ -66,8 +66,13 @@ def persist(df: DataFrame, what: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Deletes what persist wrote, once nothing reads it any more."""
-    path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._written)
-    path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    remove(df.sparkSession, df._written)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of any store that Spark reaches."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def with_key(df: DataFrame) -> DataFrame:
