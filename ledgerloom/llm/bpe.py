@@ -21,6 +21,10 @@ VOCABULARY = "word_bpe_49k.json"
 KEPT_WORDS = 700_000
 #: Bytes up to which words that fail are merged together, step by step; longer ones are merged one by one, in n log n.
 SHORT = 64
+#: Bytes from which a word is long: matched at all its places at once, and merged exactly only where its guess fails.
+LONG = 512
+#: Places of a long word that are matched together.
+PLACES = 1 << 20
 _NEVER = np.int64(1) << 60
 
 # Characters whose case, composition and class agree in every library: the others take the library's own splitter.
@@ -115,6 +119,9 @@ class SpeculativeBPE:
                 if node == len(token):
                     token.append(-1)
             token[node] = i
+        self.width = np.zeros(self.size, dtype=np.int64)
+        for t, i in self.vocab.items():
+            self.width[i] = len(t.removesuffix(WORD_END))
         self.child = IntMap(np.array(list(children), dtype=np.int64), np.array(list(children.values()), dtype=np.int64))
         self.token_at = np.array(token, dtype=np.int64)
         self.first = np.array([self.vocab[c] for c in self.alphabet], dtype=np.int64)
@@ -187,6 +194,86 @@ class SpeculativeBPE:
         order = np.argsort(words, kind="stable")
         return tokens[order], words[order], failed
 
+    def _longest(self, data: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each place of a word from low to high the longest token that starts there, -1 if none does, and the place behind it."""
+        n = len(data)
+        best, behind = np.full(high - low, -1), np.arange(low, high)
+        open_, at, node = np.arange(high - low), np.arange(low, high), np.zeros(high - low, np.int64)
+        while open_.size:
+            inside = at < n
+            child = self.child.get(node * 257 + np.where(inside, data[np.minimum(at, n - 1)], 256), -1)
+            on = child >= 0
+            open_, inside, node, at = open_[on], inside[on], child[on], at[on] + 1
+            whole = self.token_at[node]
+            longer = (whole >= 0) & ((at < n) | ~inside)
+            best[open_[longer]], behind[open_[longer]] = whole[longer], np.minimum(at[longer], n)
+            open_, at, node = open_[inside], at[inside], node[inside]
+        return best, behind
+
+    def long_word(self, word: bytes) -> list[int]:
+        """Ids of one long word: guessed from the longest match at each place, and merged anew around each pair that can't stand.
+
+        What is merged anew is exact within, so only its borders are tested again. Stretches grow with each round; a word that
+        still fails when they are large is merged as a whole. Time grows with the word's length, not with its square.
+        """
+        data = np.frombuffer(word, np.uint8).astype(np.int64)
+        ids, starts, at = [], [], 0
+        for low in range(0, len(data), PLACES):
+            high = min(len(data), low + PLACES)
+            best, behind = (x.tolist() for x in self._longest(data, low, high))
+            while at < high:
+                if best[at - low] < 0:
+                    return self.merge(word)
+                ids.append(best[at - low])
+                starts.append(at)
+                at = behind[at - low]
+        ids, starts = np.array(ids), np.array(starts)
+        unsure, wrong = np.ones(len(ids) - 1, dtype=bool), ~self.valid[ids]
+        for turn in range(8):
+            pairs = np.flatnonzero(unsure)
+            pairs = pairs[~self.compatible(ids[pairs], ids[pairs + 1])]
+            at = np.concatenate([pairs, np.flatnonzero(wrong)])
+            if not at.size:
+                return ids.tolist()
+            reach, most = 2 << turn, 32 << turn
+            edge = np.zeros(len(ids) + 1, dtype=np.int64)
+            np.add.at(edge, np.maximum(at - reach + 1, 0), 1)
+            np.add.at(edge, np.minimum(at + reach + 1, len(ids)), -1)
+            inner = np.cumsum(edge[:-1]) > 0
+            # stretches of what is to be merged, the long ones cut into pieces
+            begin = np.flatnonzero(inner & ~np.append(False, inner[:-1]))
+            run = np.flatnonzero(inner & ~np.append(inner[1:], False)) + 1 - begin
+            pieces = -(-run // most)
+            first = np.repeat(begin, pieces) + most * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+            last = np.minimum(first + most, np.repeat(begin + run, pieces))
+            ids, starts, unsure = self._merged_anew(data, ids, starts, first, last)
+            wrong = np.zeros(len(ids), dtype=bool)
+        return self.merge(word)
+
+    def _merged_anew(self, data: np.ndarray, ids: np.ndarray, starts: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens with stretches of them (first to last) merged exactly, their places, and which pairs lie across a stretch's border."""
+        ends = np.append(starts, len(data))
+        low, high = starts[first], ends[last]
+        size = high - low
+        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low, size)
+        symbols = self.first[data[place]]
+        if len(place) and place[-1] == len(data) - 1:
+            symbols[-1] = self.last[data[-1]]
+        tokens, own = self.merge_all(symbols, size)
+        kept = np.ones(len(ids), dtype=bool)
+        for a, b in zip(first.tolist(), last.tolist()):
+            kept[a:b] = False
+        width = self.width[tokens]
+        count = np.bincount(own, minlength=len(first))
+        begins = np.cumsum(count) - count
+        within = np.cumsum(width) - width
+        new_starts = within - np.repeat(within[begins], count) + np.repeat(low, count)
+        all_starts = np.concatenate([starts[kept], new_starts])
+        order = np.argsort(all_starts, kind="stable")
+        out, at = np.concatenate([ids[kept], tokens])[order], all_starts[order]
+        border = np.isin(at, np.concatenate([low, high]))
+        return out, at, border[1:]
+
     def merge_all(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The merges themselves for all words together, one merge of each word at a time: tokens and the word of each."""
         word = np.repeat(np.arange(len(sizes)), sizes)
@@ -252,6 +339,15 @@ class SpeculativeBPE:
         self.guessed += len(words)
         if not words:
             return out
+        if max(map(len, coded)) > LONG:
+            long = [i for i, w in enumerate(coded) if len(w) > LONG]
+            rest = [i for i, w in enumerate(coded) if len(w) <= LONG]
+            for i in long:
+                out[i] = self.long_word(coded[i])
+            for i, ids in zip(rest, self.encode_words([words[i] for i in rest])):
+                out[i] = ids
+            self.guessed -= len(rest)
+            return out
         size = np.array([len(w) for w in coded])
         data, start = np.frombuffer(b"".join(coded), np.uint8).astype(np.int64), np.cumsum(size) - size
         tokens, word, failed = self.greedy(data, start, start + size)
@@ -263,7 +359,7 @@ class SpeculativeBPE:
         tokens, word = tokens[good], word[good]
         if failed.any():
             self.exact += int(failed.sum())
-            for i in np.flatnonzero(failed & (size > SHORT)).tolist():
+            for i in np.flatnonzero(failed & (size > SHORT)).tolist():  # of at most LONG bytes
                 out[i] = self.merge(coded[i])
             bad = np.flatnonzero(failed & (size <= SHORT))
             of = np.repeat(bad, size[bad])

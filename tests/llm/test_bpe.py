@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -96,3 +97,24 @@ def test_token_files(spark, library, tmp_path, parts, monkeypatch):
 def test_token_files_of_nothing(spark, tmp_path):
     op8_token_files.write(no_documents(spark), str(tmp_path / "none"))
     assert rows(op8_token_files.documents(spark, str(tmp_path / "none"))) == []
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "a", "acgt", "éàüß日本", "#*$%&|<>"])
+def test_long_words_take_time_in_proportion(letters):
+    library = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    own = bpe.load()
+    for n in (513, 3000, 400_000):
+        text = "".join(random.Random(n).choices(letters, k=n))
+        began = time.perf_counter()
+        got = own.encode([text, "short words", None, text[:600]])
+        assert time.perf_counter() - began < 10
+        assert got == [library.encode(t or "", add_special_tokens=False).ids for t in (text, "short words", None, text[:600])]
+
+
+def test_long_words_of_several_parts(monkeypatch):
+    monkeypatch.setattr(bpe, "PLACES", 100)
+    own = bpe.load()
+    for k in range(40):
+        rnd = random.Random(k)
+        word = "".join(rnd.choices(rnd.choice(["abc", "etaoin", "xyz", "hello"]), k=rnd.randrange(513, 1200))).encode()
+        assert own.long_word(word) == own.merge(word)
