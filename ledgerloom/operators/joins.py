@@ -4,18 +4,24 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df written to the shared checkpoint folder, so that what follows doesn't plan or compute it again."""
-    spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that driver and executors share; where none is set, one of this machine, if all of Spark runs here."""
+    sc = spark.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
         shared = spark.conf.get("spark.checkpoint.dir", None)
-        if not shared and not spark.sparkContext.master.startswith("local"):
+        if not shared and not sc.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
-        spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="ledgerloom-"))
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="ledgerloom-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df written to the shared checkpoint folder, so that what follows doesn't plan or compute it again."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
