@@ -30,6 +30,8 @@ BLOCKS = 64
 FILES = 4
 #: Parts that are written at most. Blocks number at most 2 * BLOCKS * shards and one for each file; the driver holds their sizes.
 MOST_PARTS = 20_000
+#: Of the data's files. Snappy's buffers lie outside the heap until it is collected, and many small files fill them without filling the heap.
+CODEC = "zstd"
 _PLACE = StructType([StructField("run", IntegerType()), StructField("block", IntegerType()), StructField("row", LongType())])
 _MANIFEST = "file long, block int, version int, shard int, n_rows long, bytes long, start long"
 
@@ -74,7 +76,7 @@ def write(docs: DataFrame, at: str, shards: int, text_col: str = "text", even_sh
     rows = rows.withColumn("place", _place(max(1, total // (of * BLOCKS)), max(1, total // (of * FILES)))("size"))
     rows = rows.withColumn("file", F.shiftleft(F.spark_partition_id().cast("long"), 20) + F.col("place.run"))
     rows = rows.select("place.block", "place.row", "size", "doc", F.lit(0).alias("version"), F.pmod(F.xxhash64("file"), F.lit(shards)).cast("int").alias("shard"), "file")
-    rows.write.partitionBy("version", "shard", "file").parquet(f"{at}/data")
+    rows.write.option("compression", CODEC).partitionBy("version", "shard", "file").parquet(f"{at}/data")
     spark.createDataFrame([], _schema_of(docs)).coalesce(1).write.parquet(f"{at}/empty")
     held = _rows(spark, at, f"{at}/data").groupBy("file", "block", "version", "shard").agg(F.count("*").alias("n_rows"), F.sum("size").alias("bytes")).toPandas()
     _commit(spark, at, 0, held)
@@ -137,7 +139,7 @@ def reshard(spark: SparkSession, at: str, room: list[int] | int, zones: list[int
     if gone:
         plan = spark.createDataFrame(pd.DataFrame({"file": new.loc[touched, "file"].astype("int64"), "block": new.loc[touched, "block"].astype("int32"), "to": new.loc[touched, "shard"].astype("int32")}), "file long, block int, to int")
         rows = _rows(spark, at, *gone).join(F.broadcast(plan), ["file", "block"])
-        rows.select("block", "row", "size", "doc", F.col("to").alias("shard"), "file").write.mode("overwrite").partitionBy("shard", "file").parquet(f"{at}/data/version={version}")
+        rows.select("block", "row", "size", "doc", F.col("to").alias("shard"), "file").write.mode("overwrite").option("compression", CODEC).partitionBy("shard", "file").parquet(f"{at}/data/version={version}")
     _commit(spark, at, version, new)
     for path in gone:
         common.remove(spark, path)
