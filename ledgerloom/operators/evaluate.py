@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,15 +53,14 @@ def descendants(edges: DataFrame, parent: str, child: str) -> DataFrame:
     return out
 
 
-#: Sums that a chain may have reached at a time; beyond them nothing is proven.
-MOST_SUMS = 512
+def sign_chain(start: Column, changes: Column, end: Column, tolerance: float = 0.5) -> Column:
+    """Whether start, with each change added or taken away, can reach end; null if a figure is missing, or if there are too many changes of too fine figures to tell."""
 
+    def run(starts: pa.Array, steps: pa.Array, ends: pa.Array) -> pa.Array:
+        from ledgerloom.operators.sums import signed_reach
 
-def sign_chain(start: Column, changes: Column, end: Column, tolerance: float = 0.5) -> Column:
-    """Whether start, with each change added or taken away, can reach end: the sums reached so far are kept, each once.
+        rows = zip(starts.to_pylist(), steps.to_pylist(), ends.to_pylist())
+        return pa.array([None if a is None or b is None or x is None or None in x else signed_reach(a, x, b, tolerance) for a, x, b in rows], pa.bool_())
 
-    A chain that reaches more than MOST_SUMS sums on its way proves nothing and gives false.
-    """
-    step = lambda a, x: F.array_distinct(F.concat(F.transform(a, lambda s: F.round(s + x, 2)), F.transform(a, lambda s: F.round(s - x, 2))))
-    reach = F.aggregate(changes, F.array(start), lambda a, x: F.when(F.size(a) > MOST_SUMS, F.slice(a, 1, 0)).otherwise(step(a, x)))
-    return (F.size(reach) <= MOST_SUMS) & F.exists(reach, lambda s: F.abs(s - end) <= tolerance)
+    run.__annotations__ = {"starts": pa.Array, "steps": pa.Array, "ends": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, "boolean")(start.cast("double"), changes.cast("array<double>"), end.cast("double"))

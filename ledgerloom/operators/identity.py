@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import permutations
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -114,38 +113,44 @@ def continued_lines(openings: DataFrame, series: DataFrame, keys: list[str], ite
     return one.join(together.select(*keys, item), [*keys, item], "left_anti")
 
 
-def relabelled(quarters: DataFrame, comparatives: DataFrame, annual: DataFrame, keys: list[str], period: str, item: str, value: str, most: int = 6) -> DataFrame:
+def relabelled(quarters: DataFrame, comparatives: DataFrame, annual: DataFrame, keys: list[str], period: str, item: str, value: str) -> DataFrame:
     """(keys, item, true_item): the one renaming of a year's items that later comparatives and the year itself allow.
 
-    Only years whose quarters list the same items, `most` at most, and of which a comparative contradicts one: the same
-    item restated with another item's figure. A renaming fits if every comparative holds and no item's fourth quarter is
-    below zero; years with none or several fits give nothing.
+    Only years whose quarters list the same items, and of which a comparative contradicts one: the same item restated with
+    another item's figure. An item may have another's name if that name's comparatives are its figures and its fourth quarter
+    isn't below zero; a renaming is a matching of items and names. Years with none or several give nothing. Any number of items.
     """
     types = ", ".join(f"`{k}` {quarters.schema[k].dataType.simpleString()}" for k in keys)
-    side = lambda df, name: df.select(*keys, F.struct(F.lit(name).alias("side"), (F.col(period) if period in df.columns else F.lit("FY")).alias("p"), F.col(item).alias("i"), F.col(value).cast("double").alias("v")).alias("r"))
-    gathered = side(quarters, "q").union(side(comparatives, "c")).union(side(annual, "y")).groupBy(*keys).agg(F.collect_list("r").alias("r"))
+    side = lambda df, name: df.select(*keys, F.lit(name).alias("side"), (F.col(period) if period in df.columns else F.lit("FY")).alias("p"), F.col(item).alias("i"), F.col(value).cast("double").alias("v"))
+    sides = side(quarters, "q").union(side(comparatives, "c")).union(side(annual, "y"))
 
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        own: dict[str, dict] = {"q": {}, "c": {}, "y": {}}
-        for r in rows["r"][0]:
-            own[r["side"]].setdefault(r["p"], {})[r["i"]] = r["v"]
-        year, out = own["y"].get("FY", {}), []
-        names = sorted(next(iter(own["q"].values()), {}))
-        if 1 < len(names) <= most and all(sorted(q) == names for q in own["q"].values()):
-            close = lambda a, b: abs(a - b) <= 1e-9 * max(abs(a), abs(b), 1.0)
-            contradicted = any(i in q and not close(q[i], v) and any(close(q[o], v) for o in q if o != i) for p, c in own["c"].items() for i, v in c.items() for q in [own["q"].get(p, {})])
-            fits = []
-            for order in permutations(names) if contradicted else ():
-                new = {p: {order[names.index(i)]: v for i, v in q.items()} for p, q in own["q"].items()}
-                held = all(close(new[p][i], v) for p, c in own["c"].items() if p in new for i, v in c.items() if i in names)
-                if held and (sorted(year) != names or all(year[i] - sum(q[i] for q in new.values()) >= 0 for i in names)):
-                    fits.append(order)
-            if len(fits) == 1:
-                out = [[*key, a, b] for a, b in zip(names, fits[0])]
-        return pd.DataFrame(out, columns=[*keys, item, "true_item"])
+        from ledgerloom.operators.sums import only_matching
+
+        none = pd.DataFrame([], columns=[*keys, item, "true_item"])
+        q, c, y = (rows[rows["side"] == s] for s in "qcy")
+        wide = q.drop_duplicates(["p", "i"], keep="last").pivot(index="i", columns="p", values="v").sort_index()
+        if len(wide) < 2 or wide.isna().any(axis=None):
+            return none
+        names, own = list(wide.index), wide.to_numpy()
+        n = len(names)
+        # may[a, b]: the figures stored as names[a] may be those of names[b]
+        may = np.ones((n, n), dtype=bool)
+        contradicted = False
+        for r in c.itertuples():
+            if r.i in wide.index and r.p in wide.columns:
+                column, b = own[:, wide.columns.get_loc(r.p)], names.index(r.i)
+                equal = np.abs(column - r.v) <= 1e-9 * np.maximum(np.maximum(np.abs(column), abs(r.v)), 1.0)
+                contradicted |= not equal[b] and equal.any()
+                may[:, b] &= equal
+        year = dict(zip(y["i"], y["v"]))
+        if sorted(year) == names:
+            may &= np.array([year[b] for b in names])[None, :] - own.sum(axis=1)[:, None] >= 0
+        found = only_matching([np.flatnonzero(x).tolist() for x in may]) if contradicted else None
+        return none if found is None else pd.DataFrame([[*key, a, names[b]] for a, b in zip(names, found)], columns=[*keys, item, "true_item"])
 
     kind = quarters.schema[item].dataType.simpleString()
-    return gathered.groupBy(*keys).applyInPandas(fit, f"{types}, `{item}` {kind}, true_item {kind}")
+    return sides.groupBy(*keys).applyInPandas(fit, f"{types}, `{item}` {kind}, true_item {kind}")
 
 
 def outside_eras(lines: DataFrame, segments: DataFrame, keys: list[str], group: str, item: str, order: str) -> DataFrame:
