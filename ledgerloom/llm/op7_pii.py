@@ -38,10 +38,12 @@ _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 _SPACE = r"[\x20\x09-\x0D]+"
 #: Longer words and instances are told apart by their hash, so that the graph stays small.
 LONGEST = 80
-#: Shorter tokens are no identifiers: they are cut out wherever they occur, so a `5` or `2nd` would be too.
+#: Shorter tokens are personal only where they stand behind a trusted pattern; a `5` or `2nd` elsewhere is none.
 SHORTEST = 6
+#: Parts that the occurrences behind one pattern are dealt to.
+SALTS = 16
 #: Tokens that are secrets in themselves.
-SECRET = r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{32,64}$"
+SECRET = r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{32,}+$"
 #: A trusted pattern precedes so many distinct known instances, and so large a share of all it precedes; its unknown share
 #: is at most this part of all instances' one, and its known ones exceed chance by so many standard deviations.
 LEAST_KNOWN, LEAST_SHARE, MOST_UNKNOWN, DEVIATIONS = 5, 0.6, 0.5, 2.0
@@ -153,10 +155,10 @@ def _introduced(unknown: DataFrame, scored: DataFrame, trusted: DataFrame) -> Da
     return marked.where("hot").select("pattern", "instance").join(few, "pattern").union(marked.where("hot is null").select("pattern", "instance").join(many, "pattern"))
 
 
-def learned(spans: DataFrame, least_known: int = LEAST_KNOWN, least_share: float = LEAST_SHARE, rounds: int | None = None) -> DataFrame:
-    """(instance, confidence): tokens that trusted patterns introduce, and the best of these patterns' scores.
+def learned(spans: DataFrame, least_known: int = LEAST_KNOWN, least_share: float = LEAST_SHARE, rounds: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(instance, confidence): tokens that trusted patterns introduce, and the best of these patterns' scores; and (pattern, f, n), the trusted patterns.
 
-    Rounds go on until one adds nothing, or to `rounds` if given.
+    Rounds go on until one adds nothing, or to `rounds` if given. Tokens below SHORTEST are no evidence and are not found here.
     """
     token = len(KINDS)
     long_enough = (F.col("kind") < token) | (F.col("n") >= SHORTEST)
@@ -173,28 +175,44 @@ def learned(spans: DataFrame, least_known: int = LEAST_KNOWN, least_share: float
         chance, f, n = (seeded + size) / max(1, everyone), F.col("f"), F.col("n")
         above = (n - f <= MOST_UNKNOWN * (1 - chance) * n) & (f - chance * n >= DEVIATIONS * F.sqrt(n * (chance * (1 - chance))))
         trusted = scored.where((f >= least_known) & (f >= least_share * n) & above)
-        trusted = trusted.select("pattern", (f / n * F.log2("f")).alias("score"))
-        new = _introduced(graph.where(~F.col("known") & ~F.col("rejected")), scored, trusted).groupBy("instance").agg(F.max("score").alias("confidence"))
+        trusted = trusted.select("pattern", (f / n * F.log2("f")).alias("score"), "f", "n")
+        new = _introduced(graph.where(~F.col("known") & ~F.col("rejected")), scored, trusted.select("pattern", "score")).groupBy("instance").agg(F.max("score").alias("confidence"))
         found = common.persist(new if found is None else found.union(new), "pii-found")
         last, size, done = size, found.count(), done + 1
         if size == last:
             break
-    return found
+    return found, trusted.select("pattern", "f", "n")
+
+
+def _short(tokens: DataFrame, trusted: DataFrame, least_share: float) -> DataFrame:
+    """(row, kind, start, end) of short tokens behind trusted patterns that stay trusted with all short tokens behind them counted as unknown.
+
+    Occurrences are dealt by pattern and a salt, so one frequent pattern is several tasks.
+    """
+    short = tokens.where((F.col("n") < SHORTEST) & ~F.col("rejected")).select("row", "kind", "start", "end", "instance", F.explode("patterns").alias("pattern"))
+    salted = short.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
+    ready = trusted.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    behind = salted.join(ready.hint("shuffle_hash"), ["pattern", "salt"])
+    different = behind.groupBy("pattern", "f", "n", "instance").agg(F.lit(1).alias("one")).groupBy("pattern", "f", "n").agg(F.count("*").alias("short"))
+    still = different.where(F.col("f") >= least_share * (F.col("n") + F.col("short"))).select("pattern", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return behind.join(still.hint("shuffle_hash"), ["pattern", "salt"]).select("row", "kind", "start", "end").distinct()
 
 
 def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_known: int = LEAST_KNOWN, least_share: float = LEAST_SHARE, rounds: int | None = None) -> DataFrame:
     """(row, id, spans, n_email, n_ip, n_card, n_phone, n_id) of every document row.
 
     spans: (kind, start, end), by kind and then start, in code points with the end exclusive; kind 0 to 3 are the forms,
-    4 is what the method adds: secrets, and tokens that trusted patterns introduce anywhere, where no form's span lies. Null and
+    4 is what the method adds: secrets, tokens that trusted patterns introduce anywhere, and short ones (below SHORTEST) behind such
+    a pattern only, where no form's span lies. Null and
     empty texts have none. Repeated rows count once as evidence and are each reported. Other columns are not read.
     """
     rows = matched(docs, id_col, text_col)
     spans = common.persist(_spans(rows), "pii-spans")
     token = len(KINDS)
     tokens = spans.where((F.col("kind") == token) & (F.col("end") > F.col("start")))
-    new = tokens.where(~F.col("secret")).join(learned(spans, least_known, least_share, rounds).select("instance").hint("shuffle_hash"), "instance")
-    new = new.select("row", "kind", "start", "end").union(tokens.where("secret").select("row", "kind", "start", "end"))
+    found, trusted = learned(spans, least_known, least_share, rounds)
+    new = tokens.where(~F.col("secret")).join(found.select("instance").hint("shuffle_hash"), "instance")
+    new = new.select("row", "kind", "start", "end").union(tokens.where("secret").select("row", "kind", "start", "end")).union(_short(tokens, trusted, least_share))
     kept = spans.where(F.col("kind") < token).select("row", "kind", "start", "end").union(new.select("row", "kind", "start", "end"))
     by_row = kept.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("all"))
     base = F.filter("all", lambda s: s["kind"] < token)

@@ -105,6 +105,17 @@ def test_precision_on_planted_decoys(spark):
     assert sorted(got) == sorted([x.split()[1] for x in planted] + [secret[9:49]])
 
 
+def test_short_identifiers_and_long_keys(spark):
+    """Short tokens only behind a pattern that holds with all short ones counted; the same token elsewhere is none; keys of any length."""
+    texts = [f"{prose(4, k)} desk u{k}@mail.example.com {prose(3, k)}" for k in range(30)] + [f"{prose(4, k)} desk B7-{k} {prose(3, k)}" for k in range(4)]
+    texts += [f"{prose(4, k)} room u{k + 50}@mail.example.com {prose(3, k)}" for k in range(9)] + [f"{prose(4, k)} room {k}x {prose(3, k)}" for k in range(40)]
+    texts += ["he said B7-1 and 2nd of it", "key " + "9a" * 64, "key " + "0" * 200 + "f", "no key " + "g9" * 64]
+    texts += [f"{prose(3, k)} item{k}000 {prose(3, k + 1)}" for k in range(120)]
+    found = rows(op7_pii.found_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    got = sorted(texts[r["id"]][s["start"] : s["end"]] for r in found for s in r["spans"] if s["kind"] == 4)
+    assert got == sorted([f"B7-{k}" for k in range(4)] + ["9a" * 64, "0" * 200 + "f"])
+
+
 def test_words_before_are_the_texts(spark):
     """Each use's patterns are the last words of the text before it."""
     texts = ["", "a1", " a1 b2\tc3  d e4", "to <x@y.zz,q@r.ss> 4111 1111 1111 1111", "no words + 1.2.3.4 ++49 30 123456. +1-2", *(t for _, t in edge_texts() if t), *TEXTS]
