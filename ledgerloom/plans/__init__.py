@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import cases, checks, derivation, evaluation, history, lines, listed, matching, packaged, proven, read, scenarios, series, streams, texts
+from . import cases, checks, derivation, evaluation, history, lines, listed, matching, packaged, placed, proven, read, scenarios, series, streams, texts
 
-MODULES = (cases, checks, derivation, evaluation, history, lines, listed, matching, packaged, proven, read, scenarios, series, streams, texts)
+MODULES = (cases, checks, derivation, evaluation, history, lines, listed, matching, packaged, placed, proven, read, scenarios, series, streams, texts)
 
 
 def queries() -> dict[str, Callable]:
