@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import charts, layout, templates
+from ..operators import charts, gates, layout, templates
 from .adapters import Registry, table
 
 query = Registry()
@@ -87,3 +87,27 @@ def aligned_rows(spark, sf_dir):
     printed = rows.union(each).withColumn("row", F.row_number().over(order))
     form = spark.createDataFrame(FORM, "line int, label string")
     return templates.aligned(printed, form, ["l_suppkey"]).select("l_suppkey", "row", "line")
+
+
+_GATE_SQL = """WITH v AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS fiscal_year, o_orderpriority AS p, o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS v FROM orders),
+c AS (SELECT o_custkey, fiscal_year, CAST(sum(v) AS DOUBLE) AS t, coalesce(CAST(sum(v) FILTER (WHERE p < '3') AS DOUBLE), 0) AS u, coalesce(CAST(sum(v) FILTER (WHERE p >= '3') AS DOUBLE), 0) AS r, coalesce(CAST(sum(v) FILTER (WHERE p < '2') AS DOUBLE), 0) AS a, coalesce(CAST(sum(v) FILTER (WHERE p >= '2' AND p < '3') AS DOUBLE), 0) AS b FROM v GROUP BY ALL),
+x AS (SELECT o_custkey, fiscal_year, 1000 * round(t / 1000) AS t, CASE WHEN o_custkey % 5 <> 0 THEN 1000 * round(u / 1000) END AS u, 1000 * round(r / 1000) + CASE WHEN o_custkey % 7 = 0 THEN 5000 ELSE 0 END AS r, 1000 * round(a / 1000) AS a, 1000 * round(b / 1000) + CASE WHEN o_custkey % 11 = 0 THEN 3000 ELSE 0 END AS b FROM c),
+g AS (SELECT *, CASE WHEN u IS NOT NULL THEN abs(t - u - r) > 1500 ELSE abs(t - a - b - r) > 2000 END AS k1, u IS NOT NULL AND abs(u - a - b) > 1500 AS k2 FROM x),
+h AS (SELECT *, list_filter(CASE WHEN u IS NULL AND k1 THEN ['total', 'urgent'] ELSE [CASE WHEN k1 THEN 'total' END, CASE WHEN k2 THEN 'urgent' END] END, lambda z: z IS NOT NULL) AS broken FROM g)
+SELECT o_custkey, fiscal_year, len(broken) = 0 AS accepted, CAST(2 - len(broken) AS BIGINT) AS held_rules, array_to_string(broken, ',') AS broken FROM h"""
+
+
+@query(_GATE_SQL)
+def gated_columns(spark, sf_dir):
+    """Each customer's year as a printed column in thousands, with a total, a subtotal that is not always printed, and planted errors."""
+    p, v = F.col("o_orderpriority"), F.col("o_totalprice").cast("decimal(18,2)")
+    some = lambda where: F.coalesce(F.sum(F.when(where, v)).cast("double"), F.lit(0.0))
+    years = table(spark, sf_dir, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("fiscal_year")).agg(F.sum(v).cast("double").alias("total"), some(p < "3").alias("urgent"), some(p >= "3").alias("rest"), some(p < "2").alias("first"), some((p >= "2") & (p < "3")).alias("second"))
+    printed = {c: 1000 * F.round(F.col(c) / 1000) for c in ("total", "urgent", "rest", "first", "second")}
+    printed["rest"] += F.when(F.col("o_custkey") % 7 == 0, 5000).otherwise(0)
+    printed["second"] += F.when(F.col("o_custkey") % 11 == 0, 3000).otherwise(0)
+    printed["urgent"] = F.when(F.col("o_custkey") % 5 != 0, printed["urgent"])
+    lines = years.select("o_custkey", "fiscal_year", F.explode(F.array(*[F.struct(F.lit(c).alias("line"), x.alias("value")) for c, x in printed.items()])).alias("x")).select("o_custkey", "fiscal_year", "x.*", F.lit(1000).alias("step"))
+    rules = spark.createDataFrame([("total", "total", 1), ("total", "urgent", -1), ("total", "rest", -1), ("urgent", "urgent", 1), ("urgent", "first", -1), ("urgent", "second", -1)], "rule string, line string, sign int")
+    out = gates.gated(lines, rules, ["o_custkey", "fiscal_year"], "line", "value", "step")
+    return out.select("o_custkey", "fiscal_year", "accepted", "held_rules", F.array_join("broken", ",").alias("broken"))

@@ -87,3 +87,18 @@ def test_rows_out_of_order_have_no_line(spark):
     df = spark.createDataFrame([("p", 1, "Total assets"), ("p", 2, "Net cash"), ("p", 3, "Total debt"), ("p", 4, None), ("q", 1, None)], "p string, row int, label string")
     out = [(r[1], r[2]) for r in rows(templates.aligned(df, form, ["p"]))]
     assert out in ([(1, 1), (2, 3)], [(1, 1), (3, 2)])
+
+
+def test_gate(spark):
+    from ledgerloom.operators import gates
+
+    rules = spark.createDataFrame([("top", "t", 1), ("top", "a", -1), ("top", "b", -1), ("sub", "b", 1), ("sub", "c", -1), ("sub", "d", -1), ("net", "n", 1), ("net", "t", -1), ("net", "x", 1)], "rule string, line string, sign int")
+    columns = {
+        "right": {"t": 100, "a": 60, "b": 40, "c": 30, "d": 10, "n": 90, "x": 10}, "rounded": {"t": 101, "a": 60, "b": 40}, "wrong": {"t": 100, "a": 60, "b": 45, "c": 35, "d": 10},
+        "through": {"t": 100, "a": 60, "c": 30, "d": 10}, "apart": {"t": 100, "a": 60, "c": 30, "d": 20}, "chain": {"a": 60, "c": 30, "d": 10, "n": 90, "x": 10}, "far": {"a": 60, "c": 30, "d": 10, "n": 95, "x": 1}, "few": {"t": 100, "a": 50}, "none": {"q": 1},
+    }
+    df = spark.createDataFrame([(k, line, float(v), 1.0) for k, c in columns.items() for line, v in c.items()] + [("none", "t", None, 1.0)], "k string, l string, v double, s double")
+    out = {r.k: (r.accepted, r.held_rules, ",".join(r.broken)) for r in gates.gated(df, rules, ["k"], "l", "v", "s").collect()}
+    assert out == {
+        "right": (True, 3, ""), "rounded": (True, 1, ""), "wrong": (False, 1, "top"), "through": (True, 2, ""), "apart": (False, 0, "sub,top"), "chain": (True, 1, ""), "far": (False, 0, "top"), "few": (False, 0, ""), "none": (False, 0, ""),
+    }
