@@ -121,36 +121,48 @@ def relabelled(quarters: DataFrame, comparatives: DataFrame, annual: DataFrame,
     isn't below zero; a renaming is a matching of items and names. Years with none or several give nothing. Any number of items.
     """
     types = ", ".join(f"`{k}` {quarters.schema[k].dataType.simpleString()}" for k in keys)
-    side = lambda df, name: df.select(*keys, F.lit(name).alias("side"), (F.col(period) if period in df.columns else F.lit("FY")).alias("p"), F.col(item).alias("i"), F.col(value).cast("double").alias("v"))
-    sides = side(quarters, "q").union(side(comparatives, "c")).union(side(annual, "y"))
-
-    def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        from ledgerloom.operators.sums import only_matching
-
-        none = pd.DataFrame([], columns=[*keys, item, "true_item"])
-        q, c, y = (rows[rows["side"] == s] for s in "qcy")
-        wide = q.drop_duplicates(["p", "i"], keep="last").pivot(index="i", columns="p", values="v").sort_index()
-        if len(wide) < 2 or wide.isna().any(axis=None):
-            return none
-        names, own = list(wide.index), wide.to_numpy()
-        n = len(names)
-        # may[a, b]: the figures stored as names[a] may be those of names[b]
-        may = np.ones((n, n), dtype=bool)
-        contradicted = False
-        for r in c.itertuples():
-            if r.i in wide.index and r.p in wide.columns:
-                column, b = own[:, wide.columns.get_loc(r.p)], names.index(r.i)
-                equal = np.abs(column - r.v) <= 1e-9 * np.maximum(np.maximum(np.abs(column), abs(r.v)), 1.0)
-                contradicted |= not equal[b] and equal.any()
-                may[:, b] &= equal
-        year = dict(zip(y["i"], y["v"]))
-        if sorted(year) == names:
-            may &= np.array([year[b] for b in names])[None, :] - own.sum(axis=1)[:, None] >= 0
-        found = only_matching([np.flatnonzero(x).tolist() for x in may]) if contradicted else None
-        return none if found is None else pd.DataFrame([[*key, a, names[b]] for a, b in zip(names, found)], columns=[*keys, item, "true_item"])
+    row = lambda df, name: F.struct(F.lit(name).alias("side"), (F.col(period) if period in df.columns else F.lit("FY")).alias("p"), F.col(item).alias("i"), F.col(value).cast("double").alias("v"))
+    sides = [df.select(*keys, row(df, name).alias("r")) for df, name in ((quarters, "q"), (comparatives, "c"), (annual, "y"))]
+    gathered = sides[0].union(sides[1]).union(sides[2]).groupBy(*keys).agg(F.collect_list("r").alias("_r"))
+
+    def fit(batches):
+        from ledgerloom.operators.identity import _renaming
+
+        for batch in batches:
+            found = [[*key, *pair] for *key, rows in zip(*(batch[c] for c in [*keys, "_r"])) for pair in _renaming(rows)]
+            yield pd.DataFrame(found, columns=[*keys, item, "true_item"])
 
     kind = quarters.schema[item].dataType.simpleString()
-    return sides.groupBy(*keys).applyInPandas(fit, f"{types}, `{item}` {kind}, true_item {kind}")
+    return gathered.mapInPandas(fit, f"{types}, `{item}` {kind}, true_item {kind}")
+
+
+def _renaming(rows: list[dict]) -> list[tuple]:
+    """Pairs of a stored item and its true one in a year's rows (side, p, i, v), none if there is none or several."""
+    from .sums import only_matching
+
+    own: dict[str, dict] = {"q": {}, "c": {}, "y": {}}
+    for r in rows:
+        own[r["side"]].setdefault(r["p"], {})[r["i"]] = r["v"]
+    quarters = own["q"]
+    names = sorted(next(iter(quarters.values()), {}))
+    if len(names) < 2 or any(sorted(q) != names for q in quarters.values()):
+        return []
+    place = {x: k for k, x in enumerate(names)}
+    # may[a, b]: the figures stored as names[a] may be those of names[b]
+    may, contradicted = np.ones((len(names), len(names)), dtype=bool), False
+    for p in own["c"].keys() & quarters.keys():
+        figures = np.array([quarters[p][x] for x in names], dtype=float)
+        for i, v in own["c"][p].items():
+            if i in place:
+                equal = np.abs(figures - v) <= 1e-9 * np.maximum(np.maximum(np.abs(figures), abs(v)), 1.0)
+                contradicted |= bool(not equal[place[i]] and equal.any())
+                may[:, place[i]] &= equal
+    year = own["y"].get("FY", {})
+    if sorted(year) == names:
+        spent = np.array([sum(q[x] for q in quarters.values()) for x in names])
+        may &= np.array([year[x] for x in names])[None, :] >= spent[:, None]
+    found = only_matching([np.flatnonzero(x).tolist() for x in may]) if contradicted else None
+    return [] if found is None else [(a, names[b]) for a, b in zip(names, found)]
 
 
 def outside_eras(lines: DataFrame, segments: DataFrame, keys: list[str], group: str, item: str, order: str) -> DataFrame:

@@ -21,13 +21,30 @@ def dot_leader_rows(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
 
 
 def text_run_rows(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """(keys, row, label, figures) of a table that arrives as running text: a run of years, then labels each with as many figures."""
+    """(keys, row, label, figures) of a table that arrives as running text: a run of two to eight years, then labels each with as many figures.
+
+    The text behind the years is taken apart at its blanks; each run of figures that is long enough belongs to the words
+    before it, from behind their last digit, bracket or currency mark on. Dashes are figures, but shorter runs of dashes alone are
+    words. Windows over a text's tokens, so time is in proportion to its length.
+    """
     head = r"((?:(?:19|20)[0-9]{2}\s+){1,7}(?:19|20)[0-9]{2})\s+(.*)$"
     rows = texts.select(*keys, F.size(F.split(F.regexp_extract(text, head, 1), r"\s+")).alias("_n"), F.regexp_extract(text, head, 2).alias("_rest")).where("_rest <> ''")
-    pattern = F.concat(F.lit(rf"([A-Za-z][^0-9$(]*?)\s+((?:(?:{_FIGURE})(?:\s*%)?(?:\s+|$)){{"), F.col("_n"), F.lit("})"))
-    part = lambda i: F.regexp_extract_all("_rest", pattern, F.lit(i))
-    pairs = F.zip_with(part(1), part(2), lambda a, b: F.struct(F.trim(a).alias("label"), F.split(F.trim(F.regexp_replace(b, r"\s+%", "%")), r"\s+").alias("figures")))
-    return rows.select(*keys, F.posexplode(pairs).alias("row", "_p")).select(*keys, "row", "_p.*")
+    tokens = rows.select(*keys, "_n", F.posexplode(F.split(F.trim(F.regexp_replace("_rest", r"(?<=[0-9)])\s+%", "%")), r"\s+")).alias("_at", "_t"))
+    in_order = Window.partitionBy(*keys).orderBy("_at")
+
+    def runs(df: DataFrame, figure: Column, name: str) -> DataFrame:
+        changes = F.coalesce(figure != F.lag(figure).over(in_order), F.lit(True)).cast("int")
+        return df.withColumn(name, F.sum(changes).over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+
+    of = lambda name: Window.partitionBy(*keys, name)
+    tokens = runs(tokens.withColumn("_f", F.col("_t").rlike(f"^(?:{_FIGURE})$")), F.col("_f"), "_r")
+    tokens = tokens.withColumn("_f", F.col("_f") & ((F.count("*").over(of("_r")) >= F.col("_n")) | F.bool_or(F.col("_t").rlike("[0-9]")).over(of("_r"))))
+    tokens = runs(tokens, F.col("_f"), "_r")
+    each = tokens.groupBy(*keys, "_r").agg(F.first("_f").alias("_f"), F.first("_n").alias("_n"), F.transform(F.sort_array(F.collect_list(F.struct("_at", "_t"))), lambda x: x["_t"]).alias("_x"))
+    by_run = Window.partitionBy(*keys).orderBy("_r")
+    words = F.regexp_replace(F.regexp_replace(F.array_join(F.lag("_x").over(by_run), " "), r"(?s)^.*[0-9$(]", ""), "^[^A-Za-z]+", "")
+    found = each.withColumn("label", words).where(F.col("_f") & (F.size("_x") >= F.col("_n")) & (F.col("label") != ""))
+    return found.select(*keys, (F.row_number().over(by_run) - 1).alias("row"), "label", F.slice("_x", F.lit(1), F.col("_n")).alias("figures"))
 
 
 def text_lines(texts: DataFrame, keys: list[str], text: str) -> DataFrame:

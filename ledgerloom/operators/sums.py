@@ -67,28 +67,62 @@ class Sums:
         return out[::-1]
 
 
-#: Steps that a grid may have where each row has its own, and figures whose sums are met in the middle instead: 2^22 for a half.
+#: Steps that a grid may have, and figures whose sums are met in the middle where that is less work: at most 2^22 for a half.
 MOST_STEPS, HALVED = 100_000_000, 44
 
 
+def _steps(values: list[float], target: float, tolerance: float) -> float:
+    return (max(target, 0.0) + tolerance) / (max(unit_of(values), tolerance / (2 * max(1, len(values)))) or 1.0)
+
+
+def _halves(values: list[float]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Sums, masks and numbers of figures of all sets of the even places and of the odd ones."""
+    out = []
+    for first in (0, 1):
+        sums, masks, count = np.zeros(1), np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        for i in range(first, len(values), 2):
+            sums, masks, count = np.concatenate([sums, sums + values[i]]), np.concatenate([masks, masks | (1 << i)]), np.concatenate([count, count + 1])
+        out.append((sums, masks, count))
+    return out
+
+
+def fewest(values: list[float], target: float, tolerance: float, least: int = 1, most: int | None = None) -> list[int] | None:
+    """Places of the fewest positive figures, between least and most, that add up to target; of sets of one size the nearest sum.
+
+    All sets of two halves that meet, or a grid where that is less work. More than MOST_STEPS steps for more than HALVED figures are
+    not searched: that raises an error.
+    """
+    steps, most = _steps(values, target, tolerance), len(values) if most is None else most
+    if len(values) > HALVED or 2 ** (len(values) / 2) > steps:
+        if steps > MOST_STEPS:
+            raise ValueError(f"{len(values)} figures on a grid of {steps:.0f} steps")
+        return Sums(values, max(target, 0.0), tolerance).smallest(target, least, most)
+    (sa, ma, ca), (sb, mb, cb) = _halves(values)
+    room, best = tolerance + 1e-9 * (abs(target) + 1), None
+    for k in range(int(cb.max()) + 1):
+        own = np.flatnonzero(cb == k)
+        own = own[np.argsort(sb[own], kind="stable")]
+        for side in (0, -1):  # the sums next to what is missing, from above and from below
+            at = np.searchsorted(sb[own], target - sa) + side
+            ok = (at >= 0) & (at < len(own))
+            i, j = np.flatnonzero(ok), own[at[ok]]
+            off, n = np.abs(sa[i] + sb[j] - target), ca[i] + k
+            fit = np.flatnonzero((off <= room) & (n >= least) & (n <= most))
+            if len(fit):
+                first = fit[np.lexsort((ma[i[fit]] | mb[j[fit]], off[fit], n[fit]))[0]]
+                found = (int(n[first]), float(off[first]), int(ma[i[first]] | mb[j[first]]))
+                best = found if best is None or found < best else best
+    return None if best is None else [x for x in range(len(values)) if best[2] >> x & 1]
+
+
 def reaches(values: list[float], target: float, tolerance: float) -> bool | None:
-    """Whether some of the positive figures add up to target: sums of two halves that meet, or a grid where that is smaller. None: too many of too fine figures."""
+    """Whether some of the positive figures add up to target. None: too many of too fine figures."""
     if target < -tolerance:
         return False
-    steps = (max(target, 0.0) + tolerance) / (max(unit_of(values), tolerance / (2 * max(1, len(values)))) or 1.0)
-    if len(values) <= HALVED and 2 ** (len(values) / 2) <= steps:
-        halves = []
-        for part in (values[::2], values[1::2]):
-            sums = np.zeros(1)
-            for v in part:
-                sums = np.concatenate([sums, sums + v])
-            halves.append(np.sort(sums))
-        room = 1e-9 * (abs(target) + 1)
-        low, high = (np.searchsorted(halves[1], target - halves[0] + s, side=side) for s, side in ((-tolerance - room, "left"), (tolerance + room, "right")))
-        return bool((high > low).any())
-    if steps > MOST_STEPS:
+    try:
+        return fewest(values, max(target, 0.0), tolerance, 0) is not None
+    except ValueError:
         return None
-    return Sums(values, max(target, 0.0), tolerance).smallest(max(target, 0.0), 0) is not None
 
 
 def signed_reach(start: float, changes: list[float], end: float, tolerance: float) -> bool | None:

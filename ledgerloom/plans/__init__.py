@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import cases, checks, derivation, evaluation, history, lines, listed, matching, packaged, placed, proven, read, scenarios, series, streams, texts
+from . import calendar, checks, derivation, evaluation, figures, history, lines, matching, packaged, placed, series, splits, streams, texts, wording
 
-MODULES = (cases, checks, derivation, evaluation, history, lines, listed, matching, packaged, placed, proven, read, scenarios, series, streams, texts)
+MODULES = (calendar, checks, derivation, evaluation, figures, history, lines, matching, packaged, placed, series, splits, streams, texts, wording)
 
 
 def queries() -> dict[str, Callable]:

@@ -107,14 +107,14 @@ def identity_components(spark, sf_dir):
     return identity.series(edges)
 
 
-@query("""WITH a AS (SELECT l_partkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS v, 'n' || (l_partkey % 97) || '_' || l_partkey AS later_name, 'p' || l_partkey AS earlier_name FROM lineitem WHERE year(l_shipdate) = 1998 GROUP BY ALL),
-p AS (SELECT DISTINCT x.later_name, y.earlier_name FROM a x JOIN a y ON x.v = y.v)
+@query("""WITH a AS (SELECT year(l_shipdate) AS y, l_partkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS v, 'n' || (l_partkey % 97) || '_' || l_partkey AS later_name, 'p' || l_partkey AS earlier_name FROM lineitem GROUP BY ALL),
+p AS (SELECT DISTINCT x.later_name, z.earlier_name FROM a x JOIN a z USING (y, v))
 SELECT later_name, earlier_name FROM (SELECT *, count(*) OVER (PARTITION BY later_name) AS l, count(*) OVER (PARTITION BY earlier_name) AS e FROM p) WHERE l = 1 AND e = 1""")
 def prior_equals(spark, sf_dir):
     """Lines that were renamed while their figures stayed: pairs that are unique on both sides."""
-    v = table(spark, sf_dir, "lineitem").where("year(l_shipdate) = 1998").groupBy("l_partkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("v"))
-    later = v.select(F.concat(F.lit("n"), F.col("l_partkey") % 97, F.lit("_"), "l_partkey").alias("name"), "v")
-    return identity.renamed(later, v.select(F.concat(F.lit("p"), "l_partkey").alias("name"), "v"), [], "name", "v")
+    v = table(spark, sf_dir, "lineitem").groupBy(F.year("l_shipdate").alias("y"), "l_partkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("v"))
+    later = v.select("y", F.concat(F.lit("n"), F.col("l_partkey") % 97, F.lit("_"), "l_partkey").alias("name"), "v")
+    return identity.renamed(later, v.select("y", F.concat(F.lit("p"), "l_partkey").alias("name"), "v"), ["y"], "name", "v")
 
 
 @query("""WITH o AS (SELECT 'g' || (p_size % 5) AS g, p_partkey AS i, p_retailprice AS v FROM part), n AS (SELECT 'h' || (p_size % 5) || CASE WHEN p_size % 10 = 3 THEN 'x' ELSE '' END AS g, p_partkey AS i, p_retailprice + CASE WHEN p_size % 5 = 4 AND p_partkey % 50 = 0 THEN 1 ELSE 0 END AS v FROM part),

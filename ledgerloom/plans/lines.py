@@ -17,11 +17,11 @@ def presented_periods(spark, sf_dir):
     return statements.presented_periods(orders(spark, sf_dir), ["o_custkey"], "fiscal_year")
 
 
-@query(f"""WITH {ORDERS_SQL}, w AS (SELECT segment, fiscal_year, CAST(sum(value) FILTER (WHERE fiscal_period = 'Q1') AS DOUBLE) AS q1, CAST(sum(value) FILTER (WHERE fiscal_period = 'Q2') AS DOUBLE) AS q2 FROM q GROUP BY ALL)
-SELECT segment, fiscal_year, 'Q1' AS period, q1 AS value FROM w WHERE q1 IS NOT NULL UNION ALL SELECT segment, fiscal_year, 'Q2', q2 FROM w WHERE q2 IS NOT NULL""")
+@query(f"""WITH {ORDERS_SQL},  w AS (PIVOT (SELECT segment, fiscal_year, fiscal_period, CAST(value AS DOUBLE) AS value FROM q) ON fiscal_period IN ('Q1', 'Q2', 'Q3', 'Q4') USING sum(value))
+SELECT segment, fiscal_year, period, value FROM (UNPIVOT w ON Q1, Q2, Q3, Q4 INTO NAME period VALUE value)""")
 def unpivot_columns(spark, sf_dir):
-    w = segment_quarters(spark, sf_dir).groupBy("segment", "fiscal_year").pivot("fiscal_period", ["Q1", "Q2"]).agg(F.sum("value").cast("double"))
-    return w.unpivot(["segment", "fiscal_year"], ["Q1", "Q2"], "period", "value").where("value IS NOT NULL")
+    w = segment_quarters(spark, sf_dir).groupBy("segment", "fiscal_year").pivot("fiscal_period", ["Q1", "Q2", "Q3", "Q4"]).agg(F.sum("value").cast("double"))
+    return w.unpivot(["segment", "fiscal_year"], ["Q1", "Q2", "Q3", "Q4"], "period", "value").where("value IS NOT NULL")
 
 
 @query("""WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, CASE WHEN l_returnflag = 'R' THEN l_linenumber END AS total FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey FROM (SELECT *, max(total) OVER (PARTITION BY l_orderkey) AS last_total FROM l) WHERE last_total IS NULL OR l_linenumber <= last_total""")
@@ -42,15 +42,15 @@ def precise_figure(spark, sf_dir):
     return r.join(found.select("o_custkey", "fiscal_year", "precise"), ["o_custkey", "fiscal_year"], "left").select("o_custkey", "fiscal_year", F.col("value").alias("rounded"), F.coalesce("precise", "value").alias("precise"))
 
 
-@query(f"""WITH {ORDERS_SQL}, a AS (SELECT segment, nation, count(*) AS n FROM s WHERE fiscal_year = 1996 GROUP BY ALL), b AS (SELECT segment, nation, count(*) AS n FROM s WHERE fiscal_year = 1997 GROUP BY ALL)
-SELECT segment, nation, CAST(coalesce(a.n, 0) AS BIGINT) AS first_read, CAST(coalesce(b.n, 0) AS BIGINT) AS second_read, CASE WHEN a.n = b.n THEN 'agreed' ELSE 'review' END AS verdict FROM a FULL JOIN b USING (segment, nation)""")
+@query(f"""WITH {ORDERS_SQL}, a AS (SELECT segment, nation, fiscal_year, count(*) AS n FROM s GROUP BY ALL), b AS (SELECT segment, nation, fiscal_year - 1 AS fiscal_year, count(*) AS n FROM s GROUP BY ALL)
+SELECT segment, nation, fiscal_year, CAST(coalesce(a.n, 0) AS BIGINT) AS first_read, CAST(coalesce(b.n, 0) AS BIGINT) AS second_read, CASE WHEN a.n = b.n THEN 'agreed' ELSE 'review' END AS verdict FROM a FULL JOIN b USING (segment, nation, fiscal_year)""")
 def two_reader_consensus(spark, sf_dir):
-    """Two readings side by side: equal figures stand, the rest is for review."""
+    """Two readings side by side, here each year's counts and the next one's: equal figures stand, the rest is for review."""
     s = segment_orders(spark, sf_dir)
-    read = lambda y: s.where(F.col("fiscal_year") == y).groupBy("segment", "nation").agg(F.count("*").cast("long").alias("n"))
-    both = statements.consensus(read(1996), read(1997), ["segment", "nation"], "n")
+    read = lambda back: s.groupBy("segment", "nation", (F.col("fiscal_year") - back).alias("fiscal_year")).agg(F.count("*").cast("long").alias("n"))
+    both = statements.consensus(read(0), read(1), ["segment", "nation", "fiscal_year"], "n")
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(f"{c}_read")
-    return both.select("segment", "nation", zero("first"), zero("second"), "verdict")
+    return both.select("segment", "nation", "fiscal_year", zero("first"), zero("second"), "verdict")
 
 
 @query("""SELECT l_partkey, l_suppkey, l_orderkey FROM (SELECT *, count(*) OVER (PARTITION BY l_partkey, l_suppkey, l_quantity) AS n, row_number() OVER (PARTITION BY l_partkey, l_suppkey, l_quantity ORDER BY l_orderkey, l_linenumber, l_extendedprice) AS r FROM lineitem) WHERE n > 1 AND r > 1""")

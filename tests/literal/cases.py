@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import currency, fiscal, headers, labels, numbers, rounding, scales
+from ledgerloom.functions import currency, fiscal, headers, labels, numbers, rounding, scales
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}

@@ -6,8 +6,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..operators import lists, statements
-from ..sources import filings, listing
+from ledgerloom.operators import lists, statements
+from ledgerloom.sources import filings, listing
 from . import scenarios
 from .scenarios import scenario
 

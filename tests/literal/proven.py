@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..operators import checks, identity, proofs, selection
+from ledgerloom.operators import checks, identity, proofs, selection
 from . import scenarios
 from .scenarios import scenario
 

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..operators import readers, selectors
+from ledgerloom.operators import readers, selectors
 from . import scenarios
 from .scenarios import scenario
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import breakdowns, periods
+from ledgerloom.operators import breakdowns, periods
 from .cases import values_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

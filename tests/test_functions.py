@@ -26,3 +26,31 @@ def test_functions_of_nulls_and_empty_texts(spark):
         headers.header_contradicts(table, one, one, F.current_date()).alias("f"), labels.title_case(t).alias("g"), labels.initials(t).alias("h"),
     ).collect()
     assert all(r["a"] is None and r["c"] is None and r["f"] is None and r["d"] for r in got)
+
+
+def test_readers_take_time_in_proportion(spark):
+    """100,000 characters of prose, figures and marks behind two years, in the readers that look for figures in running text."""
+    from ledgerloom.operators import readers
+
+    spark.range(1).select(F.lit("a 1 2").alias("text")).collect()
+    prose = "Sales of the year were good and so it went on " * 2200
+    texts = {"prose": prose, "figures": "Sales 1,234 5,678 " * 5500, "dashes": "Sales - — " * 10000, "letters": "a" * 100_000, "brackets": "(a $ " * 20000, "digits": "9" * 100_000, "years": "2024 " * 20000}
+    df = spark.createDataFrame([(k, f"Ended 2024 2025 {t}") for k, t in texts.items()], "k string, text string")
+    began = time.perf_counter()
+    rows = readers.text_run_rows(df, ["k"], "text").groupBy("k").count().collect()
+    readers.dot_leader_rows(df, ["k"], "text").count(), readers.text_lines(df, ["k"], "text").count()
+    assert time.perf_counter() - began < 40
+    assert {r["k"]: r["count"] for r in rows}["figures"] == 5500
+
+
+def test_text_runs(spark):
+    from ledgerloom.operators import readers
+
+    texts = [
+        ("plain", "2024 2025 Net sales 5 (6) Costs 7 8 9 Rest of it — 1 Total — net 3 4"), ("short", "2024 2025 Sales 5 Costs 6 7"), ("marks", "x 2023 2024 2025 (a) Margin 1 % 2 % 3% Last - - -"), ("none", "Sales 1 2"), ("null", None), ("years only", "2024 2025 "),
+    ]
+    rows = readers.text_run_rows(spark.createDataFrame(texts, "k string, text string"), ["k"], "text")
+    got = sorted((r.k, r.row, r.label, "|".join(r.figures)) for r in rows.collect())
+    assert got == [
+        ("marks", 0, "a) Margin", "1%|2%|3%"), ("marks", 1, "Last", "-|-|-"), ("plain", 0, "Net sales", "5|(6)"), ("plain", 1, "Costs", "7|8"), ("plain", 2, "Rest of it", "—|1"), ("plain", 3, "Total — net", "3|4"), ("short", 0, "Costs", "6|7"),
+    ]

@@ -9,12 +9,12 @@ import pytest
 
 import __spark_entry__ as entry
 from ledgerloom import plans
-from ledgerloom.plans import cases, listed, proven, read, scenarios
 
 from .conftest import SF
+from .literal import cases, listed, proven, read, scenarios
 
-#: Queries of a few literal rows: compiling their plans takes longer than interpreting them.
-LITERAL = {n for m in (cases, listed, proven, read, scenarios) for n in m.QUERIES}
+#: Functions over a few literal rows and what they have to give: compiling their plans takes longer than interpreting them.
+LITERAL = {n: (m.QUERIES[n], m.SQL[n]) for m in (cases, listed, proven, read, scenarios) for n in m.QUERIES}
 INTERPRETED = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -49,11 +49,19 @@ def content(frame):
 
 @pytest.mark.parametrize("name", sorted(plans.oracle_sql()))
 def test_query_equals_sql(spark, duck, name):
-    for k, v in INTERPRETED.items():
-        spark.conf.set(k, v) if name in LITERAL else spark.conf.unset(k)
+    for k in INTERPRETED:
+        spark.conf.unset(k)
     assert content(plans.queries()[name](spark, SF).toPandas()) == content(duck.execute(plans.oracle_sql()[name]).df())
 
 
+@pytest.mark.parametrize("name", sorted(LITERAL))
+def test_literal_cases(spark, duck, name):
+    for k, v in INTERPRETED.items():
+        spark.conf.set(k, v)
+    query, want = LITERAL[name]
+    assert content(query(spark, SF).toPandas()) == content(duck.execute(want).df())
+
+
 @pytest.mark.parametrize("name", sorted(set(plans.queries()) - set(plans.oracle_sql())))
 def test_query_without_sql_runs(spark, name):
     for k in INTERPRETED:

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import breakdowns, evaluate, identity
-from ledgerloom.operators.sums import Sums, only_matching, reaches, signed_reach, unit_of
+from ledgerloom.operators import sums
+from ledgerloom.operators.sums import Sums, only_matching, signed_reach, unit_of
 
 
 def fewest(values, target, tolerance, least):
@@ -36,6 +37,18 @@ def test_smallest_sets_equal_enumeration(seed):
         assert abs(sum(values[i] for i in got) - target) <= tolerance + 1e-9
 
 
+@pytest.mark.parametrize("seed", range(60))
+def test_halves_equal_enumeration(seed):
+    rnd = random.Random(seed)
+    values = [rnd.randrange(1, 3000) / 100 for _ in range(rnd.randrange(1, 11))]
+    target, least, most = rnd.randrange(1, 9000) / 100, rnd.choice([0, 1, 2]), rnd.choice([2, 3, 10])
+    tolerance = rnd.choice([0.001, 0.5])
+    sizes = [n for n in range(least, most + 1) if any(abs(sum(s) - target) <= tolerance + 1e-9 for s in itertools.combinations(values, n))]
+    got = sums.fewest(values, target, tolerance, least, most)
+    assert (None if got is None else len(got)) == (sizes[0] if sizes else None)
+    assert got is None or abs(sum(values[i] for i in got) - target) <= tolerance + 1e-7
+
+
 def test_sixty_figures_end_in_seconds():
     rnd = random.Random(1)
     values = [round(rnd.uniform(1e5, 9e6), 2) for _ in range(60)]
