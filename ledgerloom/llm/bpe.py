@@ -410,23 +410,28 @@ class SpeculativeBPE:
 
 
 class WordForms:
-    """What each word's ids turn into, kept by word: after words(texts), kept holds every word of these texts."""
+    """What each word's ids turn into, kept by word."""
 
     def __init__(self, bpe: SpeculativeBPE, make) -> None:
         self.bpe, self.make = bpe, make
         self.kept: dict[str, bytes] = {}
 
-    def words(self, texts: list[str | None]) -> list[list[str]]:
+    def coded(self, texts: list[str | None]) -> list[list[bytes]]:
+        """The forms of each text's words in order. Each word is looked up once; those not known are learned together."""
+        get = self.kept.get
         split = [self.bpe.words(t or "") for t in texts]
-        seen = set().union(*split) if split else set()
-        new = seen - self.kept.keys()
-        if new and len(self.kept) + len(new) > KEPT_WORDS:
-            self.kept.clear()
-            new = seen
+        found = [list(map(get, words)) for words in split]
+        new: set[str] = set()
+        for words, forms in zip(split, found):
+            new.update([w for w, f in zip(words, forms) if f is None])
         if new:
+            if len(self.kept) + len(new) > KEPT_WORDS:
+                self.kept.clear()
             make = self.make
             self.kept.update((w, make(i)) for w, i in self.bpe.learn(new).items())
-        return split
+            kept = self.kept
+            found = [[kept[w] if f is None else f for w, f in zip(words, forms)] for words, forms in zip(split, found)]
+        return found
 
 
 @lru_cache(maxsize=2)

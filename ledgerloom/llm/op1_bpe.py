@@ -76,8 +76,8 @@ def round_trip_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         forms, token = worker._digest_forms(path)
         for ids, texts in _stepped(batches):
             n, coded, decoded = [], [], []
-            for words in forms.words(texts):
-                x = b" ".join(map(forms.kept.__getitem__, words))
+            for words in forms.coded(texts):
+                x = b" ".join(words)
                 own = x.split()
                 n.append(len(own))
                 coded.append(hashlib.sha256(x).hexdigest())

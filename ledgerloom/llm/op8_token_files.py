@@ -23,6 +23,8 @@ from .eliasfano import Sequence, pack
 END_ID = 2
 #: Ids after which a segment closes; documents stay whole, so one very long document may exceed it.
 SEGMENT_IDS = 1_000_000
+#: Documents that are encoded together.
+STEP = 500
 #: Parts at most; their totals (16 bytes each) are broadcast when files are read.
 MOST_PARTS = 100_000
 _HEAD = struct.Struct("<4sHBxQQqQ")  # magic, version, bytes of an id, ids, documents, first doc_id, null doc_ids
@@ -90,10 +92,10 @@ def write(docs: DataFrame, to: str, id_col: str = "doc_id", text_col: str = "tex
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["part", "first", "n_docs", "n_ids", "image"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                step = batch.slice(at, 200)
-                for name, words in zip(step.column(0).to_pylist(), forms.words(step.column(1).to_pylist())):
-                    coded = b"".join(map(forms.kept.__getitem__, words)) + end
+            for at in range(0, batch.num_rows, STEP):
+                step = batch.slice(at, STEP)
+                for name, words in zip(step.column(0).to_pylist(), forms.coded(step.column(1).to_pylist())):
+                    coded = b"".join(words) + end
                     names.append(name)
                     sizes.append(len(coded) // 4)
                     held.append(coded)
