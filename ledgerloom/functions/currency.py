@@ -48,5 +48,6 @@ def value_currency(text: Column, context: Column, default: Column, unit: Column)
 
 def bare_currency(text: Column) -> Column:
     """`$` or `pesos` where a text names a currency's kind only."""
+    # How a text names dollars and pesos without a country.
     dollars = r"(?i)\(\s*\$|\$\s*(?:in\s+)?(?:millions?|thousands?|billions?|000)\b|\b(?:millions?|thousands?|billions?)\s+of\s+dollars\b|\bin\s+dollars\b"
     return F.when(text.rlike(dollars), "$").when(text.rlike(r"(?i)\b(?:millions?|thousands?|billions?)\s+of\s+pesos\b|\bin\s+pesos\b"), "pesos")

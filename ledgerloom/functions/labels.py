@@ -218,12 +218,14 @@ def fit_label(label: Column, most: int = 80) -> Column:
 
 def forward_looking(text: Column) -> Column:
     """A statement about the future: we expect, guidance, outlook, will be; not `expected to be recognized`."""
+    # Words of statements about the future, and the one form that is none.
     who = r"\b(?:we|management|the company)\s+(?:now\s+)?(?:expects?|anticipates?|forecasts?|projects?|plans?|targets?|guides?)\b"
     return text.rlike(rf"(?i){who}|\bguidance\b|\boutlook\b|\bwill be\b|\b(?:is|are) expected to\b(?! be recogni)")
 
 
 def falls(quote: Column, value_text: Column) -> Column:
     """Whether a quote calls its figure a fall: `decreased by 16%`, but not the level of `declined to 30%`."""
+    # Fixed value: words of a fall up to a figure.
     fall = r"(?i)\b(?:decreas\w*|declin\w*|fell|falls?|falling|dropped|drops?|down|lower|contracted|reduc\w*)(?:\s+(?!to\b|from\b)[A-Za-z][\w-]*){0,6}?\s*(?:\b(?:by|of|was|were)\s*)?$"
     return quote.contains(value_text) & F.right(F.split_part(quote, value_text, F.lit(1)), F.lit(80)).rlike(fall)
 

@@ -145,6 +145,7 @@ def states_one_period(row_numbers: Column, quote: Column, years: Column) -> Colu
 
     years: an array of the years that are the figure's own.
     """
+    # Fixed value: words that name an earlier period.
     earlier = r"(?i)\b(?:a year (?:ago|earlier)|year[- ]ago|prior[- ](?:year|quarter|period)|previous (?:year|quarter)|last (?:year|quarter)|same (?:period|quarter) (?:of|last)|compared (?:to|with)|versus|vs\.?|(?:up|down) from|from \$)"
     named = F.transform(F.regexp_extract_all(quote, F.lit(r"(?<![0-9.,$])((?:19|20)[0-9]{2})(?![0-9.,])"), F.lit(1)), lambda y: y.cast("int"))
     numbers = F.filter(F.coalesce(row_numbers, F.array().cast("array<double>")), lambda n: n.isNotNull())

@@ -94,16 +94,16 @@ def _judged(rows: Column, total: Column) -> Column:
     top = F.filter(rows, lambda r: ~F.coalesce(F.array_contains(keys, r["parent"]), F.lit(False)))
     error = (_sum(F.transform(top, lambda r: r["value"])) - total) / total
     far = F.coalesce((total != 0) & (F.abs(error) > MOST_GAP), F.lit(False))
-    each = F.transform(rows, lambda r: F.when(far & (r["status"] == "verified"), r.withField("status", F.lit("needs_review")).withField("note", F.lit("parts differ from the derived total"))).otherwise(r))
+    each = F.transform(rows, lambda r: F.when(far & (r["status"] == "verified"), r.withField("status", F.lit("needs_review")).withField("note", F.lit("the parts do not add up to the derived total"))).otherwise(r))
     whole = lambda a: F.forall(a, lambda r: r["status"] == "verified")
-    flag = lambda r: F.when(r["status"] == "verified", r.withField("status", F.lit("needs_review")).withField("note", F.lit("another part needs review"))).otherwise(r)
+    flag = lambda r: F.when(r["status"] == "verified", r.withField("status", F.lit("needs_review")).withField("note", F.lit("a part beside it needs review"))).otherwise(r)
     return let(each, lambda a: F.when(whole(a), a).otherwise(F.transform(a, flag)))
 
 
 def _row(key: Column, value: Column, verified: Column, base: Column, later: Column) -> Column:
     negative = (value < 0) & (base["value"] >= 0) & ~balancing(key) & ~F.coalesce(base["signed"], F.lit(False))
     status = F.when(later, "rejected").when(verified & ~negative, "verified").otherwise("needs_review")
-    note = F.when(later, "quarters of a later report, the year as first reported").when(negative, "derived Q4 is negative").when(~verified, "derived from values that need review")
+    note = F.when(later, "the quarters are a later report's, the year is not").when(negative, "the rest of the year is below zero").when(~verified, "made of figures that need review")
     return F.struct(key.alias("kpi_key"), value.alias("value"), status.alias("status"), note.alias("note"), base["parent"].alias("parent"))
 
 
@@ -183,8 +183,8 @@ def derive_periods(values: DataFrame) -> DataFrame:
     tried = F.filter(F.array(*ways), lambda a: a.isNotNull() & (F.size(a) > 0))
     good = F.filter(tried, lambda a: F.forall(a, lambda r: r["status"] == "verified"))
     years = years.withColumn("chosen", F.coalesce(F.get(good, 0), F.get(tried, 0)))
-    below = F.exists("chosen", lambda r: F.coalesce(r["note"] == "derived Q4 is negative", F.lit(False)))
-    reject = lambda r: r.withField("status", F.lit("rejected")).withField("note", F.lit("the year groups these lines differently from its quarters"))
+    below = F.exists("chosen", lambda r: F.coalesce(r["note"] == "the rest of the year is below zero", F.lit(False)))
+    reject = lambda r: r.withField("status", F.lit("rejected")).withField("note", F.lit("its quarters are laid out in other lines"))
     q4 = F.when(below, F.transform("chosen", reject)).otherwise(F.col("chosen"))
     four = [*[F.when(every, a).otherwise(q) for a, q in zip(laid, own)], F.col("Q4")]
     added = F.transform(F.map_keys(F.col("Q4")), lambda k: F.struct(k.alias("kpi_key"), reduce(lambda a, b: a + b, [q[k]["value"] for q in four]).alias("value"), F.lit("verified").alias("status"), F.lit(None).cast("string").alias("note"), F.col("Q4")[k]["parent"].alias("parent")))
