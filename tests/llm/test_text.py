@@ -261,4 +261,4 @@ def test_sample_is_bounded_by_ids(spark):
 
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_catalogue_names(name):
-    assert re.fullmatch(r"op([1-9]|10)_\w+|pipeline", name)
+    assert re.fullmatch(r"op([1-9]|1[0-3])_\w+|pipeline", name)
