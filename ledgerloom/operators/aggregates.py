@@ -25,18 +25,10 @@ def most_common(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 def top_level(df: DataFrame, key: str, parent: str) -> DataFrame:
     """Rows none of whose ancestors is a row itself; parents that are missing end a line.
 
-    The tree is walked upwards, one level at a time, over ids only; depth is that of the tree.
+    A line goes up through rows only, so a row has an ancestor among them if and only if its parent is one.
     """
     ids = df.select(F.col(key).alias("_k")).distinct()
-    up = df.select(F.col(key).alias("_row"), F.col(parent).alias("_at"))
-    covered = None
-    for _ in range(16):
-        hit = up.join(ids, F.col("_at") == F.col("_k"), "left_semi").select("_row")
-        covered = hit if covered is None else covered.union(hit)
-        up = up.join(df.select(F.col(key).alias("_at"), F.col(parent).alias("_next")), "_at").select("_row", F.col("_next").alias("_at")).where("_at IS NOT NULL")
-        if up.isEmpty():
-            break
-    return df.join(covered.distinct(), F.col(key) == F.col("_row"), "left_anti")
+    return df.join(ids, F.col(parent) == F.col("_k"), "left_anti")
 
 
 def accuracy(df: DataFrame, expected: str, found: str, right: str) -> DataFrame:

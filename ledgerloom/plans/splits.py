@@ -36,17 +36,18 @@ def overlaps_dropped(spark, sf_dir):
     return breakdowns.drop_overlaps(both, keys, "item", "v", "t")
 
 
-@query(f"""WITH {_NATIONS}, h AS (SELECT nation, fiscal_year, CASE WHEN o_orderkey % 2 = 0 THEN 'half even' ELSE 'half odd' END AS item, sum(amount) AS v FROM s GROUP BY ALL)
+@query(f"""WITH {_NATIONS}, h AS (SELECT nation, fiscal_year, item FROM t, (VALUES ('part one'), ('part two')) p(item))
 SELECT nation, fiscal_year, item, true AS fine, n < 4 AS coarse FROM m JOIN t USING (nation, fiscal_year) WHERE n >= 4 UNION ALL
 SELECT nation, fiscal_year, item, false, true FROM h JOIN t USING (nation, fiscal_year) WHERE n >= 4""")
 def second_splits(spark, sf_dir):
-    """Segments of each nation's year of four segments or more, beside a second complete split in two halves."""
+    """Segments of each nation's year of four segments or more, beside a second complete split in two parts of 37 and 63 percent."""
     keys = ["nation", "fiscal_year"]
     members = _nation_segments(spark, sf_dir)
     whole = members.groupBy(*keys).agg(F.first("t").alias("t"), F.count("*").alias("n")).where("n >= 4").drop("n")
-    half = F.when(F.col("o_orderkey") % 2 == 0, "half even").otherwise("half odd")
-    halves = segment_orders(spark, sf_dir).groupBy(*keys, half.alias("item")).agg(F.sum("amount").alias("v"))
-    rows = members.drop("t").unionByName(halves).join(whole, keys)
+    first = F.round(F.col("t") * 0.37, 2).cast("decimal(18,2)")
+    parts = F.array(F.struct(F.lit("part one").alias("item"), first.alias("v")), F.struct(F.lit("part two").alias("item"), (F.col("t") - first).cast("decimal(18,2)").alias("v")))
+    halves = whole.select(*keys, F.explode(parts).alias("p")).select(*keys, "p.*")
+    rows = members.select(*keys, "item", F.col("v").cast("decimal(18,2)")).unionByName(halves).join(whole, keys)
     return breakdowns.two_partitions(rows, keys, "item", "v", "t", 1e-7)
 
 

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 LIST_FIELDS = ("accessionNumber", "filingDate", "reportDate", "acceptanceDateTime", "form", "items", "isXBRL", "primaryDocument", "size")
 
 
-def filing_lists(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each filing of JSON filing lists (one object for each file), amendments included."""
-    lists = spark.read.option("multiLine", True).json(path)
+def filing_lists(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """One row for each filing of JSON filing lists (one object for each file, or with `lines` for each line), amendments included."""
+    lists = spark.read.option("multiLine", not lines).json(path)
     have = {f.name for f in lists.select("filings.recent.*").schema}
     zipped = F.arrays_zip(*[F.col(f"filings.recent.{c}").alias(c) for c in LIST_FIELDS if c in have])
     rows = lists.select("cik", "name", "fiscalYearEnd", F.inline(zipped))

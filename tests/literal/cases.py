@@ -200,7 +200,7 @@ case("quote_problem", "t string, q string, b string, v string, l string", "probl
     ("", "", "we announced piers worth ", "nearly $8 million", "Piers", "bound"), ("", "", "Fares were about ", "$9 million", "Fares", None), ("", "", "rose 3% to ", "$52 million", "Fares", None), ("", "", "over 20 charters worth ", "$4.5 million", "Charters", None),
     (_SLIDE, "ticket margin was 8.41%", "ticket margin was ", "8.41%", "Ticket Margin", "adjusted"), ("On an adjusted basis, fares rose 4%.", "fares rose 4%", "fares rose ", "4%", "Fare Growth", "adjusted"), (_SLIDE, "ticket margin was 8.41%", "ticket margin was ", "8.41%", "Ticket Margin excl. ABC", None),
     ("", "YTD 2025, the harbour was given 19 new charters", "YTD 2025, the harbour was given ", "19", "Charters", "other_period"), ("", "In the second quarter of fiscal 2026, 3,072 berths booked", "In the second quarter of fiscal 2026, ", "3,072", "Berths Booked", None),
-    ("", "bookings increased $1.5 million year-to-date, to approximately $8 million", "bookings increased $1.5 million year-to-date, to approximately ", "$8 million", "Bookings", None),
+    ("", "guests increased 1,500 year-to-date, to approximately 8,000", "guests increased 1,500 year-to-date, to approximately ", "8,000", "Members", None),
 ], lambda: headers.quote_problem(c("t"), c("q"), c("b"), c("v"), c("l")))
 case("period_problem", "a date, b date", "problem boolean", [(d(2025, 9, 27), d(2025, 9, 30), False), (d(2025, 9, 1), d(2025, 9, 30), True), (None, d(2025, 9, 30), True)], lambda: headers.period_problem(c("a"), c("b")))
 
