@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import calendar, checks, company, derivation, evaluation, figures, history, lines, matching, packaged, placed, series, served, splits, streams, texts, wording
+from . import calendar, checks, company, derivation, evaluation, figures, history, lines, listings, matching, packaged, placed, series, served, splits, streams, texts, wording
 
-MODULES = (calendar, checks, company, derivation, evaluation, figures, history, lines, matching, packaged, placed, series, served, splits, streams, texts, wording)
+MODULES = (calendar, checks, company, derivation, evaluation, figures, history, lines, listings, matching, packaged, placed, series, served, splits, streams, texts, wording)
 
 
 def queries() -> dict[str, Callable]:
