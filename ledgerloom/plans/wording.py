@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import labels
+from ..functions import currency, labels, scales
 from .adapters import Registry, table
 
 query = Registry()
@@ -80,3 +80,26 @@ def quoted_sentences(spark, sf_dir):
         k.alias("k"), line["label"].alias("label"), F.size(line["slots"]).alias("slots"), line["index"].alias("at"), F.array_join(labels.anchor_words(F.concat(F.lit("Sum of the Customer: "), text, F.lit(" in all")), text, 3), " ").alias("anchors"),
         labels.forward_looking(forward).alias("forward"), labels.falls(falls, text).alias("falls"), labels.net_gross_mismatch(word, label).alias("mismatch"), labels.part_row(part, F.lit("Sale")).alias("part"),
     )
+
+
+@query("""WITH o AS (SELECT o_orderkey AS k, CAST(floor(o_totalprice) AS BIGINT) AS t FROM orders WHERE o_totalprice >= 1)
+SELECT k, ['EUR', 'TWD', 'USD', NULL][k % 4 + 1] AS declared, ['EUR', 'TWD', 'CAD'][k % 3 + 1] AS of_value, CASE k % 3 WHEN 0 THEN 'EUR,USD' WHEN 1 THEN 'EUR,GBP' ELSE '' END AS named, ['$', 'pesos', NULL][k % 3 + 1] AS bare,
+[1e6, 1e3, NULL][k % 3 + 1] AS money, [1e3, 1e3, 1.0][k % 3 + 1] AS shares, CASE WHEN k % 5 = 0 THEN NULL ELSE power(10.0, 3 * (k % 3)) END AS proven FROM o""")
+def money_texts(spark, sf_dir):
+    """Captions and cells made of orders: the currency they declare, name or leave bare, and the scale that they state or that values prove."""
+    k, t = F.col("o_orderkey"), F.floor("o_totalprice").cast("double")
+    pick = lambda n, *texts: F.get(F.array(*[F.lit(x) for x in texts]), (k % n).cast("int"))
+    declared = pick(4, "(€, in millions)", "in thousands of New Taiwan dollars", "(in millions of U.S. dollars)", "(in millions of euros and Japanese yen)")
+    text = F.format_number(t, 0)
+    value = F.when(k % 3 == 1, F.concat(F.lit("NT$"), text)).otherwise(text)
+    context = F.when(k % 3 == 0, "(€, in millions)").otherwise("")
+    named = pick(3, "paid in US dollars and in euros", "£7 or €9", "nothing of it")
+    bare = pick(3, "($ millions)", "(in thousands of pesos)", "in millions")
+    caption = pick(3, "(in millions, except shares in thousands)", "(in thousands)", "Orders of the year")
+    scale = scales.statement_scale(caption)
+    factor = F.pow(F.lit(10.0), 3 * (k % 3))
+    proof = scales.proven_scale(F.array(t, t + 1, t + 2), F.when(k % 5 == 0, F.array(t * 3.3, t * 4.7, t * 5.9)).otherwise(F.array(t * factor, (t + 1) * factor, F.lit(None).cast("double"))))
+    return table(spark, sf_dir, "orders").where("o_totalprice >= 1").select(
+        k.alias("k"), currency.declared_currency(declared).alias("declared"), currency.value_currency(value, context, F.lit("CAD"), F.lit("currency")).alias("of_value"), F.array_join(F.array_sort(currency.currencies(named)), ",").alias("named"), currency.bare_currency(bare).alias("bare"),
+        scale["money"].cast("double").alias("money"), scale["shares"].cast("double").alias("shares"), proof.cast("double").alias("proven"),
+    )
