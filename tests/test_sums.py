@@ -122,3 +122,11 @@ def test_renaming_of_ten_items(spark):
     y = spark.createDataFrame([], "g int, i string, v double")
     assert rows(identity.relabelled(q, c, y, ["g"], "p", "i", "v")) == sorted((1, a, b) for a, b in zip(names, true))
     assert rows(identity.relabelled(q, c.where("i not in ('n1', 'n2')"), y, ["g"], "p", "i", "v")) == []
+
+
+@pytest.mark.parametrize("size", [1e6, 1e9, 1e11])
+def test_large_figures_do_not_widen_the_tolerance(size):
+    start, changes = size + 0.25, [1.01 * size + 0.13, 0.97 * size + 0.77, 1.05 * size + 0.01]
+    end = start + changes[0] - changes[1] + changes[2]
+    assert signed_reach(start, changes, end, 0.5) and signed_reach(start, changes, end + 0.4, 0.5)
+    assert not signed_reach(start, changes, end + 7, 0.5) and not signed_reach(start, changes, end - 0.6, 0.5)
