@@ -91,21 +91,32 @@ def labels_agree(named: Column, actual: Column) -> Column:
     return let(F.struct(words(text(named)).alias("x"), words(text(actual)).alias("y")), compare)
 
 
+def _tail(label: Column, own: Column) -> Column:
+    """The longest end of a label whose identity is `own`, empty without one."""
+    ends = F.transform(F.sequence(F.lit(1), F.greatest(F.length(label), F.lit(1))), lambda i: F.substring(label, i, F.length(label)))
+    return F.coalesce(F.get(F.filter(ends, lambda e: identity(e) == own), 0), F.lit(""))
+
+
 def tail(label: Column, listed: Column) -> Column:
     """The end of a label that spells a listed name with the same letters and digits, empty without one."""
-    ends = F.transform(F.sequence(F.lit(1), F.greatest(F.length(label), F.lit(1))), lambda i: F.substring(label, i, F.length(label)))
-    return F.coalesce(F.get(F.filter(ends, lambda e: identity(e) == identity(listed)), 0), F.lit(""))
+    return let(identity(listed), lambda own: _tail(label, own))
 
 
-def combined_line(row_label: Column, listed: Column) -> Column:
-    """Whether a row ends with a listed name but adds a total or a joined part: a subtotal that holds the line, not the line."""
+def _combined(row_label: Column, row: Column, own: Column) -> Column:
+    """combined_line of a row's label with its identity and a listed name's. Ends are looked at only where a total or a joint is."""
 
     def judge(end: Column) -> Column:
         before = F.substring(row_label, F.lit(1), F.length(row_label) - F.length(end))
         joined = before.rlike(r"(?i)(?:&|\band|\+|,|/)\s*$") | row_label.rlike(r"(?i)^\s*total\b")
-        return (end != "") & (identity(row_label) != identity(listed)) & joined
+        return (end != "") & joined
+
+    may = row_label.rlike(r"(?i)[&+,/]|\band|^\s*total\b")
+    return F.when((row != own) & may, let(_tail(row_label, own), judge)).otherwise(False)
 
-    return let(tail(row_label, listed), judge)
+
+def combined_line(row_label: Column, listed: Column) -> Column:
+    """Whether a row ends with a listed name but adds a total or a joined part: a subtotal that holds the line, not the line."""
+    return let(F.struct(identity(row_label).alias("row"), identity(listed).alias("own")), lambda x: _combined(row_label, x["row"], x["own"]))
 
 
 def listed_item(label: Column, items: Column) -> Column:
@@ -115,16 +126,27 @@ def listed_item(label: Column, items: Column) -> Column:
     joining word; one side of a two-sided listed label; the same again without a footnote number set apart.
     """
     bare = F.regexp_replace(label, r"\s+[0-9]{1,2}$", "")
+    known = F.transform(items, lambda k: F.struct(k.alias("item"), identity(k["label"]).alias("own"), identity(k["key"]).alias("key")))
+
+    def matched(text: Column, known: Column) -> Column:
+        def steps(row: Column) -> Column:
+            same = F.filter(known, lambda k: (row == k["own"]) | (row == k["key"]))
+            ending = F.filter(known, lambda k: (F.length(k["own"]) >= 8) & F.endswith(row, k["own"]) & ~_combined(text, row, k["own"]))
+            side = F.filter(known, lambda k: F.exists(one_sided(k["item"]["label"]), lambda s: identity(s) == row))
+            return _first(same, lambda: _first(ending, lambda: side))
+
+        return let(identity(text), steps)
+
+    def named(known: Column) -> Column:
+        found = let(matched(label, known), lambda own: F.when((F.size(own) == 0) & (bare != label), matched(bare, known)).otherwise(own))
+        return let(found, lambda x: F.when(F.size(x) == 1, F.get(x, 0)["item"]))
+
+    return let(known, named)
 
-    def matched(text: Column) -> Column:
-        same = F.filter(items, lambda k: (identity(text) == identity(k["label"])) | (identity(text) == identity(k["key"])))
-        ending = F.filter(items, lambda k: (F.length(identity(k["label"])) >= 8) & F.endswith(identity(text), identity(k["label"])) & ~combined_line(text, k["label"]))
-        side = F.filter(items, lambda k: F.exists(one_sided(k["label"]), lambda s: identity(s) == identity(text)))
-        return F.when(F.size(same) > 0, same).when(F.size(ending) > 0, ending).otherwise(side)
 
-    own = matched(label)
-    found = F.when((F.size(own) == 0) & (bare != label), matched(bare)).otherwise(own)
-    return let(found, lambda x: F.when(F.size(x) == 1, F.get(x, 0)))
+def _first(found: Column, otherwise) -> Column:
+    """An array, or another where it is empty."""
+    return let(found, lambda x: F.when(F.size(x) > 0, x).otherwise(otherwise()))
 
 
 def without_footnote(label: Column) -> Column:

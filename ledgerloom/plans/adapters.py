@@ -31,6 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.repartition(cores) if name in ("documents", "pages") and 2 * df.rdd.getNumPartitions() <= cores else df
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows that cost much for their few bytes, dealt to all cores: files and joined parts of a few MB would be one task each."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def money(name: str):
     """Amounts add up exactly as decimals."""
     return F.col(name).cast("decimal(18,2)")

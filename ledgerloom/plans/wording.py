@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import currency, labels, scales
-from .adapters import Registry, table
+from .adapters import Registry, dealt, table
 
 query = Registry()
 QUERIES, SQL = query.queries, query.sql
@@ -52,7 +52,7 @@ SELECT p_partkey, contains(a, b) OR contains(b, a) OR common >= 0.5 * least(len(
 def matched_labels(spark, sf_dir):
     """Neighbouring parts' names against each other, as subtotals, and among the items of a list."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    both = p.join(p.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("p_name").alias("other")), "p_partkey")
+    both = dealt(p.join(p.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("p_name").alias("other")), "p_partkey"))
     k, name, other = F.col("p_partkey"), F.col("p_name"), F.col("other")
     item = lambda key, label: F.struct(F.lit(key).alias("key"), label.alias("label"))
     long = F.concat(F.lit("revenue from "), name)

@@ -54,3 +54,21 @@ def test_text_runs(spark):
     assert got == [
         ("marks", 0, "a) Margin", "1%|2%|3%"), ("marks", 1, "Last", "-|-|-"), ("plain", 0, "Net sales", "5|(6)"), ("plain", 1, "Costs", "7|8"), ("plain", 2, "Rest of it", "—|1"), ("plain", 3, "Total — net", "3|4"), ("short", 0, "Costs", "6|7"),
     ]
+
+
+def test_listed_items_are_found_with_each_label_keyed_once(spark):
+    """A plan that keys the items again for each of their comparisons takes ten times as long."""
+    item = lambda key, label: F.struct(F.lit(key).alias("key"), label.alias("label"))
+    names = spark.range(4000).select(F.concat(F.lit("revenue from hot plates "), "id").alias("n"))
+    began = time.perf_counter()
+    found = names.select(labels.listed_item(F.concat(F.lit("net "), "n"), F.array(item("k1", F.col("n")), item("k2", F.lit("other things"))))["key"].alias("key"), labels.combined_line(F.concat(F.lit("our "), "n"), F.col("n")).alias("combined"))
+    assert [tuple(r) for r in found.distinct().collect()] == [("k1", False)]
+    took = time.perf_counter() - began
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert plan.count("nanometers") <= 24 and took < 60
+
+
+def test_a_combined_line_without_a_label_is_none(spark):
+    data = [(None, "Net sales"), ("Total net sales", None), ("Total net sales", "Net sales"), ("Costs and net sales", "Net sales"), ("our net sales", "Net sales"), ("Net sales", "Net sales")]
+    df = spark.createDataFrame(data, "a string, b string")
+    assert [r.c for r in df.select(labels.combined_line(F.col("a"), F.col("b")).alias("c")).collect()] == [False, False, True, True, False, False]
