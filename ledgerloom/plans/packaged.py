@@ -42,6 +42,6 @@ def package_facts(spark, sf_dir):
     """Zip packages written by tasks, read member by member, contexts, units, facts and labels joined."""
     at = runs.folder(spark, "packages")
     _packages(spark, sf_dir, at)
-    rows = packages.parsed(packages.members(spark, at).where(F.col("member").endswith(".xml")))
+    rows = runs.written(packages.parsed(packages.members(spark, at).where(F.col("member").endswith(".xml"))), runs.folder(spark, "parsed"))
     found = packages.labelled(packages.facts(rows), packages.labels(rows, "en"))
     return found.select("archive", "entity", F.element_at("dims", "own:Status").alias("status"), F.year("end").alias("fiscal_year"), "concept", "unit", "decimals", "value", "label")

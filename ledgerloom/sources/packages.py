@@ -1,6 +1,6 @@
 """Filing packages: zip archives read member by member, and tagged instances resolved to facts.
 
-`zip_members` is a data source whose partitions are parts of archives, so no row and no task holds a whole large archive;
+`zip_members` is a data source whose partitions are parts of large archives or several small ones, so no row and no task holds a whole large archive;
 filters on member names are applied to the archive's directory before anything is unpacked. `parsed` turns members into
 rows of contexts, units, facts, arcs, locators and labels; `facts` and `labels` join them.
 """
@@ -19,6 +19,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter
 
 #: Bytes of an archive for each partition that reads it.
 PART_BYTES = 64_000_000
+#: Archives that are read one to a partition, and archives of one partition at most: of many small ones a task reads several.
+FEW_ARCHIVES, PART_ARCHIVES = 64, 100
 MEMBERS = "archive string, member string, bytes long, content binary"
 
 
@@ -32,8 +34,10 @@ def _store(path: str):
 
 
 class _Part(InputPartition):
-    def __init__(self, archive: str, part: int, parts: int) -> None:
-        self.archive, self.part, self.parts = archive, part, parts
+    """Parts of archives, each (archive, part, of how many): one part of a large archive, or all of several small ones."""
+
+    def __init__(self, parts: list[tuple[str, int, int]]) -> None:
+        self.parts = parts
 
 
 class _MemberReader(DataSourceReader):
@@ -60,17 +64,28 @@ class _MemberReader(DataSourceReader):
 
         store, root = _store(self.path)
         archives = [x for x in store.get_file_info(FileSelector(root, recursive=True)) if x.path.endswith(".zip") and self._passes("archive", x.base_name)]
-        return [_Part(x.path, i, n) for x in sorted(archives, key=lambda x: x.path) for n in [max(1, -(-x.size // self.part_bytes))] for i in range(n)] or [_Part("", 0, 1)]
+        most = min(PART_ARCHIVES, -(-len(archives) // FEW_ARCHIVES))
+        out, own, size = [], [], 0
+        for x in sorted(archives, key=lambda x: x.path):
+            n = max(1, -(-x.size // self.part_bytes))
+            if own and (n > 1 or size + x.size > self.part_bytes or len(own) >= most):
+                out.append(_Part(own))
+                own, size = [], 0
+            if n > 1:
+                out += [_Part([(x.path, i, n)]) for i in range(n)]
+            else:
+                own.append((x.path, 0, 1))
+                size += x.size
+        return out + [_Part(own)] if own or not out else out
 
     def read(self, partition: _Part) -> Iterator[tuple]:
-        if not partition.archive:
-            return
         store, _ = _store(self.path)
-        with store.open_input_file(partition.archive) as f, zipfile.ZipFile(f) as z:
-            names = sorted(x.filename for x in z.infolist() if not x.is_dir())
-            for name in [x for i, x in enumerate(names) if i % partition.parts == partition.part and self._passes("member", x)]:
-                content = z.read(name)
-                yield partition.archive.rsplit("/", 1)[-1], name, len(content), content
+        for archive, part, parts in partition.parts:
+            with store.open_input_file(archive) as f, zipfile.ZipFile(f) as z:
+                names = sorted(x.filename for x in z.infolist() if not x.is_dir())
+                for name in [x for i, x in enumerate(names) if i % parts == part and self._passes("member", x)]:
+                    content = z.read(name)
+                    yield archive.rsplit("/", 1)[-1], name, len(content), content
 
 
 class ZipMembers(DataSource):

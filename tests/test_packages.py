@@ -41,6 +41,16 @@ def test_members_filters_and_parts(spark, tmp_path):
     assert packages.members(spark, str(empty)).count() == 0
 
 
+def test_many_small_archives_share_tasks(spark, tmp_path):
+    for k in range(150):
+        make(tmp_path, f"{k:03}.zip", {"a.xml": f"<a>{k}</a>", "b.txt": "n"})
+    make(tmp_path, "077x.zip", {f"{i}.xml": f"<a>{i}</a>" * 50 for i in range(9)})
+    parts = packages.members(spark, str(tmp_path), 600)
+    size = (tmp_path / "000.zip").stat().st_size
+    assert 1 < 600 // size and parts.rdd.getNumPartitions() < 100
+    assert sorted((r.archive, r.member) for r in parts.collect()) == sorted([(f"{k:03}.zip", m) for k in range(150) for m in ("a.xml", "b.txt")] + [("077x.zip", f"{i}.xml") for i in range(9)])
+
+
 def test_facts(spark, tmp_path):
     make(tmp_path, "x.zip", {"i.xml": INSTANCE, "r.json": json.dumps(REPORT), "bad.xml": "<a", "bad.json": "[1]"})
     rows = packages.parsed(packages.members(spark, str(tmp_path)))
