@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,23 +55,41 @@ def labelled_shares(words: DataFrame, keys: list[str], whole: tuple[float, float
     """
     share = F.regexp_extract("text", r"^\s*([0-9]{1,3}(?:\.[0-9])?)\s?%\s*$", 1).try_cast("double")
     boxes = words.select(*keys, "text", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), share.alias("share")).where(F.col("share").isNotNull() | F.col("text").rlike(r"\p{L}"))
-    kinds = ", ".join(f"`{k}` {words.schema[k].dataType.simpleString()}" for k in keys)
+    shares = F.array_sort(F.collect_list(F.when(F.col("share").isNotNull(), F.struct("y", "x", "share"))))
+    labels = F.array_sort(F.collect_list(F.when(F.col("share").isNull(), F.struct("y", "x", "text"))))
+    each = boxes.groupBy(*keys).agg(shares.alias("_s"), labels.alias("_l"))
+    total = F.aggregate("_s", F.lit(0.0), lambda a, s: a + s["share"])
+    each = each.where((F.size("_s") > 0) & (F.size("_s") <= F.size("_l")) & total.between(*whole))
 
-    def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(shares: pa.Array, labels: pa.Array) -> pa.Array:
         from ledgerloom.operators import charts as own
 
-        none = pd.DataFrame([], columns=[*keys, "label", "share"])
-        shares, labels = rows[rows["share"].notna()].sort_values(["y", "x", "share"]), rows[rows["share"].isna()].sort_values(["y", "x", "text"])
-        if not 0 < len(shares) <= len(labels) or not whole[0] <= shares["share"].sum() <= whole[1]:
-            return none
-        over = shares["y"].to_numpy()[:, None] - labels["y"].to_numpy()[None, :]
-        beside = np.abs(shares["x"].to_numpy()[:, None] - labels["x"].to_numpy()[None, :])
-        cost = np.where(over >= 0, over, -2 * over) + beside / 4
-        cost = np.where((over <= own.ABOVE) & (over >= -own.BELOW) & (beside <= own.BESIDE), cost, own._FAR)
-        found = own.cheapest(cost)
-        names = labels["text"].to_numpy()[found]
-        if cost[np.arange(len(found)), found].max() >= own._FAR or len(set(names)) < len(names):
-            return none
-        return pd.DataFrame([[*key, n, s] for n, s in zip(names, shares["share"])], columns=[*keys, "label", "share"])
+        found = [own.fitted(s, n) for s, n in zip(shares.to_pylist(), labels.to_pylist())]
+        return pa.array([None if x is None else [{"label": n, "share": s} for n, s in x] for x in found], pa.list_(pa.struct([("label", pa.string()), ("share", pa.float64())])))
 
-    return boxes.groupBy(*keys).applyInPandas(fit, f"{kinds}, label string, share double")
+    run.__annotations__ = {"shares": pa.Array, "labels": pa.Array, "return": pa.Array}
+    named = F.arrow_udf(run, "array<struct<label:string,share:double>>")("_s", "_l")
+    return each.select(*keys, F.explode(named).alias("_n")).select(*keys, "_n.label", "_n.share")
+
+
+def fitted(shares: list[dict], labels: list[dict]) -> list[tuple[str, float]] | None:
+    """The label of each share of a chart, None if one finds none or two the same."""
+    cost = []
+    for s in shares:
+        row = []
+        for n in labels:
+            if None in (s["x"], s["y"], n["x"], n["y"]):
+                row.append(_FAR)
+                continue
+            over, beside = s["y"] - n["y"], abs(s["x"] - n["x"])
+            near = -BELOW <= over <= ABOVE and beside <= BESIDE
+            row.append((over if over >= 0 else -2 * over) + beside / 4 if near else _FAR)
+        cost.append(row)
+    best = [r.index(min(r)) for r in cost]
+    # where each share has one label that costs it least, and no two the same one, any other choice costs more
+    if len(set(best)) < len(best) or any(r.count(r[i]) > 1 for r, i in zip(cost, best)):
+        best = cheapest(np.array(cost))
+    names = [labels[i]["text"] for i in best]
+    if max(r[i] for r, i in zip(cost, best)) >= _FAR or len(set(names)) < len(names):
+        return None
+    return [(n, s["share"]) for n, s in zip(names, shares)]

@@ -55,6 +55,31 @@ def test_charts(spark):
     assert rows(charts.labelled_shares(words, ["k"])) == [("near", "A", 25.0), ("near", "B", 75.0)]
 
 
+def test_charts_are_fitted_many_to_a_batch(spark):
+    """A thousand charts are one batch of rows, not a frame each; those whose nearest labels are taken go to the assignment."""
+    data = [(k, t, x + k % 3, y) for k in range(1000) for t, x, y in (("40%", 100, 30), ("60%", 160, 30), ("A", 104, 20), ("B", 164 - 60 * (k % 2), 25))]
+    out = charts.labelled_shares(spark.createDataFrame(data, "k long, text string, x long, y long"), ["k"])
+    assert "FlatMapGroups" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.k, {})[r.label] = r.share
+    assert all(got[k] == {"A": 40.0, "B": 60.0} for k in range(0, 1000, 2)) and not any(k in got for k in range(1, 1000, 2))
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_fitted_equals_the_assignment(seed):
+    rnd = random.Random(seed)
+    shares = [{"x": rnd.randrange(0, 90), "y": float(rnd.randrange(20, 40)), "share": float(i)} for i in range(rnd.randrange(1, 5))]
+    labels = [{"x": rnd.randrange(0, 90), "y": float(rnd.randrange(10, 40)), "text": f"n{i}"} for i in range(len(shares) + rnd.randrange(0, 2))]
+    price = lambda s, n: (lambda o, b: (o if o >= 0 else -2 * o) + b / 4 if -charts.BELOW <= o <= charts.ABOVE and b <= charts.BESIDE else charts._FAR)(s["y"] - n["y"], abs(s["x"] - n["x"]))
+    least = min(sum(price(s, n) for s, n in zip(shares, p)) for p in itertools.permutations(labels, len(shares)))
+    got = charts.fitted(shares, labels)
+    assert (got is None) == (least >= charts._FAR)
+    if got:
+        at = {n["text"]: n for n in labels}
+        assert abs(sum(price(s, at[n]) for s, (n, _) in zip(shares, got)) - least) < 1e-9
+
+
 def like(a, b):
     x, y = (set(re.findall(r"[a-z]+", t.lower())) for t in (a, b))
     return len(x & y) / len(x | y) if x | y else 0.0
