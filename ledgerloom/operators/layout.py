@@ -1,15 +1,18 @@
 """Pages laid out as text boxes at coordinates: lines, tables and paragraphs rebuilt from positions.
 
 Rows are found by a sweep over the boxes' heights, tables as islands of lines with figures, columns by the gaps between the
-right edges of a table's figures (figures are set flush right). All are windows within a page, so pages are spread over tasks
-and only a page's boxes meet.
+right edges of a table's figures (figures are set flush right). A page stays one row, its boxes and lines arrays in it, so pages
+are spread over tasks, only a page's boxes meet, and nothing is sorted, joined or shuffled beyond a page. Arrays are exploded by
+outer generators: for others Spark infers a filter on the array, which it moves below and so computes the array in it again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import let
+
 #: Units between boxes of one line, between lines of one table, and between right edges of one column.
 SAME_LINE, TABLE_GAP, SAME_EDGE = 2.5, 30.0, 14.0
 #: Width of a figure's character where boxes have no width of their own.
@@ -19,45 +22,94 @@ FOOTNOTE = r"^[0-9]$"
 
 
 def boxes(pages: DataFrame, keys: list[str], html: str) -> DataFrame:
-    """(keys, text, left, top) of each absolutely placed element that holds text only; spaces are joined, empty boxes left out."""
+    """(keys, boxes): of each page the absolutely placed elements that hold text only, as structs of top, left and text; spaces are joined, empty boxes left out."""
     style, inner = r"(?is)<(?:div|span|p)\b[^>]*\bstyle=\"([^\">]*position:\s*absolute[^\">]*)\"[^>]*>([^<>]*)<", 2
     pairs = F.arrays_zip(F.regexp_extract_all(html, F.lit(style), F.lit(1)).alias("style"), F.regexp_extract_all(html, F.lit(style), F.lit(inner)).alias("text"))
-    each = pages.select(*keys, F.explode(pairs).alias("b"))
-    at = lambda side: F.regexp_extract("b.style", rf"(?i)(?:^|[;\s]){side}:\s*(-?[0-9.]+)px", 1).try_cast("double").alias(side)
-    text = F.trim(F.regexp_replace("b.text", r"\s+", " "))
-    for mark, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(mark), F.lit(char))
-    return each.select(*keys, text.alias("text"), at("left"), at("top")).where("text <> '' AND left IS NOT NULL AND top IS NOT NULL")
+
+    def box(b: Column) -> Column:
+        at = lambda side: F.regexp_extract(b["style"], rf"(?i)(?:^|[;\s]){side}:\s*(-?[0-9.]+)px", 1).try_cast("double").alias(side)
+        text = F.trim(F.regexp_replace(b["text"], r"\s+", " "))
+        for mark, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+            text = F.replace(text, F.lit(mark), F.lit(char))
+        return F.struct(at("top"), at("left"), text.alias("text"))
+
+    placed = F.filter(F.transform(pairs, box), lambda b: (b["text"] != "") & b["left"].isNotNull() & b["top"].isNotNull())
+    return pages.select(*keys, placed.alias("boxes"))
+
+
+def _paged(placed: DataFrame, keys: list[str]) -> DataFrame:
+    """Pages with their boxes in an array; boxes may also come one to a row (keys, text, left, top)."""
+    if "boxes" in placed.columns:
+        return placed
+    return placed.groupBy(*keys).agg(F.collect_list(F.struct(F.col("top").cast("double").alias("top"), F.col("left").cast("double").alias("left"), "text")).alias("boxes"))
 
 
-def _islands(starts: Column, window) -> Column:
-    return F.sum(F.when(starts, 1).otherwise(0)).over(window.rowsBetween(Window.unboundedPreceding, 0))
+def _runs(items: str, starts) -> Column:
+    """An array cut into arrays, a new one where starts(item, the one before, place) says so."""
+    at = lambda c: F.filter(F.transform(F.col(c), lambda x, i: F.when((i == 0) | starts(x, F.get(F.col(c), i - 1), i), i)), lambda i: i.isNotNull())
+    cut = lambda s: F.transform(s, lambda i, k: F.slice(F.col(items), i + 1, F.coalesce(F.get(s, k + 1), F.size(items)) - i))
+    return let(at(items), cut)
 
 
 def lined(placed: DataFrame, keys: list[str]) -> DataFrame:
-    """Boxes with `line` (from 1, down the page), `place` (from 1, left to right) and `figure`. Ties go by text."""
-    down = Window.partitionBy(*keys).orderBy("top", "left", "text")
-    rows = placed.withColumn("line", _islands(F.coalesce(F.col("top") - F.lag("top").over(down) > SAME_LINE, F.lit(True)), down))
-    along = Window.partitionBy(*keys, "line").orderBy("left", "text", "top")
-    return rows.withColumns({"place": F.row_number().over(along), "figure": F.col("text").rlike(FIGURE)})
+    """(keys, lines): lines down the page, each a struct of its top and its cells from left to right (left, text, top, figure). Ties go by text."""
+    rows = _paged(placed, keys).select(*keys, F.sort_array("boxes").alias("_b"))
+    apart = lambda x, before, i: x["top"] - before["top"] > SAME_LINE
+    cells = lambda line: F.sort_array(F.transform(line, lambda b: F.struct(b["left"].alias("left"), b["text"].alias("text"), b["top"].alias("top"), b["text"].rlike(FIGURE).alias("figure"))))
+    return rows.select(*keys, F.transform(_runs("_b", apart), lambda line: F.struct(line[0]["top"].alias("top"), cells(line).alias("cells"))).alias("lines"))
 
 
 def sectioned(placed: DataFrame, keys: list[str]) -> DataFrame:
-    """Lined boxes with `part` (from 1, down the page) and `is_table`.
+    """(keys, parts): parts down the page, each an array of lines that are all of one table (`is_table`) or all of one paragraph.
 
     A line with two figures or more behind its first box is part of a table, and so is one line without between two such
     lines. Lines further apart than TABLE_GAP are of different tables. All other lines next to each other are one paragraph.
     """
-    rows = lined(placed, keys)
-    lines = rows.groupBy(*keys, "line").agg(F.min("top").alias("_t"), (F.count_if(F.col("figure") & (F.col("place") > 1)) >= 2).alias("_f"))
-    w = Window.partitionBy(*keys).orderBy("line")
-    near = lambda c, n: F.coalesce(F.abs(c - F.col("_t")) <= n * TABLE_GAP, F.lit(False))
-    before, after = F.coalesce(F.lag("_f").over(w), F.lit(False)), F.coalesce(F.lead("_f").over(w), F.lit(False))
-    between = before & after & near(F.lag("_t").over(w), 1) & near(F.lead("_t").over(w), 1)
-    lines = lines.withColumn("is_table", F.col("_f") | between)
-    new = (F.lag("is_table").over(w) != F.col("is_table")) | (F.col("is_table") & ~near(F.lag("_t").over(w), 1))
-    lines = lines.withColumn("part", _islands(F.coalesce(new, F.lit(True)), w))
-    return rows.join(lines.select(*keys, "line", "part", "is_table"), [*keys, "line"])
+    figures = lambda line: F.size(F.filter(line["cells"], lambda c, i: c["figure"] & (i > 0))) >= 2
+    rows = lined(placed, keys).select(*keys, F.transform("lines", lambda x: F.struct(x["top"].alias("top"), x["cells"].alias("cells"), figures(x).alias("full"))).alias("_l"))
+    near = lambda a, b: F.coalesce(F.abs(a["top"] - b["top"]) <= TABLE_GAP, F.lit(False))
+    full = lambda x: F.coalesce(x["full"], F.lit(False))
+
+    def kind(x: Column, i: Column) -> Column:
+        before, after = F.get(F.col("_l"), i - 1), F.get(F.col("_l"), i + 1)
+        between = full(before) & full(after) & near(before, x) & near(after, x)
+        return F.struct(x["top"].alias("top"), x["cells"].alias("cells"), (x["full"] | between).alias("is_table"))
+
+    rows = rows.select(*keys, F.transform("_l", kind).alias("_k"))
+    new = lambda x, before, i: (x["is_table"] != before["is_table"]) | (x["is_table"] & ~near(before, x))
+    return rows.select(*keys, _runs("_k", new).alias("parts"))
+
+
+def rows(sections: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, part, row, cells): each row of a table with its cells (column, text), each paragraph as one cell of no row; parts and rows from 1."""
+    each = sections.select(*keys, F.posexplode_outer("parts").alias("part", "_p")).where("_p IS NOT NULL").withColumn("part", F.col("part") + 1)
+    lone = lambda c: c["text"].rlike(FOOTNOTE)
+    edge = lambda c: c["left"] + GLYPH * F.length(c["text"])
+    marks = F.exists("_p", lambda x: F.exists(x["cells"], lambda c: c["figure"] & ~lone(c)))
+    # each cell with its right edge, whether it is a lone digit, and whether it is a figure of a column
+    value = lambda c, i: c["figure"] & (i > 0) & ~(lone(c) & F.col("_m"))
+    cell = lambda c, i: F.struct(c["text"].alias("text"), edge(c).alias("edge"), lone(c).alias("lone"), value(c, i).alias("value"))
+    each = each.select(*keys, "part", "_p", F.get("_p", 0)["is_table"].alias("_table"), marks.alias("_m"))
+    each = each.select(*keys, "part", "_table", F.transform("_p", lambda x: F.transform(x["cells"], cell)).alias("_c"))
+    found = F.sort_array(F.array_distinct(F.transform(F.filter(F.flatten("_c"), lambda c: c["value"]), lambda c: c["edge"])))
+    each = each.select(*keys, "part", "_table", "_c", F.when(F.col("_table"), found).alias("_e"))
+    starts = F.filter(F.transform("_e", lambda e, i: F.when((i == 0) | (e - F.get(F.col("_e"), i - 1) > SAME_EDGE), e)), lambda e: e.isNotNull())
+    each = each.select(*keys, "part", "_table", "_c", "_e", starts.alias("_o"))
+
+    def column(c: Column, i: Column) -> Column:
+        nearest = F.array_min(F.transform(F.col("_e"), lambda e: F.struct(F.abs(e - c["edge"]).alias("d"), e.alias("e"))))["e"]
+        label = (i == 0) | c["lone"] & ~c["value"] | (c["edge"] < F.get(F.col("_e"), 0) - SAME_EDGE) & ~c["value"]
+        return F.when(label, 0).otherwise(let(nearest, lambda n: F.when(n.isNotNull(), F.size(F.filter(F.col("_o"), lambda o: o <= n)))))
+
+    def joined(line: Column) -> Column:
+        placed = F.transform(line, lambda c, i: F.struct(column(c, i).alias("column"), c["text"].alias("text")))
+        text = lambda all_, k: F.array_join(F.transform(F.filter(all_, lambda c: c["column"].eqNullSafe(k)), lambda c: c["text"]), " ")
+        return let(placed, lambda p: F.transform(F.array_distinct(F.transform(p, lambda c: c["column"])), lambda k: F.struct(k.alias("column"), text(p, k).alias("text"))))
+
+    whole = F.array_join(F.transform(F.flatten("_c"), lambda c: c["text"]), " ")
+    table = F.transform("_c", lambda line, i: F.struct((i + 1).alias("row"), joined(line).alias("cells")))
+    one = F.array(F.struct(F.lit(None).cast("int").alias("row"), F.array(F.struct(F.lit(0).alias("column"), whole.alias("text"))).alias("cells")))
+    return each.select(*keys, "part", F.explode_outer(F.when(F.col("_table"), table).otherwise(one)).alias("_r")).where("_r IS NOT NULL").select(*keys, "part", "_r.row", "_r.cells")
 
 
 def tables(sections: DataFrame, keys: list[str]) -> DataFrame:
@@ -66,37 +118,21 @@ def tables(sections: DataFrame, keys: list[str]) -> DataFrame:
     Figures are all boxes of a figure's form but lone digits beside others (footnote marks), which belong to the label before
     them. Boxes that stand right of a label and aren't figures go to the column whose edge is nearest.
     """
-    rows = sections.where("is_table").withColumn("_edge", F.col("left") + GLYPH * F.length("text"))
-    value = F.col("figure") & (F.col("place") > 1) & ~(F.col("text").rlike(FOOTNOTE) & F.bool_or(F.col("figure") & ~F.col("text").rlike(FOOTNOTE)).over(Window.partitionBy(*keys, "part")))
-    rows = rows.withColumn("_value", value)
-    of = Window.partitionBy(*keys, "part").orderBy("_edge")
-    figures = rows.where("_value").select(*keys, "part", "_edge").distinct()
-    new = F.coalesce(F.col("_edge") - F.lag("_edge").over(of) > SAME_EDGE, F.lit(True))
-    columns = figures.withColumn("column", _islands(new, of))
-    edges = columns.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(F.struct("_edge", "column"))).alias("_edges"))
-    rows = rows.join(edges, [*keys, "part"], "left")
-    nearest = F.array_min(F.transform("_edges", lambda e: F.struct(F.abs(e["_edge"] - F.col("_edge")).alias("d"), e["column"].alias("c"))))
-    first = F.array_min(F.transform("_edges", lambda e: e["_edge"]))
-    label = (F.col("place") == 1) | F.col("text").rlike(FOOTNOTE) & ~F.col("_value") | (F.col("_edge") < first - SAME_EDGE) & ~F.col("_value")
-    rows = rows.withColumn("column", F.when(label, 0).otherwise(nearest["c"]).cast("int")).withColumn("row", F.dense_rank().over(Window.partitionBy(*keys, "part").orderBy("line")))
-    cells = rows.groupBy(*keys, "part", "row", "column").agg(F.sort_array(F.collect_list(F.struct("place", "text"))).alias("_b"))
-    return cells.select(*keys, "part", "row", "column", F.array_join(F.transform("_b", lambda b: b["text"]), " ").alias("text"))
+    return rows(sections, keys).where("row IS NOT NULL").select(*keys, "part", "row", F.explode("cells").alias("_c")).select(*keys, "part", "row", "_c.column", "_c.text")
 
 
 def paragraphs(sections: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, part, text) of what lies between tables."""
-    text = F.sort_array(F.collect_list(F.struct("line", "place", "text")))
-    return sections.where("NOT is_table").groupBy(*keys, "part").agg(F.array_join(F.transform(text, lambda b: b["text"]), " ").alias("text"))
+    return rows(sections, keys).where("row IS NULL").select(*keys, "part", F.get("cells", 0)["text"].alias("text"))
 
 
 def page_text(placed: DataFrame, keys: list[str], unit: float = GLYPH) -> DataFrame:
     """(keys, line, text): each line on a grid of characters, figures flush right at their right edges, other boxes where they begin; at least two spaces between."""
-    rows = lined(placed, keys)
-    line = rows.groupBy(*keys, "line").agg(F.sort_array(F.collect_list(F.struct("place", "left", "figure", "text"))).alias("_b"))
 
     def add(out: Column, b: Column) -> Column:
         start = F.round(b["left"] / unit).cast("int")
         at = F.when(F.length(out) > 0, F.greatest(start, F.length(out) + 2)).otherwise(F.greatest(start, F.lit(0)))
         return F.concat(F.rpad(out, at, " "), b["text"])
 
-    return line.select(*keys, "line", F.aggregate("_b", F.lit(""), add).alias("text"))
+    each = lined(placed, keys).select(*keys, F.posexplode_outer("lines").alias("line", "_l")).where("_l IS NOT NULL")
+    return each.select(*keys, (F.col("line") + 1).alias("line"), F.aggregate(F.col("_l.cells"), F.lit(""), add).alias("text"))

@@ -32,6 +32,15 @@ def test_tables_and_paragraphs(spark):
     assert rows(layout.paragraphs(sections, ["k"])) == [("p", 1, "A title"), ("p", 4, "The end of it")]
 
 
+def test_pages_are_neither_joined_nor_sorted(spark):
+    """Boxes of a page stay in its row: no shuffle, sort, join or filter over the boxes of all pages."""
+    pages = spark.createDataFrame([("p", page((20, 10, "A"), (200, 10, "1,200"), (300, 10, "30"))), ("none", None)], "k string, html string")
+    placed = layout.boxes(pages, ["k"], "html")
+    for out in (layout.page_text(placed, ["k"]), layout.tables(layout.sectioned(placed, ["k"]), ["k"])):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert not [x for x in ("Exchange", "Join", "Sort ", "Window") if x in plan]
+
+
 def test_text_on_a_grid(spark):
     placed = spark.createDataFrame([("p", "Label", 10.0, 5.0), ("p", "12", 90.0, 6.0), ("p", "Long label that runs on", 10.0, 20.0), ("p", "3", 60.0, 20.0)], "k string, text string, left double, top double")
     assert rows(layout.page_text(placed, ["k"])) == [("p", 1, "  Label           12"), ("p", 2, "  Long label that runs on  3")]
