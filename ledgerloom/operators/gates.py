@@ -52,8 +52,8 @@ def gated(values: DataFrame, rules: DataFrame, keys: list[str], line: str, value
     room = F.greatest(F.abs("low"), F.abs("high"), F.lit(1.0)) * slack
     whole = _judged(known, rules, keys).where(F.size("_missing") == 0).withColumn("broken", (F.col("low") > room) | (F.col("high") < -room))
     untested = known.where(F.size("by") == 1).select(*keys, F.col("by")[0].alias("rule"), F.lit(True).alias("_own")).distinct()
-    whole = whole.join(untested, [*keys, "rule"], "left")
+    whole = whole.join(untested.hint("merge"), [*keys, "rule"], "left")
     found = whole.groupBy(*keys).agg(F.count_if(~F.col("broken") & F.col("_own").isNull()).cast("long").alias("held_rules"), F.sort_array(F.collect_list(F.when(F.col("broken"), F.col("rule")))).alias("broken"))
-    columns = values.select(*keys).distinct().join(found, keys, "left")
+    columns = values.select(*keys).distinct().join(found.hint("merge"), keys, "left")
     held, broken = F.coalesce("held_rules", F.lit(0).cast("long")), F.coalesce("broken", F.array().cast("array<string>"))
     return columns.select(*keys, ((F.size(broken) == 0) & (held >= needed)).alias("accepted"), held.alias("held_rules"), broken.alias("broken"))

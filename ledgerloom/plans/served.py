@@ -47,10 +47,10 @@ def pages_to_served(spark, sf_dir):
     part = lambda i: F.regexp_extract("text", head, i)
     titles = layout.paragraphs(sections, ["page"]).where(F.col("text").rlike(head)).select("page", part(1).alias("customer"), part(2).cast("int").alias("fiscal_year"), part(3).cast("date").alias("available_from"), F.when(F.contains("text", F.lit("(in thousands)")), 1000.0).otherwise(1.0).alias("scale"))
     cells = layout.tables(sections, ["page"]).groupBy("page", "row").agg(F.max(F.when(F.col("column") == 0, F.col("text"))).alias("line"), F.max(F.when(F.col("column") == 1, F.col("text"))).alias("printed"))
-    lines = cells.join(titles, "page").withColumns({"value": F.round(statement_number(F.col("printed")) * F.col("scale"), 2), "step": F.lit(STEP)})
+    lines = cells.join(titles.hint("merge"), "page").withColumns({"value": F.round(statement_number(F.col("printed")) * F.col("scale"), 2), "step": F.lit(STEP)})
     rules = spark.createDataFrame(RULES, "rule string, line string, sign int")
     accepted = gates.gated(lines, rules, ["page"], "line", "value", "step").where("accepted").select("page")
     keys = ["customer", "fiscal_year", "line"]
-    told = lines.join(accepted, "page", "left_semi").select(*keys, "value", "available_from")
+    told = lines.join(accepted.hint("merge"), "page", "left_semi").select(*keys, "value", "available_from")
     told = windows.islands(told, keys, [F.col("available_from")], "value", "_v").groupBy(*keys, "_v").agg(F.first("value").alias("value"), F.min("available_from").alias("available_from"))
     return windows.intervals(told, keys, [F.col("available_from")], "available_from").select(*keys, "value", "available_from", "available_to")

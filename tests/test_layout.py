@@ -136,3 +136,13 @@ def test_gate(spark):
     assert out == {
         "right": (True, 3, ""), "rounded": (True, 1, ""), "wrong": (False, 1, "top"), "through": (True, 2, ""), "apart": (False, 0, "sub,top"), "chain": (True, 1, ""), "far": (False, 0, "top"), "few": (False, 0, ""), "none": (False, 0, ""),
     }
+
+
+def test_gated_columns_are_not_broadcast(spark):
+    """Only the form's rules are sent to all tasks: what grows with the columns is merged, even where it looks small."""
+    from ledgerloom.operators import gates
+
+    rules = spark.createDataFrame([("top", "t", 1), ("top", "a", -1)], "rule string, line string, sign int")
+    df = spark.createDataFrame([(k, line, 5.0, 1.0) for k in "xyz" for line in "ta"], "k string, l string, v double, s double")
+    out = gates.gated(df, rules, ["k"], "l", "v", "s")
+    assert out.where("accepted").count() == 3 and out._jdf.queryExecution().sparkPlan().toString().count("SortMergeJoin") == 2
