@@ -32,11 +32,11 @@ def chained_quarters(spark, sf_dir):
     far = F.lit("2100-01-01").cast("timestamp")
     readings = late_readings(spark, sf_dir)
     ends = readings.sparkSession.createDataFrame([(-1,)], "o_custkey long").select("o_custkey", F.lit("Q0").alias("fiscal_period"), F.lit(0).alias("fiscal_year"), F.lit(0.0).alias("value"), far.alias("available"))
-    at = runs.folder(spark, "readings")
+    at, files = runs.folder(spark, "readings"), spark.sparkContext.defaultParallelism
     known = readings.unionByName(ends)
-    runs.in_batches(known, F.col("available"), [F.lit(x).cast("timestamp") for x in ("1993-06-01", "1995-01-01", "1996-06-01", "1998-01-01", "2090-01-01")], at)
+    runs.in_batches(known, F.col("available"), [F.lit(x).cast("timestamp") for x in ("1993-06-01", "1995-01-01", "1996-06-01", "1998-01-01", "2090-01-01")], at, files)
     with chains.with_provider(spark):
-        stream = runs.source(spark, at, known.schema).withWatermark("available", "10 days")
+        stream = runs.source(spark, at, known.schema, files).withWatermark("available", "10 days")
         verdicts = runs.to_end(chains.chained(stream, ["o_custkey"], "fiscal_period", "fiscal_year", "value", "available"), runs.folder(spark, "verdicts"), runs.folder(spark, "chain-state"))
     return chains.newest(verdicts.where("o_custkey <> -1"), ["o_custkey"], "fiscal_period").select("o_custkey", "fiscal_period", "year", "value", "reference", "verdict")
 
@@ -57,9 +57,9 @@ def stream_attribution(spark, sf_dir):
     ends = spark.createDataFrame([(-1, "click"), (-2, "purchase")], "event_id long, event_type string")
     far = F.lit("2100-01-01").cast("timestamp")
     sent = sent.unionByName(ends.select("event_id", far.alias("ts"), F.lit(-1).cast("long").alias("user_id"), "event_type", F.lit(0.0).alias("value"), far.alias("sent")))
-    at = runs.folder(spark, "events")
-    runs.in_batches(sent, F.col("sent"), [F.lit(x).cast("timestamp") for x in ("2024-01-08", "2024-01-16", "2024-01-24", "2090-01-01")], at)
-    once = lambda: runs.source(spark, at, sent.schema).withWatermark("ts", "1 hour").dropDuplicatesWithinWatermark(["event_id"])
+    at, files = runs.folder(spark, "events"), spark.sparkContext.defaultParallelism
+    runs.in_batches(sent, F.col("sent"), [F.lit(x).cast("timestamp") for x in ("2024-01-08", "2024-01-16", "2024-01-24", "2090-01-01")], at, files)
+    once = lambda: runs.source(spark, at, sent.schema, files).withWatermark("ts", "1 hour").dropDuplicatesWithinWatermark(["event_id"])
     clicks = once().where("event_type = 'click'").select("event_id", "user_id", "ts")
     purchases = once().where("event_type = 'purchase'").select(F.col("event_id").alias("purchase_id"), "user_id", F.col("ts").alias("bought"), "value")
     out = runs.to_end(runs.attributed(clicks, purchases, ["user_id"], "ts", "bought", "12 hours"), runs.folder(spark, "attributed"), runs.folder(spark, "attribution-state"))

@@ -43,6 +43,54 @@ def test_a_late_quarter_revises_its_successor_only(spark):
     assert out == [(2010, 1, None, "no reference"), (2011, 1, None, "no reference"), (2011, 2, 4.0, "read"), (2012, 1, 5.0, "repeats"), (2013, 1, 5.0, "read")]
 
 
+def test_chains_of_a_bucket_are_one_row_of_state_and_one_timer(spark):
+    rows = [(f"s{i}", "Q1", y, float(i % 3), 10 + 100 * (y - 2010) + i % 50) for i in range(1500) for y in (2010, 2011, 2013)]
+    known = readings(spark, [*rows, ("-", "-", 0, 0.0, 30_000)])
+    at, files = runs.folder(spark, "r"), 3
+    runs.in_batches(known, F.col("available"), [F.timestamp_seconds(F.lit(c * 86400).cast("long")) for c in (120, 320, 29_000)], at, files)
+    with chains.with_provider(spark):
+        stream = runs.source(spark, at, known.schema, files).withWatermark("available", "1 day")
+        verdicts = chains.chained(stream, ["series"], "quarter", "year", "value", "available", "30 days", buckets=20)
+        query = verdicts.writeStream.format("parquet").option("path", to := runs.folder(spark, "v")).option("checkpointLocation", runs.folder(spark, "s")).trigger(availableNow=True).start()
+        query.awaitTermination()
+    states = [p.stateOperators[0] for p in query.recentProgress]
+    assert max(s.numRowsTotal for s in states) <= 21
+    assert max(int(s.customMetrics["numRegisteredTimers"]) for s in states) <= 21
+    keys = ["series", "quarter", "year", "value", "reference", "verdict"]
+    got = chains.newest(spark.read.schema(verdicts.schema).parquet(to).where("series <> '-'"), ["series"], "quarter").select(*keys)
+    want = chains.chained_batch(readings(spark, rows), ["series"], "quarter", "year", "value", "available").select(*keys)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_each_reading_waits_its_own_time(spark):
+    rows = [("a", "Q1", 2010, 1.0, 10), ("a", "Q1", 2015, 5.0, 35), ("b", "Q1", 2000, 1.0, 46), ("b", "Q1", 2001, 1.0, 48), ("a", "Q1", 2014, 5.0, 55), ("b", "Q1", 2002, 1.0, 100)]
+    out = sorted(tuple(r) for r in streamed(spark, rows, [20, 40, 47, 50, 60]).where("series = 'a'").select("year", "revision", "reference", "verdict").collect())
+    assert out == [(2010, 1, None, "no reference"), (2014, 1, None, "no reference"), (2015, 1, 5.0, "repeats")]
+
+
+def test_stretches_are_batches_of_the_same_number_of_files(spark):
+    rows = spark.range(1000).select("id", F.timestamp_seconds("id").alias("t")).where("id not between 300 and 599")
+    at = runs.folder(spark, "r")
+    runs.in_batches(rows, F.col("t"), [F.timestamp_seconds(F.lit(c)) for c in (300, 600)], at, 4)
+    found = []
+    query = runs.source(spark, at, rows.schema, 4).writeStream.foreachBatch(lambda b, i: found.append(sorted(r.id for r in b.collect()))).option("checkpointLocation", runs.folder(spark, "s")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert found == [list(range(300)), [], list(range(600, 1000))]
+
+
+def test_keys_of_chains_come_back_as_they_were(spark):
+    rows = [(2**60 + 1, None, 2010, 1.0, 10), (2**60 + 2, "Q\"1\n", 2010, 2.0, 11), (None, "Q1", 2010, 3.0, 12), (None, None, 2010, 4.0, 13)]
+    known = spark.createDataFrame([*rows, (-1, "-", 0, 0.0, 30_000)], "series long, quarter string, year int, value double, day int")
+    known = known.select("series", "quarter", "year", "value", F.timestamp_seconds(F.col("day").cast("long") * 86400).alias("available"))
+    at = runs.folder(spark, "r")
+    runs.in_batches(known, F.col("available"), [F.lit("2050-01-01").cast("timestamp")], at)
+    with chains.with_provider(spark):
+        stream = runs.source(spark, at, known.schema).withWatermark("available", "1 day")
+        out = runs.to_end(chains.chained(stream, ["series"], "quarter", "year", "value", "available", "30 days"), runs.folder(spark, "v"), runs.folder(spark, "s"))
+    got = sorted(tuple(r) for r in out.where("year > 0").select("value", "series", "quarter").collect())
+    assert got == [(r[3], r[0], r[1]) for r in rows]
+
+
 LINES = "filing long, group_key string, line string, value double, status string"
 
 
