@@ -35,7 +35,7 @@ def chained_quarters(spark, sf_dir):
     at, files = runs.folder(spark, "readings"), spark.sparkContext.defaultParallelism
     known = readings.unionByName(ends)
     runs.in_batches(known, F.col("available"), [F.lit(x).cast("timestamp") for x in ("1993-06-01", "1995-01-01", "1996-06-01", "1998-01-01", "2090-01-01")], at, files)
-    with chains.with_provider(spark):
+    with chains.with_provider(spark, for_each_core=2):
         stream = runs.source(spark, at, known.schema, files).withWatermark("available", "10 days")
         verdicts = runs.to_end(chains.chained(stream, ["o_custkey"], "fiscal_period", "fiscal_year", "value", "available"), runs.folder(spark, "verdicts"), runs.folder(spark, "chain-state"))
     return chains.newest(verdicts.where("o_custkey <> -1"), ["o_custkey"], "fiscal_period").select("o_custkey", "fiscal_period", "year", "value", "reference", "verdict")

@@ -164,19 +164,28 @@ def chained_batch(readings: DataFrame, series: list[str], quarter: str, year: st
     return last.withColumn("reference", reference).withColumn("verdict", verdict)
 
 
-def with_provider(spark: SparkSession):
-    """Context in which streams start with the RocksDB provider; the session's own setting comes back after it."""
+def with_provider(spark: SparkSession, for_each_core: int | None = None):
+    """Context in which streams start with the RocksDB provider; the session's own settings come back after it.
+
+    Each partition of state costs every batch a commit of some files, however few keys it has: with `for_each_core` a new
+    stream has no more partitions than so many for each core (16 at least), if the session's number is above that.
+    """
     from contextlib import contextmanager
 
-    name = "spark.sql.streaming.stateStore.providerClass"
+    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    if for_each_core:
+        partitions = "spark.sql.shuffle.partitions"
+        wanted[partitions] = str(min(int(spark.conf.get(partitions)), max(16, for_each_core * spark.sparkContext.defaultParallelism)))
 
     @contextmanager
     def held():
-        had = spark.conf.get(name, None)
-        spark.conf.set(name, ROCKSDB)
+        had = {name: spark.conf.get(name, None) for name in wanted}
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
         try:
             yield
         finally:
-            spark.conf.set(name, had) if had else spark.conf.unset(name)
+            for name, value in had.items():
+                spark.conf.set(name, value) if value else spark.conf.unset(name)
 
     return held()

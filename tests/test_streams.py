@@ -91,6 +91,19 @@ def test_keys_of_chains_come_back_as_they_were(spark):
     assert got == [(r[3], r[0], r[1]) for r in rows]
 
 
+def test_streams_start_with_partitions_of_state_for_their_cores(spark):
+    name, provider = "spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass"
+    had = spark.conf.get(name), spark.conf.get(provider)
+    try:
+        for session, within in (("200", "16"), ("4", "4")):
+            spark.conf.set(name, session)
+            with chains.with_provider(spark, for_each_core=2):
+                assert (spark.conf.get(name), spark.conf.get(provider)) == (within, chains.ROCKSDB)
+            assert (spark.conf.get(name), spark.conf.get(provider)) == (session, had[1])
+    finally:
+        spark.conf.set(name, had[0])
+
+
 LINES = "filing long, group_key string, line string, value double, status string"
 
 
