@@ -55,9 +55,13 @@ def parse_number(text: Column) -> Column:
     return let(F.nullif(F.regexp_instr(text, F.lit(DIGITS)), F.lit(0)), lambda at: F.when(at.isNotNull(), let(around(at), number)))
 
 
-def statement_number(text: Column) -> Column:
-    """A cell of a statement: 1,234, (1,234) or a dash for nothing, which is 0; null for captions and prose."""
+def statement_number(text: Column, once: bool = False) -> Column:
+    """A cell of a statement: 1,234, (1,234) or a dash for nothing, which is 0; null for captions and prose. once: within a lambda, where Spark would clean the text anew for each test of it."""
     t = F.regexp_replace(clean(text), r"[$€£¥\s]", "")
+    return let(t, _statement) if once else _statement(t)
+
+
+def _statement(t: Column) -> Column:
     plain = F.regexp_replace(t, r"[(),]", "").try_cast("double")
     return F.when(t.rlike(r"^[-–—]+$"), F.lit(0.0)).when(t.rlike(r"^\([0-9][0-9,]*(\.[0-9]+)?\)$"), -plain).when(t.rlike(r"^-?[0-9][0-9,]*(\.[0-9]+)?$"), plain)
 

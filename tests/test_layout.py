@@ -146,3 +146,53 @@ def test_gated_columns_are_not_broadcast(spark):
     df = spark.createDataFrame([(k, line, 5.0, 1.0) for k in "xyz" for line in "ta"], "k string, l string, v double, s double")
     out = gates.gated(df, rules, ["k"], "l", "v", "s")
     assert out.where("accepted").count() == 3 and out._jdf.queryExecution().sparkPlan().toString().count("SortMergeJoin") == 2
+
+
+def test_fits_equals_gated(spark):
+    """A column in one row is judged as one of rows: all of it printed, some of it missing or printed twice, bounds that meet or don't."""
+    from pyspark.sql import functions as F
+
+    from ledgerloom.operators import gates
+
+    listed = [("top", "t", 1), ("top", "a", -1), ("top", "b", -1), ("sub", "b", 1), ("sub", "c", -1), ("sub", "d", -1), ("net", "n", 1), ("net", "t", -1), ("net", "x", 1), ("lone", "n", 1)]
+    rnd = random.Random(5)
+    columns = {"none": [("q", 1.0)], "null": [("t", None), ("a", 1.0)], "empty": [("t", None)]}
+    for k in range(150):
+        a, c, d, x = (rnd.randrange(0, 40) for _ in range(4))
+        whole = {"t": a + c + d, "a": a, "b": c + d, "c": c, "d": d, "n": a + c + d - x, "x": x, "q": 5}
+        some = rnd.sample(sorted(whole), rnd.randrange(1, 9)) + rnd.choice([[], ["a"], ["t", "b"]])
+        columns[str(k)] = [(line, float(whole[line] + rnd.choice([0, 0, 0, 0, 1, -4]))) for line in some]
+    df = spark.createDataFrame([(k, line, v, 1.0) for k, c in columns.items() for line, v in c], "k string, line string, value double, step double")
+    for rules in (listed[:3], listed[:9], listed):
+        want = gates.gated(df, spark.createDataFrame(rules, "rule string, line string, sign int"), ["k"], "line", "value", "step")
+        got = df.groupBy("k").agg(F.collect_list(F.struct("line", "value", "step")).alias("lines")).select("k", gates.fits(F.col("lines"), rules).alias("f")).select("k", "f.*")
+        assert rows(got) == rows(want) and len({r[1] for r in rows(got)}) == 2
+
+
+def test_served_pages_are_read_once(spark):
+    """Pages are laid out in one pass and judged where they lie: the query starts no job of its own, joins nothing and searches each page once."""
+    from ledgerloom.plans import served
+
+    from .conftest import SF
+
+    plan = served.pages_to_served(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and "Join" not in plan and "Scan ExistingRDD" not in plan and plan.count("Exchange") == 3
+    assert sum("[(),]" in line for line in plan.splitlines()) == 1  # figures are parsed once, not for a filter of their own too
+
+
+def test_lines_are_not_sliced(spark):
+    """Lines take their boxes by place; a slice reads a page's whole array for each line."""
+    pages = spark.createDataFrame([("p", page((20, 10, "A"), (200, 10, "1,200"), (300, 10, "30")))], "k string, html string")
+    parts = layout.sectioned(layout.boxes(pages, ["k"], "html"), ["k"])
+    assert "slice(" not in parts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_last_style_places(spark):
+    tag = lambda *styles: "<p" + "".join(f' {name}="{value}"' for name, value in styles) + ">x</p>"
+    at = "position:absolute;left:{0}px;top:{0}px"
+    html = [
+        tag(("data-style", at.format(1)), ("style", at.format(2))), tag(("style", at.format(3)), ("data-style", "left:4px")), tag(("STYLE", "margin-left:5px; Left: 6px;top:7px;position: Absolute"), ("id", "q")),
+        tag(("style", "left:8px;top:8px")), f'<p style="{at.format(9)}">a > b</p>',
+    ]
+    out = layout.boxes(spark.createDataFrame([("".join(html),)], "html string"), [], "html").first().boxes
+    assert [tuple(b) for b in out] == [(2.0, 2.0, "x"), (3.0, 3.0, "x"), (7.0, 6.0, "x")]
